@@ -6,6 +6,7 @@ import importlib
 
 FAMILIES = (
     "association",
+    "cleaning",
 )
 
 
