@@ -7,6 +7,9 @@ import importlib
 FAMILIES = (
     "association",
     "cleaning",
+    "aggregates",
+    "evaluation",
+    "scorecard",
 )
 
 

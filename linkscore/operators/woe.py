@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkscore.runtime import cut
+
 EPS = 1e-7  # fixed value: stands in for a zero rate
 
 
@@ -55,37 +57,25 @@ def information_values(long: DataFrame) -> DataFrame:
     return long.groupBy("column").agg(F.sum("iv").alias("iv"))
 
 
-def woe_transform(df: DataFrame, cols: Sequence[str], y: str, max_map: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def woe_transform(df: DataFrame, cols: Sequence[str], y: str, max_map: int = 500) -> tuple[DataFrame, DataFrame]:
     """Add ``<column>_WOE`` for every column; also return the long WOE table.
 
-    One aggregation serves all columns. The maps are attached as one literal
-    map when their counted size is within ``max_map`` entries, which costs no
-    join at all; larger maps are joined column by column.
+    One aggregation serves all columns. Maps of at most ``max_map`` entries in
+    all become literal expressions and cost no join; beyond that every column
+    is joined to its map, whose size the adaptive planner measures.
     """
-    from linkscore.runtime import cut
-
     long = cut(woe_long(df, cols, y))
     entries = long.select("column", "value", "woe").limit(max_map + 1).collect()
-    if len(entries) <= max_map:
-        spark = df.sparkSession
-        rows = {c: {} for c in cols}
-        nulls: dict[str, float] = {}
-        for r in entries:
-            if r["value"] is None:
-                nulls[r["column"]] = r["woe"]
-            else:
-                rows[r["column"]][r["value"]] = r["woe"]
-        maps = spark.createDataFrame([(rows,)], "m map<string,map<string,double>>")
-        lookup = maps.scalar()
-        out = df
-        for c in cols:
-            hit = lookup[c][F.col(c).cast("string")]
-            if c in nulls:
-                hit = F.when(F.col(c).isNull(), F.lit(nulls[c])).otherwise(hit)
-            out = out.withColumn(f"{c}_WOE", hit)
-        return out, long
     out = df
     for c in cols:
-        table = long.where(F.col("column") == c).select(F.col("value").alias(f"_{c}"), F.col("woe").alias(f"{c}_WOE"))
-        out = out.join(table, F.col(c).cast("string").eqNullSafe(F.col(f"_{c}")), "left").drop(f"_{c}")
+        key = F.col(c).cast("string")
+        if len(entries) <= max_map:
+            hit = F.lit(None).cast("double")
+            for r in entries:
+                if r["column"] == c:
+                    hit = F.when(key.eqNullSafe(F.lit(r["value"])), F.lit(r["woe"])).otherwise(hit)
+            out = out.withColumn(f"{c}_WOE", hit)
+        else:
+            part = long.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("woe").alias(f"{c}_WOE"))
+            out = out.join(part, key.eqNullSafe(F.col("_v")), "left").drop("_v")
     return out, long
