@@ -10,6 +10,7 @@ FAMILIES = (
     "aggregates",
     "evaluation",
     "scorecard",
+    "preparation",
 )
 
 
