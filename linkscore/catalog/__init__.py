@@ -11,6 +11,8 @@ FAMILIES = (
     "evaluation",
     "scorecard",
     "preparation",
+    "sources",
+    "stream",
 )
 
 
