@@ -13,6 +13,7 @@ FAMILIES = (
     "preparation",
     "sources",
     "stream",
+    "graphs",
 )
 
 

@@ -69,6 +69,15 @@ DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL SELECT o_custkey * 4, l_suppkey * 4 + 2 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         UNION ALL SELECT l_partkey * 4 + 1, l_suppkey * 4 + 2 FROM lineitem) e""",
     ),
+    # directed calls with cycles: returned lines call back
+    "links": (
+        ("orders", "lineitem"),
+        """SELECT DISTINCT src, dst FROM (
+        SELECT o_custkey * 2 AS src, l_suppkey * 2 + 1 AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_returnflag <> 'R'
+        UNION ALL SELECT l_suppkey * 2 + 1, o_custkey * 2 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_returnflag = 'R') e""",
+    ),
     "ratings": (
         ("orders", "lineitem"),
         """SELECT o_custkey AS user_id, l_suppkey AS item_id,
