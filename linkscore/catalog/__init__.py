@@ -14,6 +14,8 @@ FAMILIES = (
     "sources",
     "stream",
     "graphs",
+    "mining",
+    "training",
 )
 
 
