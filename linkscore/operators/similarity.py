@@ -69,6 +69,43 @@ def recommend(ratings: DataFrame, n: int = 3, kind: str = "cosine") -> DataFrame
 
 
 MAX_ITEMS = 1_000_000
+OVERSAMPLE = 6
+POWER_ROUNDS = 4
+
+
+def _right_vectors(per_user: DataFrame, at: dict, rank: int) -> np.ndarray:
+    """First right singular vectors of the user-item matrix, by subspace iteration.
+
+    Every round multiplies a thin matrix by the ratings and back: a task sums
+    its own users' products, and one row per item reaches the driver.
+    """
+    size = len(at)
+    width = min(size, rank + OVERSAMPLE)
+    q = np.linalg.qr(np.random.default_rng(11).standard_normal((size, width)))[0]
+    context = per_user.sparkSession.sparkContext
+    codes = context.broadcast(at)
+    for _ in range(POWER_ROUNDS):
+        shared = context.broadcast(q)
+
+        def multiply(batches):
+            total = np.zeros_like(shared.value)
+            for pdf in batches:
+                for rated in pdf["rated"]:
+                    idx = np.array([codes.value[x["item_id"]] for x in rated])
+                    r = np.array([x["rating"] for x in rated], dtype=float)
+                    np.add.at(total, idx, np.outer(r, r @ shared.value[idx]))
+            yield pd.DataFrame({"i": np.arange(len(total)), "v": list(total)})
+
+        parts = per_user.select("rated").mapInPandas(multiply, "i long, v array<double>")
+        sums = parts.groupBy("i").agg(*[F.sum(F.col("v")[j]).alias(f"v{j}") for j in range(width)]).collect()
+        product = np.zeros((size, width))
+        for row in sums:
+            product[row["i"]] = row[1:]
+        q, r = np.linalg.qr(product)
+        shared.destroy()
+    # rotate the basis so that its columns are the singular vectors in order
+    left, _, _ = np.linalg.svd(product, full_matrices=False)
+    return left[:, :rank]
 
 
 def recommend_reduced(ratings: DataFrame, n: int = 3, rank: int = 4) -> DataFrame:
@@ -78,9 +115,6 @@ def recommend_reduced(ratings: DataFrame, n: int = 3, rank: int = 4) -> DataFram
     per item; their count is checked). As the similarity is linear in the unit
     vectors, a user's predictions for all items are one small matrix product.
     """
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
     items = [r[0] for r in ratings.select("item_id").distinct().orderBy("item_id").limit(MAX_ITEMS + 1).collect()]
     if len(items) > MAX_ITEMS:
         raise ValueError(f"more than {MAX_ITEMS} items")
@@ -89,10 +123,7 @@ def recommend_reduced(ratings: DataFrame, n: int = 3, rank: int = 4) -> DataFram
     per_user = cut(
         ratings.groupBy("user_id").agg(F.collect_list(F.struct("item_id", "rating")).alias("rated"))
     )
-    rows = per_user.select("rated").rdd.map(
-        lambda r: Vectors.sparse(size, sorted((at[x["item_id"]], float(x["rating"])) for x in r["rated"]))
-    )
-    v = RowMatrix(rows, numCols=size).computeSVD(rank, computeU=False).V.toArray()
+    v = _right_vectors(per_user, at, rank)
     norm = np.linalg.norm(v, axis=1, keepdims=True)
     unit = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
     codes = np.array(items)
