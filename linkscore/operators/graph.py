@@ -56,6 +56,7 @@ def both_ways(edges: DataFrame, weight: str | None = None) -> DataFrame:
 
 
 def blocked(edges: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> BlockedEdges:
+    edges = cut(edges)  # counted, then partitioned: computed once
     hot = cut(block_counts(edges, ["src"], rows_per_block))
     n = shuffle_width(edges.sparkSession)
     if hot.isEmpty():
@@ -327,9 +328,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
     Every round takes the least label around a vertex and then follows the
     label's own label, which halves long chains.
     """
-    und = both_ways(edges)
-    steps = blocked(und)
-    ids = vertices_of(edges) if vertices is None else vertices.select("id").distinct()
+    steps = blocked(both_ways(edges))
+    ids = vertices_of(steps.edges) if vertices is None else vertices.select("id").distinct()
     state = cut(ids.withColumn("component", F.col("id")))
     for _ in range(max_rounds):
         around = steps.send(state.select(F.col("id").alias("src"), F.col("component").alias("_m")))
@@ -365,7 +365,7 @@ def pscan(edges: DataFrame, eps: float = 1e-6) -> DataFrame:
 def label_propagation(edges: DataFrame, rounds: int) -> DataFrame:
     """(id, label): most frequent label around each vertex per round, smallest on a tie."""
     steps = blocked(both_ways(edges))
-    state = cut(vertices_of(edges)).withColumn("label", F.col("id"))
+    state = cut(vertices_of(steps.edges)).withColumn("label", F.col("id"))
     for r in range(1, rounds + 1):
         sent = steps.send(state.select(F.col("id").alias("src"), "label"))
         votes = sent.groupBy(F.col("dst").alias("id"), "label").agg(F.count(F.lit(1)).alias("n"))
@@ -377,10 +377,10 @@ def label_propagation(edges: DataFrame, rounds: int) -> DataFrame:
 
 def coarse_labels(edges: DataFrame, rounds: int, drop_self: bool = True) -> DataFrame:
     """Smallest id within ``rounds`` undirected hops; own ids left out on request."""
-    und = both_ways(edges)
-    loops = vertices_of(edges).select(F.col("id").alias("src"), F.col("id").alias("dst"))
+    und = cut(both_ways(edges))
+    loops = und.select("src", F.col("src").alias("dst")).distinct()
     steps = blocked(und.unionByName(loops))
-    state = cut(vertices_of(edges)).withColumn("label", F.col("id"))
+    state = cut(vertices_of(loops)).withColumn("label", F.col("id"))
     for r in range(1, rounds + 1):
         sent = steps.send(state.select(F.col("id").alias("src"), "label"))
         state = sent.groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("label"))
