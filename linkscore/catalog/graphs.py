@@ -295,13 +295,13 @@ def call_graph(t):
 @query("g19_louvain_level")
 def _(t):
     edges = cut(call_graph(t))
-    _q, state, _passes = L.louvain_level(L.initial_state(edges), edges, min_progress=200)
+    _q, state, _passes = L.louvain_level(L.initial_state(edges), edges, min_progress=2000)
     return state.select("id", "community")
 
 
 @query("g20_louvain")
 def _(t):
-    return L.louvain(call_graph(t), min_progress=400)[0]
+    return L.louvain(call_graph(t), min_progress=2000)[0]
 
 
 @query("g22_power_clusters")

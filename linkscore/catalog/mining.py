@@ -173,7 +173,7 @@ def _(t):
     return M.assign(pts, cols, centres, M.great_circle)
 
 
-SUPPORT = 0.04
+SUPPORT = 0.015
 SETS = {
     "n": "SELECT count(DISTINCT basket) AS n FROM baskets",
     "i1": f"SELECT [item] AS items, count(*) AS n FROM baskets GROUP BY item HAVING count(*) >= {SUPPORT} * (SELECT n FROM n)",
@@ -194,20 +194,20 @@ def _(t):
     "t11_rules",
     sql(["baskets"], {**SETS, "r": """SELECT a.items AS ante, list_filter(f.items, lambda x: NOT list_contains(a.items, x)) AS cons, f.n / a.n AS conf
       FROM f JOIN f a ON len(a.items) < len(f.items) AND list_has_all(f.items, a.items)"""},
-        "SELECT array_to_string(ante, ',') AS antecedent, array_to_string(cons, ',') AS consequent, round(conf, 8) AS confidence FROM r WHERE conf >= 0.2"),
+        "SELECT array_to_string(ante, ',') AS antecedent, array_to_string(cons, ',') AS consequent, round(conf, 8) AS confidence FROM r WHERE conf >= 0.1"),
 )
 def _(t):
-    found = M.rules(cut(M.apriori(t("baskets"), SUPPORT)), 0.2)
+    found = M.rules(cut(M.apriori(t("baskets"), SUPPORT)), 0.1)
     out = found.select(F.array_join("antecedent", ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"), "confidence")
     return rounded(out, 8, "confidence")
 
 
 @query(
     "t12_fp_growth",
-    sql(["baskets"], {k: v.replace(f"{SUPPORT} * (SELECT n FROM n)", "600") for k, v in SETS.items()}, f"SELECT {ITEMS}, CAST(len(items) AS INT) AS size, n FROM f"),
+    sql(["baskets"], {k: v.replace(f"{SUPPORT} * (SELECT n FROM n)", "225") for k, v in SETS.items()}, f"SELECT {ITEMS}, CAST(len(items) AS INT) AS size, n FROM f"),
 )
 def _(t):
-    return M.fp_growth(t("baskets"), 600, 3).withColumn("items", F.array_join("items", ","))
+    return M.fp_growth(t("baskets"), 225, 3).withColumn("items", F.array_join("items", ","))
 
 
 PAIR = {

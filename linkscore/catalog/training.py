@@ -86,8 +86,8 @@ def _(t):
 
 @query("m11_tree_bins")
 def _(t):
-    lines = t("lineitem").select("l_quantity", (F.col("l_extendedprice") > 50000).cast("int").alias("dear"))
-    cuts = T.tree_bins(lines, "l_quantity", "dear")
+    rated = t("documents").join(t("labels"), "doc_id").select("n_chars", "quality")
+    cuts = T.tree_bins(rated, "n_chars", "quality")
     return t.spark.createDataFrame([(i + 1, c) for i, c in enumerate(cuts)], "cut int, value double")
 
 
