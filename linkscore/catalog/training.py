@@ -86,8 +86,9 @@ def _(t):
 
 @query("m11_tree_bins")
 def _(t):
-    rated = t("documents").join(t("labels"), "doc_id").select("n_chars", "quality")
-    cuts = T.tree_bins(rated, "n_chars", "quality")
+    word_length = F.col("n_chars") / F.size(F.split("text", " "))
+    rated = t("documents").join(t("labels"), "doc_id").select(word_length.alias("word_length"), "quality")
+    cuts = T.tree_bins(rated, "word_length", "quality")
     return t.spark.createDataFrame([(i + 1, c) for i, c in enumerate(cuts)], "cut int, value double")
 
 

@@ -245,6 +245,12 @@ def test_id3_splits_on_the_informative_column(spark):
     assert tree == {"": "u", "/u=a": None, "/u=b": None}
 
 
+def test_tree_bins_find_the_step(spark):
+    df = spark.range(1000).select(F.col("id").alias("x"), (F.col("id") > 500).cast("int").alias("y"))
+    cuts = TR.tree_bins(df, "x", "y")
+    assert len(cuts) == 1 and abs(cuts[0] - 500) < 5
+
+
 def test_bisecting_separates_blobs(spark):
     df = spark.createDataFrame([(float(c + i), 0.0) for c in (0, 100, 400) for i in range(10)], "x double, y double")
     assert sorted(round(c[0], 1) for c in M.bisecting(df, ["x", "y"], 3)) == [4.5, 104.5, 404.5]
