@@ -1,8 +1,8 @@
-"""Documents dealt into blocks of about equal text, for work by block.
+"""Documents in blocks of about equal text, for work by block.
 
-A block is small enough for one task; its distinct keys travel once per block
-instead of once per document, which is what keeps the shuffles of the corpus
-statistics below the size of the texts.
+A block is small enough for one task. Its distinct keys travel once per block
+instead of once per document, which keeps the shuffles of corpus statistics
+below the size of the texts.
 """
 
 from __future__ import annotations
@@ -13,20 +13,27 @@ from pyspark.sql import functions as F
 from linkscore.runtime import scratch_path
 
 BLOCK_BYTES = 16 << 20  # text bytes that a block holds on average
+SCHEMA = "block long, row_id long, doc_id long, text string"
 
 
-def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """Stored copy ``row_id, block, doc_id, text`` of the documents, and the number of blocks.
+def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Stored copy ``block, row_id, doc_id, text`` of the documents, a block's rows side by side.
 
-    The copy fixes ``row_id``: rows of equal or null ``doc_id`` stay apart, and
-    every later pass sees the same blocks, also after an executor is lost.
+    A block is a run of rows of one partition, so dealing needs no shuffle. The
+    copy fixes ``row_id`` and ``block``: rows of equal or null ``doc_id`` stay
+    apart, and every later pass sees the same blocks, also after an executor is
+    lost.
     """
     spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-int(total) // block_bytes))
+    size = docs.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
+    rows = max(1, int(block_bytes / max(size, 1.0)))
+    row_id = F.monotonically_increasing_id()  # partition in the upper bits, row below
+    part, nth = F.shiftright(row_id, 33), row_id.bitwiseAND(F.lit((1 << 33) - 1))
     path = scratch_path(spark, "blocks")
     docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), "text"
+        (part * F.lit(1 << 31) + F.floor(nth / rows)).cast("long").alias("block"),
+        row_id.alias("row_id"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
     ).write.parquet(path)
-    stored = spark.read.schema("row_id long, doc_id long, text string").parquet(path)
-    return stored.withColumn("block", F.pmod(F.xxhash64("row_id"), F.lit(n_blocks)).cast("int")), n_blocks
+    return spark.read.schema(SCHEMA).parquet(path)

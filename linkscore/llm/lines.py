@@ -60,27 +60,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         keyed.join(over, "key")
         .where(F.col("id") != F.col("last"))
         .groupBy("id")
-        .agg(F.collect_set("key").alias("_drops"))
-        .withColumnRenamed("id", "_id")
+        .agg(F.collect_set("key").alias("drops"))
     )
-    kept = F.when(F.col("_drops").isNull(), F.col("_lines")).otherwise(
+    # the row travels as one column, so names of the input cannot clash with those used here
+    laid = docs.select(F.struct("*").alias("row"), own.alias("own"), lines.alias("lines"))
+    joined = laid.join(drops, F.col("own") == F.col("id"), "left")
+    kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(
         F.filter(
-            "_lines",
-            lambda x: (F.length(x) < min_chars)
-            | ~F.array_contains(F.col("_drops"), key_hash(line_key(x)))
-            | (F.length(line_key(x)) < min_chars),
+            "lines",
+            lambda x: (F.length(line_key(x)) < min_chars) | ~F.array_contains(F.col("drops"), key_hash(line_key(x))),
         )
     )
-    out = (
-        docs.withColumn("_own", own)
-        .join(drops, F.col("_own") == F.col("_id"), "left")
-        .withColumn("_lines", lines)
-        .withColumn("_kept", kept)
-    )
-    columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return out.select(
+    columns = [f"row.`{c}`" for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped")]
+    return joined.withColumn("kept", kept).select(
         *columns,
-        F.array_join("_kept", "\n").alias("text"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
+        F.array_join("kept", "\n").alias("text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import lines, mixing
+from linkscore.llm import decontaminate, jaccard, language, lines, mixing, pii, ppm, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@_query()
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts, calibrated quality, and whether a document stays."""
+    return quality.quality_rules(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@_query()
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles are 90% the same."""
+    return jaccard.jaccard_components(_documents(spark, sf_dir), n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 @_query(
     """WITH l AS (
         SELECT doc_id, pos, parts[pos] AS line,
@@ -47,6 +59,35 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query()
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets, and weak candidates whose complementary parts stand close together."""
+    return secrets.scan(_documents(spark, sf_dir)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+@_query()
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those whose id is not held out."""
+    docs = _documents(spark, sf_dir)
+    held_out = language.id_bucket(F.col("doc_id"), 4) == 2
+    found = language.identify(docs.select("doc_id", "text"), language.learn(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query()
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_query()
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with personal numbers, dates and addresses permuted within their format."""
+    return pii.pseudonymise_documents(_documents(spark, sf_dir))
+
+
 _SEATS = """q{0} AS (SELECT {1}, {2}, weight_{0} / (2 * k + 1) AS quotient FROM p{0}, range(0, {3}) AS r(k)
       WHERE weight_{0} > 0 AND k <= seats * weight_{0} / total + parties + 1),
     s{0} AS (SELECT {1}, {2}, count(*) AS won FROM (
@@ -109,3 +150,16 @@ _SEATS = """q{0} AS (SELECT {1}, {2}, weight_{0} / (2 * k + 1) AS quotient FROM
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document, source targets met by whole blocks."""
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query()
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after spans of 13 words or more that an earlier document holds are removed."""
+    out = substrings.remove_repeated(_documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query()
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under word counts and under the byte model."""
+    return ppm.score_documents(_documents(spark, sf_dir))
