@@ -42,12 +42,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     """
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    keyed = (
+    keyed = stored(
         docs.select(own.alias("id"), F.explode(lines).alias("line"))
         .where(F.length("line") >= min_chars)
         .select("id", line_key(F.col("line")).alias("key"))
         .where(F.length("key") >= min_chars)
-        .select("id", key_hash(F.col("key")).alias("key"))
+        .select("id", key_hash(F.col("key")).alias("key")),
+        "keys",
     )
     over = stored(
         keyed.groupBy("key")

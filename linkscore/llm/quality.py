@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from linkscore.llm.batches import Words, new_powers, run_index, slices, text_bytes
 
 BITS = 16  # of a feature's number
-MAX_ROWS = 4_000  # labelled rows that the fit may use
+MAX_ROWS = 2_000  # labelled rows that the fit may use
 THRESHOLD = 0.5  # least calibrated probability of good quality
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -172,21 +172,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     return fitted
 
 
-def _descend(keys: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, rounds: int = 60, l2: float = 1e-4) -> Model:
-    """Full-batch accelerated gradient descent on the logistic loss."""
+def _descend(keys: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, rounds: int = 100, rate: float = 0.05, l2: float = 1e-5) -> Model:
+    """Full-batch Adam on the logistic loss."""
     row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
     key, value = np.concatenate(keys), np.concatenate(values).astype(np.float64)
-    size = 1 << BITS
-    step = 4.0 / max(np.bincount(row, value * value, len(keys)).max() + 1, 1e-9)
-    w, bias, last, last_bias = np.zeros(size), 0.0, np.zeros(size), 0.0
-    for i in range(rounds):
-        ahead = i / (i + 3)
-        v, c = w + ahead * (w - last), bias + ahead * (bias - last_bias)
-        slip = _sigmoid(np.bincount(row, v[key] * value, len(keys)) + c) - y
-        last, last_bias = w, bias
-        w = v - step * (np.bincount(key, slip[row] * value, size) / len(y) + l2 * v)
-        bias = c - step * slip.mean()
-    return Model(w.astype(np.float32), float(bias))
+    size = (1 << BITS) + 1  # the last weight is the intercept
+    w, mean, square = np.zeros(size), np.zeros(size), np.zeros(size)
+    for i in range(1, rounds + 1):
+        slip = _sigmoid(np.bincount(row, w[key] * value, len(keys)) + w[-1]) - y
+        slope = np.bincount(key, slip[row] * value, size) / len(y) + l2 * w
+        slope[-1] = slip.mean()
+        mean = 0.9 * mean + 0.1 * slope
+        square = 0.99 * square + 0.01 * slope**2
+        w -= rate * (mean / (1 - 0.9**i)) / (np.sqrt(square / (1 - 0.99**i)) + 1e-8)
+    return Model(w[:-1].astype(np.float32), float(w[-1]))
 
 
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
