@@ -3,11 +3,13 @@
 A language's dictionary is raw text of that language. A text is cut into frames
 of a few kilobytes, each frame is compressed with every dictionary, and the
 language with the smallest sum wins. Frames keep the dictionary's say in a long
-text, where the text itself would otherwise soon be the better context.
+text, where the text itself would otherwise soon be the better context. Case,
+digits and marks say little of a language and are levelled first.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -23,10 +25,17 @@ DICTIONARY_BYTES = 96 << 10  # raw content of each language's dictionary
 EXCERPT_CHARS = 2_000  # of one training text that a dictionary may hold
 SAMPLE_ROWS = 120  # training texts wanted per language
 FRAME_BYTES = 4 << 10
-LEVEL = 3
-MIN_MARGIN = 0.002  # narrower margins are rejected
+LEVEL = 6
+MIN_MARGIN = 0.01  # narrower margins are rejected
 UNKNOWN = "und"
 
+_OTHER = re.compile(r"[\W\d_]+")
+
+
+def plain(text: str) -> str:
+    """Lower-cased letters; what lies between them is one blank."""
+    return _OTHER.sub(" ", text.lower())
+
 
 def id_bucket(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; a missing id counts as empty text."""
@@ -55,7 +64,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, excerpt_chars: int =
     found: dict[str, bytes] = {}
     for lang in sorted(counts):
         own = sorted((r["at"], r["text"]) for r in drawn if r["lang"] == lang)
-        raw = b"\n".join(x[1].encode() for x in own)
+        raw = "\n".join(plain(x[1]) for x in own).encode()
         if raw:
             found[lang] = raw[:dictionary_bytes]
     return found
@@ -73,7 +82,7 @@ class Compressors:
             self.packers.append(zstandard.ZstdCompressor(dict_data=content, write_content_size=False, write_dict_id=False))
 
     def sizes(self, text: str) -> list[int]:
-        raw = text.encode()
+        raw = plain(text).encode()
         frames = [raw[i : i + FRAME_BYTES] for i in range(0, len(raw), FRAME_BYTES)]
         return [sum(len(p.compress(x)) for x in frames) for p in self.packers]
 

@@ -151,6 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     rows = (
         docs.select("doc_id", "text")
         .join(sample, "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text"))  # one row per id, however often it is repeated
         .mapInArrow(count, "doc_id long, quality int, keys binary, vals binary")
         .collect()
     )

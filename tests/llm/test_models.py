@@ -33,11 +33,13 @@ def test_quality_on_rows_not_learnt_from(spark, corpus):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     learn = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     model = quality.fit(corpus, labels.where(learn))
-    out = quality.score(corpus, model).join(labels.where(~learn), "doc_id").toPandas()
-    assert ((out["quality_x"] if "quality_x" in out else out.iloc[:, 7]) >= 0).all()
-    verdict = quality.score(corpus, model).select("doc_id", (F.col("quality") >= 0.5).alias("good")).join(labels.where(~learn), "doc_id").toPandas()
-    good, bad = verdict[verdict.quality == 1], verdict[verdict.quality == 0]
-    assert good.good.mean() > 0.97 and bad.good.mean() < 0.3
+    truth = labels.where(~learn).select("doc_id", F.col("quality").alias("truth"))
+    out = quality.score(corpus, model).join(truth, "doc_id").toPandas()
+    good, bad = out[out.truth == 1], out[out.truth == 0]
+    assert good[~good.base_failed].kept.all() and bad.kept.mean() < 0.1
+    # the model by itself, where the plain rules see nothing
+    unseen = bad[~bad.base_failed]
+    assert len(unseen) > 5 and unseen.kept.mean() < 0.2
 
 
 def test_quality_without_labels(spark, small, none):
@@ -54,7 +56,7 @@ def test_language_on_held_out_rows(corpus):
     held = language.id_bucket(F.col("doc_id"), 4) == 2
     out = language.identify(corpus, language.learn(corpus.where(~held))).where(held)
     told = out.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("double")), F.avg(F.col("rejected").cast("double"))).first()
-    assert told[0] > 0.97 and told[1] < 0.02
+    assert told[0] > 0.98 and told[1] < 0.02
     assert out.where("score < 0 OR score > 1").count() == 0
 
 
