@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20  # texts handled at once; one longer text is handled alone
+SLICE_BYTES = 1 << 20  # texts handled at once; one longer text is handled alone
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -108,6 +108,45 @@ class Words:
         return mix(key)[run_index(self.first[:-1], count)], bounds
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting beats hashing for these sizes."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]])]
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each occurs."""
+    keys = np.sort(keys)
+    head = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[head], np.diff(np.append(head, len(keys)))
+
+
+class Lookup:
+    """Values of many sorted distinct keys, found by hashing with the sorted list behind it."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slot_key = np.full(1 << bits, -1, np.int64)
+        self.slot_value = np.zeros(1 << bits, values.dtype)
+        at = self._slot(keys)
+        self.slot_key[at], self.slot_value[at] = keys, values
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys that are all known."""
+        if not len(keys):
+            return np.zeros(0, self.values.dtype)
+        at = self._slot(keys)
+        out = self.slot_value[at]
+        missed = np.flatnonzero(self.slot_key[at] != keys)
+        out[missed] = self.values[np.searchsorted(self.keys, keys[missed])]
+        return out
+
+
 def run_index(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """start[0], start[0]+1, ... (count[0] of them), start[1], ..."""
     total = int(count.sum())

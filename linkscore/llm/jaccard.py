@@ -2,21 +2,25 @@
 
 Sets of word shingles whose Jaccard similarity reaches a threshold differ in few
 elements, for their size. Sizes are cut into bands; a band's greatest difference
-k is known. The shingle domain is split into groups of parts, so many that some
-groups hold at most one difference each, and every subset of a group's parts
-with one part left out is a signature: similar sets of a band share one.
-
-Only distinct sets are joined. Each is first compared with the partner it shares
-most signatures with; components of the links found are built; the pairs that
-share a signature and are still apart are then compared in full, so no link that
-matters for a component is lost. Similarities are exact, on whole sets.
+k is known. The shingle domain is split into parts, and subsets of parts are the
+signatures: with k + 2 parts some pair of parts is free of differences, and with
+k + 1 + e single parts at least e + 1 are. So similar sets of a band share
+signatures, and a set may leave out its e most common ones: what it has left
+still meets every similar set. A set that shares no more than e signatures with
+all others is done with.
+
+Only distinct sets are joined. Each is first compared with the partners it
+shares most signatures with; components of the links found are built; the pairs
+that share a signature and still lie apart are compared next, so no link that
+matters for a component is lost. Members of a large bucket are compared inside
+tasks, block by block, by bit sketches whose distance never exceeds the true
+one. What passes is decided by exact similarity of whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
 from math import ceil, exp
 
 import numpy as np
@@ -24,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkscore.llm.batches import Words, mix, new_powers, slices, text_bytes
+from linkscore.llm.batches import Words, distinct, mix, new_powers, slices, text_bytes
 from linkscore.llm.components import components
 from linkscore.runtime import stored
 
 WIDTH = 1.3  # largest size over smallest of a band
-FEW = 8  # up to so many differences, groups have three parts and subsets two
+FEW = 5  # up to so many differences, signatures are pairs of parts
+LARGE = 32  # sets of a bucket whose pairs may be rows; beyond, they are compared inside tasks
+BLOCK = 512  # sets of a large bucket that one side of a task holds
 
 
 @lru_cache(maxsize=None)
@@ -52,61 +58,85 @@ def bands_of(size: int, percent: int) -> tuple[int, ...]:
     return tuple(out)
 
 
+def most_different(total: int, percent: int) -> int:
+    """Most elements in which two sets of ``total`` elements together may differ."""
+    return total * (100 - percent) // (100 + percent)
+
+
 @lru_cache(maxsize=None)
 def plan(nth: int, percent: int) -> tuple[int, int, int, np.ndarray] | None:
-    """Groups, parts per group, spare groups and the salts of all signatures of a band.
+    """Parts, parts of a subset, spare parts and the salts of a band's signatures.
 
-    None where only equal sets reach the threshold. With k differences at most,
-    ``k // 2 + 1`` groups leave one group with at most one difference; each spare
-    group adds another. Two similar sets so agree in more groups than are spare,
-    and need not meet in an empty part unless one has that many of them.
+    None where only equal sets reach the threshold. The spare parts outnumber
+    those that are likely to be empty in the band's smallest sets.
     """
     low, high = band(nth)
-    k = (high + high * 100 // percent) * (100 - percent) // (100 + percent)
+    k = most_different(high + high * 100 // percent, percent)
     if k == 0:
         return None
-    parts = 3 if k <= FEW else 2
-    subsets = parts  # one part left out
-    spare = 1
-    for _ in range(8):
-        groups = k // 2 + 1 + spare
-        held = low * (parts - 1) / (groups * parts)
-        empty = groups * subsets * exp(-held)
-        more = 1 + ceil(empty + 3 * empty**0.5)
-        if more <= spare:
-            break
-        spare = more
-    groups = k // 2 + 1 + spare
-    salts = mix(np.arange(groups * subsets, dtype=np.uint64) + np.uint64((nth + 1) << 40))
-    return groups, parts, spare, salts.reshape(groups, subsets)
-
-
-def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
-    """All signatures of a set given as sorted distinct hashes."""
+    if k <= FEW:
+        parts, chosen, spare = k + 2, 2, 0
+        count = parts * (parts - 1) // 2
+    else:
+        spare = 2 + k // 16
+        for _ in range(4):
+            empty = (k + 1 + spare) * exp(-low / (k + 1 + spare))
+            spare = 2 + k // 16 + ceil(empty + 2 * empty**0.5)
+        parts = count = k + 1 + spare
+        chosen = 1
+    salts = mix(np.arange(count, dtype=np.uint64) + np.uint64((nth + 1) << 40))
+    return parts, chosen, spare, salts
+
+
+def signatures(elements: np.ndarray, percent: int) -> list[tuple[int, np.ndarray, int]]:
+    """(band, signatures, how many of the most common may be left out) of sorted distinct hashes.
+
+    Empty parts stand at the end of the order, so they are the first to be left
+    out; only a set with more of them than parts are spare keeps them.
+    """
     out = []
     sums = None
     for nth in bands_of(len(elements), percent):
         made = plan(nth, percent)
         if made is None:
             continue
-        groups, parts, spare, salts = made
+        parts, chosen, spare, salts = made
         if sums is None:
             sums = np.zeros(len(elements) + 1, np.uint64)
             np.cumsum(mix(elements), dtype=np.uint64, out=sums[1:])
-        total = groups * parts
-        borders = np.arange(1, total, dtype=np.uint64) * np.uint64((1 << 64) // total)
+        borders = np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts)
         cuts = np.concatenate([[0], np.searchsorted(elements, borders), [len(elements)]])
-        held = (sums[cuts[1:]] - sums[cuts[:-1]]).reshape(groups, parts)
-        count = np.diff(cuts).reshape(groups, parts)
-        chosen = list(combinations(range(parts), parts - 1))
-        value = np.stack([held[:, list(c)].sum(1, dtype=np.uint64) for c in chosen], 1)
-        filled = np.stack([count[:, list(c)].sum(1) for c in chosen], 1) > 0
+        value, count = sums[cuts[1:]] - sums[cuts[:-1]], np.diff(cuts)
+        if chosen == 2:
+            i, j = np.triu_indices(parts, 1)
+            value, count = mix(value[i]) + value[j], count[i] + count[j]
         keys = mix(value ^ salts)
-        if int((~filled).any(1).sum()) > spare:
-            out.append(keys.ravel())
+        filled = count > 0
+        empty = int((~filled).sum())
+        if empty > spare:
+            out.append((nth, keys, 0))
         else:
-            out.append(keys[filled])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            out.append((nth, keys[filled], spare - empty))
+    return out
+
+
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements in each of a power of two of bins, two per element or more.
+
+    Two sketches differ in no more bins than their sets differ in elements.
+    Halves laid over each other give the sketch with half the bins.
+    """
+    bins = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows) with their bins halved until they are ``words`` long."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
 
 
 def shingle_sets(table: pa.Table, n: int, powers) -> list[np.ndarray]:
@@ -124,7 +154,7 @@ def shingle_sets(table: pa.Table, n: int, powers) -> list[np.ndarray]:
         if len(own) == 0 and words.first[i] < words.first[i + 1]:
             short = words.hash[words.first[i] : words.first[i + 1]]
             own = mix(np.array([int(sum(int(h) * 0x9E3779B97F4A7C15 ** (j + 1) for j, h in enumerate(short))) + len(short) & (1 << 64) - 1], np.uint64))
-        out.append(np.unique(own))
+        out.append(distinct(own))
     return out
 
 
@@ -136,64 +166,115 @@ def set_hash(elements: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(elements))).view(np.int64)[0])
 
 
-def _describe(n: int, percent: int):
-    """Arrow function: every row's set size, node and signatures (once per node and task)."""
+def _named(n: int):
+    """Arrow function: every row's set size and node."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = new_powers()
-        met: set[int] = set()
         for batch in batches:
             for table in slices(batch):
-                sizes, nodes, keys = [], [], []
-                for own in shingle_sets(table, n, powers):
-                    node = set_hash(own)
-                    sizes.append(len(own))
-                    nodes.append(node)
-                    if node in met:
-                        keys.append(np.zeros(0, np.int64))
-                    else:
-                        met.add(node)
-                        keys.append(signatures(own, percent).view(np.int64))
-                borders = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+                sets = shingle_sets(table, n, powers)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[table[c].combine_chunks() for c in ("doc_id", "anon", "handle")],
-                        pa.array(sizes, pa.int64()),
-                        pa.array(nodes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(borders), pa.array(flat)),
+                        pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([set_hash(x) for x in sets], pa.int64()),
                     ],
-                    names=["doc_id", "anon", "handle", "n_shingles", "node", "keys"],
+                    names=["doc_id", "anon", "handle", "n_shingles", "node"],
+                )
+
+    return work
+
+
+def _signed(n: int, percent: int):
+    """Arrow function: the signatures of every set, once per task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = new_powers()
+        met: set[int] = set()
+        for batch in batches:
+            for table in slices(batch):
+                keys, nodes, extra = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+                for own in shingle_sets(table, n, powers):
+                    node = set_hash(own)
+                    if node in met or not len(own):
+                        continue
+                    met.add(node)
+                    for nth, found, drop in signatures(own, percent):
+                        keys.append(found.view(np.int64))
+                        nodes.append(np.full(len(found), node))
+                        extra.append(np.full(len(found), nth << 20 | min(drop, (1 << 20) - 1), np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x)) for x in (keys, nodes, extra)], names=["key", "node", "extra"]
                 )
 
     return work
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    borders = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(borders), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
+
+
 def _sets_of(n: int):
-    """Arrow function: the set of each asked-for node, once; the rows of a handle come together."""
+    """Arrow function: set and sketch of each asked-for node, once; the rows of a handle come together."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = new_powers()
         met: set[int] = set()
         for batch in batches:
             for table in slices(batch):
-                asked = table["node"].to_pylist()
                 nodes, sets = [], []
-                for node, own in zip(asked, shingle_sets(table, n, powers)):
+                for node, own in zip(table["node"].to_pylist(), shingle_sets(table, n, powers)):
                     if node not in met and set_hash(own) == node:
                         met.add(node)
                         nodes.append(node)
-                        sets.append(own.view(np.int64))
-                borders = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-                flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+                        sets.append(own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(borders), pa.array(flat))],
-                    names=["node", "items"],
+                    [
+                        pa.array(nodes, pa.int64()),
+                        pa.array([len(x) for x in sets], pa.int64()),
+                        _lists([x.view(np.int64) for x in sets]),
+                        _lists([sketch(x).view(np.int64) for x in sets]),
+                    ],
+                    names=["node", "n", "items", "bits"],
                 )
 
     return work
 
 
+def _near_pairs(percent: int, nearest: int | None):
+    """Arrow function for two blocks of a bucket: pairs in different components whose sketches allow a link.
+
+    With ``nearest``, each set gets only so many partners, the nearest first.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        left, right = (table.filter(table["side"].to_numpy() == s) for s in (0, 1))
+        out_a, out_b = [], []
+        if len(left) and len(right):
+            words = min(len(x) for x in table["bits"].to_pylist())
+            n, root, node, bits = [], [], [], []
+            for part in (left, right):
+                rows = [np.array(x, np.int64).view(np.uint64) for x in part["bits"].to_pylist()]
+                bits.append(np.concatenate([fold(x[None, :], words) for x in rows]))
+                n.append(part["n"].to_numpy())
+                root.append(part["root"].to_numpy())
+                node.append(part["node"].to_numpy())
+            for i in range(len(node[0])):
+                apart = np.bitwise_count(bits[1] ^ bits[0][i]).sum(1)
+                limit = (n[1] + n[0][i]) * (100 - percent) // (100 + percent)
+                hit = np.flatnonzero((apart <= limit) & (root[1] != root[0][i]))
+                if nearest is not None and len(hit) > nearest:
+                    hit = hit[np.argsort(apart[hit], kind="stable")[:nearest]]
+                out_a.append(np.full(len(hit), node[0][i]))
+                out_b.append(node[1][hit])
+        a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (out_a, out_b))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return work
+
+
 def _handles(docs: DataFrame) -> DataFrame:
     """Rows by id, or by the hash of their text where they have none."""
     own = F.col("doc_id").cast("long")
@@ -206,13 +287,30 @@ def _handles(docs: DataFrame) -> DataFrame:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the threshold, with the similarity."""
-    first = sets.select(F.col("node").alias("a"), F.col("items").alias("_x"))
-    second = sets.select(F.col("node").alias("b"), F.col("items").alias("_y"))
-    both = pairs.join(first, "a").join(second, "b")
+    """The pairs ``a, b`` whose sets reach the threshold, with intersection and union.
+
+    Sketches rule out most other pairs before any whole set is moved.
+    """
+
+    def side(name: str, column: str, to: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col(column).alias(to))
+
+    short = F.least(F.size("_x"), F.size("_y"))
+
+    def folded(c: str):
+        half = (F.size(c) / 2).cast("int")
+        over = F.zip_with(F.slice(c, 1, half), F.slice(c, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(c) > short, over).otherwise(F.col(c))
+
+    apart = F.aggregate(
+        F.zip_with(folded("_x"), folded("_y"), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, x: t + x
+    )
+    seen = pairs.join(side("a", "bits", "_x"), "a").join(side("b", "bits", "_y"), "b")
+    # bins that cannot be laid over each other rule nothing out
+    near = seen.where(F.coalesce(apart, F.lit(0)) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b")
+    both = near.join(side("a", "items", "_x"), "a").join(side("b", "items", "_y"), "b")
     common = F.size(F.array_intersect("_x", "_y"))
-    whole = F.size("_x") + F.size("_y") - common
-    return both.select("a", "b", common.alias("common"), whole.alias("whole")).where(
+    return both.select("a", "b", common.alias("common"), (F.col("n_a") + F.col("n_b") - common).alias("whole")).where(
         100 * F.col("common") >= percent * F.col("whole")
     )
 
@@ -230,15 +328,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """
     handles = _handles(docs)
     rows = stored(
-        handles.mapInArrow(
-            _describe(n, percent), "doc_id long, anon boolean, handle long, n_shingles long, node long, keys array<long>"
-        ),
-        "sets",
+        handles.mapInArrow(_named(n), "doc_id long, anon boolean, handle long, n_shingles long, node long"), "sets"
     )
     nodes = stored(
         rows.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct("anon", "handle")).alias("first")), "nodes"
     )
-    links = candidate_links(rows, nodes, handles, n, percent)
+    links = candidate_links(nodes, handles, n, percent)
     roots = components(links)
     first = F.when(~F.col("first.anon"), F.col("first.handle"))
     named = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), first.alias("id"))
@@ -252,44 +347,97 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def candidate_links(rows: DataFrame, nodes: DataFrame, handles: DataFrame, n: int, percent: int) -> DataFrame:
+def shared_signatures(handles: DataFrame, n: int, percent: int) -> DataFrame:
+    """``key, node, df``: the signatures by which a set can meet a similar one.
+
+    ``df`` is how many rows hold the signature. Signatures that one set alone
+    holds are dropped, and of a set's others the ``drop`` most common ones.
+    """
+    key = Window.partitionBy("key")
+    held = (
+        handles.select("text")
+        .mapInArrow(_signed(n, percent), "key long, node long, extra int")
+        .withColumn("df", F.count(F.lit(1)).over(key))
+        .withColumn("_first", F.min("node").over(key))
+        .withColumn("_last", F.max("node").over(key))
+        .where("_first <> _last")
+        .groupBy("key", "node")
+        .agg(F.max("extra").alias("extra"), F.max("df").alias("df"))
+    )
+    common = Window.partitionBy("node", F.shiftright("extra", 20)).orderBy(F.desc("df"), F.desc("key"))
+    return (
+        held.withColumn("_nth", F.row_number().over(common))
+        .where(F.col("_nth") > F.col("extra").bitwiseAND(F.lit((1 << 20) - 1)))
+        .select("key", "node", "df")
+    )
+
+
+def candidate_links(nodes: DataFrame, handles: DataFrame, n: int, percent: int) -> DataFrame:
     """Links ``a, b`` between nodes that give the components of all links."""
     key = Window.partitionBy("key")
     shared = stored(
-        rows.select("node", F.explode("keys").alias("key"))
-        .withColumn("hub", F.min("node").over(key))
-        .withColumn("_last", F.max("node").over(key))
-        .where("hub <> _last")
-        .select("key", "node", "hub")
-        .distinct(),
+        shared_signatures(handles, n, percent)
+        .withColumn("low", F.min("node").over(key))
+        .withColumn("high", F.max("node").over(key))
+        .where("low <> high"),
         "shared",
     )
     asked = shared.select("node").distinct().join(nodes, "node").select("node", "first.anon", "first.handle")
     sets = stored(
-        handles.join(asked, ["anon", "handle"]).select("node", "text").mapInArrow(_sets_of(n), "node long, items array<long>"),
+        handles.join(asked, ["anon", "handle"])
+        .select("node", "text")
+        .mapInArrow(_sets_of(n), "node long, n long, items array<long>, bits array<long>"),
         "items",
     )
-    best = (
-        shared.where("node <> hub").groupBy("node", "hub").count().groupBy("node").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-    )
-    tried = stored(best.select(F.col("hub").alias("a"), F.col("node").alias("b")), "pairs")
+    # first the two partners of each set with which it shares most
+    hubs = shared.select("node", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub")
+    count = hubs.groupBy("node", "hub", (F.col("node") > F.col("hub")).alias("up")).count()
+    best = count.groupBy("node", "up").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    pairs = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    tried = stored(pairs, "pairs")
     links = stored(similar(tried, sets, percent).select("a", "b"), "links")
-    roots = components(links)
-    # what still lies in different components although it shares a signature
-    parts = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    apart = stored(
-        parts.withColumn("_low", F.min("root").over(key)).withColumn("_high", F.max("root").over(key)).where("_low <> _high").select("key", "node", "root"),
-        "apart",
-    )
-    other = apart.select("key", F.col("node").alias("b"), F.col("root").alias("_root"))
-    rest = (
-        apart.join(other, "key")
-        .where("root <> _root AND node < b")
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    return links.unionByName(stored(similar(rest, sets, percent).select("a", "b"), "links"))
+    # then what shares a signature and still lies apart, the nearest first, all of it in the end
+    for nearest in (2, 16, None):
+        roots = components(links)
+        parts = shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        apart = stored(
+            parts.withColumn("size", F.count(F.lit(1)).over(key))
+            .withColumn("_low", F.min("root").over(key))
+            .withColumn("_high", F.max("root").over(key))
+            .where("_low <> _high")
+            .select("key", "node", "root", "size"),
+            "apart",
+        )
+        if apart.isEmpty():
+            break
+        more = _row_pairs(apart).unionByName(_block_pairs(apart, sets, percent, nearest)).distinct()
+        pairs = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(stored(similar(pairs, sets, percent).select("a", "b"), "links"))
+    return links
+
+
+def _row_pairs(apart: DataFrame) -> DataFrame:
+    """Pairs of a bucket of few sets that lie in different components."""
+    few = apart.where(F.col("size") <= LARGE)
+    other = few.select("key", F.col("node").alias("b"), F.col("root").alias("_root"))
+    return few.join(other, "key").where("root <> _root AND node < b").select(F.col("node").alias("a"), "b")
+
+
+def _block_pairs(apart: DataFrame, sets: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Pairs of buckets of many sets that may link: cut into blocks, every two blocks met in a task."""
+    many = apart.where(F.col("size") > LARGE).join(sets.select("node", "n", "bits"), "node")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    laid = many.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    sided = laid.select(
+        "key",
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        F.explode(F.when(F.col("own") == F.col("other"), F.array(F.lit(0), F.lit(1))).otherwise(F.array((F.col("own") > F.col("other")).cast("int")))).alias("side"),
+        "node", "root", "n", "bits",
+    )
+    return sided.groupBy("key", "i", "j").applyInArrow(_near_pairs(percent, nearest), "a long, b long")
 
 
 def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
