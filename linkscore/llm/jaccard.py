@@ -250,7 +250,8 @@ def _near_pairs(percent: int, nearest: int | None):
     """
 
     def work(table: pa.Table) -> pa.Table:
-        left, right = (table.filter(table["side"].to_numpy() == s) for s in (0, 1))
+        side = table["side"].to_numpy()  # 2: of a block that is met with itself
+        left, right = (table.filter(pa.array((side == s) | (side == 2))) for s in (0, 1))
         out_a, out_b = [], []
         if len(left) and len(right):
             words = min(len(x) for x in table["bits"].to_pylist())
@@ -434,7 +435,7 @@ def _block_pairs(apart: DataFrame, sets: DataFrame, percent: int, nearest: int |
         "key",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
-        F.explode(F.when(F.col("own") == F.col("other"), F.array(F.lit(0), F.lit(1))).otherwise(F.array((F.col("own") > F.col("other")).cast("int")))).alias("side"),
+        F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"),
         "node", "root", "n", "bits",
     )
     return sided.groupBy("key", "i", "j").applyInArrow(_near_pairs(percent, nearest), "a long, b long")
