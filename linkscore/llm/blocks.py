@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from linkscore.runtime import scratch_path
 
-BLOCK_BYTES = 16 << 20  # text bytes that a block holds on average
 SCHEMA = "block long, row_id long, doc_id long, text string"
 
 
-def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Stored copy ``block, row_id, doc_id, text`` of the documents, a block's rows side by side.
 
     A block is a run of rows of one partition, so dealing needs no shuffle. The

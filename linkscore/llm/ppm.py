@@ -7,8 +7,9 @@ for one byte shorter, where the symbols of the longer context are excluded.
 
 Every distinct gram (``ORDER`` bytes and a symbol) gets its log probability once,
 by joins along the orders. Documents meet their grams block by block: a block's
-distinct grams go out and come back with their values, so neither the trie nor
-the counts are ever broadcast or held by one task.
+distinct grams go out, packed into parts by key, and their values come back in
+the same packing, so neither the trie nor the counts are ever broadcast or held
+by one task.
 """
 
 from __future__ import annotations
@@ -17,94 +18,178 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkscore.llm.batches import _LOWER, Words, new_powers, run_index, slices, text_bytes
-from linkscore.llm.blocks import BLOCK_BYTES, in_blocks
+from linkscore.llm.batches import _LOWER, Lookup, Words, counted, distinct, new_powers, slices, text_bytes
+from linkscore.llm.blocks import in_blocks
 from linkscore.llm.language import id_bucket
 from linkscore.runtime import stored
 
 ORDER = 5  # bytes of context; a gram of ORDER + 1 bytes fits a long
 START, END = 0xFE, 0xFF  # no byte of UTF-8
 SYMBOLS = 256
+BLOCK_BYTES = 24 << 20  # text of a block on average
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Packed grams of all positions, each text closed by ``END``, and their bounds by text."""
     size = np.diff(offsets) + order + 1  # start marks, bytes, end mark
     at = np.concatenate([[0], np.cumsum(size)])
-    laid = np.full(at[-1], START, np.uint8)
-    laid[run_index(at[:-1] + order, np.diff(offsets))] = _LOWER[raw]
+    total = int(at[-1])
+    body, whole = np.ones(total, bool), np.ones(total, bool)
+    for i in range(order):
+        body[at[:-1] + i] = False
+        whole[at[1:] - 1 - i] = False  # grams that would reach into the next text
+    body[at[1:] - 1] = False
+    laid = np.full(total + 8, START, np.uint8)
+    laid[:total][body] = _LOWER[raw]
     laid[at[1:] - 1] = END
-    total = max(len(laid) - order, 0)
-    packed = np.zeros(total, np.int64)
-    for i in range(order + 1):
-        packed <<= 8
-        packed |= laid[i : i + total]
-    count = size - order
-    return packed[run_index(at[:-1], count)], np.concatenate([[0], np.cumsum(count)])
+    eight = np.ndarray((total,), ">u8", laid.data, 0, (1,))  # the eight bytes from each position on
+    packed = eight.astype(np.uint64)[whole] >> np.uint64(8 * (7 - order))
+    return packed.view(np.int64), np.concatenate([[0], np.cumsum(size - order)])
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of several sorted lists and the sums of their counts."""
     if len(keys) == 1:
         return keys[0], counts[0]
-    key, count = np.concatenate(keys), np.concatenate(counts)
+    key, count = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
     order = np.argsort(key, kind="stable")
     key, count = key[order], count[order]
-    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[new], np.add.reduceat(count, new)
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    return key[new], np.add.reduceat(count, new) if len(new) else count
 
 
-def _counted(key: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, each with how often it occurs in learnt positions."""
-    every = np.unique(key)
-    seen, times = np.unique(key[learnt], return_counts=True)
-    count = np.zeros(len(every), np.int64)
-    count[np.searchsorted(every, seen)] = times
-    return every, count
+class _Counts:
+    """Distinct keys with their counts in training rows, merged whenever the lists have doubled."""
 
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.merged = 0
 
-def _block_counts(kind: str, order: int):
-    """Arrow function: distinct grams (or word hashes) of each block with their counts in training rows."""
+    def add(self, key: np.ndarray, learnt: np.ndarray) -> None:
+        seen, times = counted(key[learnt])
+        other = distinct(key[~learnt])
+        self.keys += [seen, other]
+        self.counts += [times, np.zeros(len(other), np.int64)]
+        if sum(map(len, self.keys)) > 2 * self.merged + 500_000:
+            self.result()
 
-    def flush(block: int, keys: list, counts: list) -> pa.RecordBatch:
-        key, count = _merged(keys, counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), block)), pa.array(key), pa.array(count)], names=["block", "key", "n"]
-        )
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        key, count = _merged(self.keys, self.counts)
+        self.keys, self.counts, self.merged = [key], [count], len(key)
+        return key, count
+
+
+def pack(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def unpack(raw: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte plane by byte plane: the upper planes are nearly empty."""
+    steps = np.diff(keys, prepend=np.int64(0))
+    return pack(steps.view(np.uint8).reshape(-1, 8).T.copy())
+
+
+def unpack_keys(raw: bytes) -> np.ndarray:
+    planes = unpack(raw, np.uint8).reshape(8, -1)
+    return np.cumsum(planes.T.copy().view(np.int64).ravel())
+
+
+PACKED = "block long, is_gram boolean, part int, keys binary, vals binary"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary())
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "is_gram", "part", "keys", "vals"]
+    )
+
+
+def _dictionaries(order: int, parts: int):
+    """Arrow function: distinct grams and word hashes of each block with their counts in training rows, in parts."""
+
+    def flush(block: int, own: dict[bool, _Counts]) -> pa.RecordBatch:
+        rows = []
+        for is_gram, counts in own.items():
+            key, count = counts.result()
+            part = (key % parts).astype(np.int32)
+            at = np.argsort(part, kind="stable")
+            key, count, part = key[at], count[at], part[at]
+            for p, a, b in zip(*_runs(part)):
+                rows.append((block, is_gram, p, pack_keys(key[a:b]), pack(count[a:b].astype(np.int32))))
+        return _batch(rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = new_powers()
-        block, keys, counts = None, [], []
+        block, own = None, {True: _Counts(), False: _Counts()}
         for batch in batches:
             blocks = batch["block"].to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)] if len(blocks) else []
-            for a, b in zip(cuts, cuts[1:]):
-                if block is not None and blocks[a] != block:
-                    yield flush(block, keys, counts)
-                    keys, counts = [], []
-                block = int(blocks[a])
-                for table in slices(batch.slice(a, b - a)):
+            for b, first, last in zip(*_runs(blocks)):
+                if block is not None and b != block:
+                    yield flush(block, own)
+                    own = {True: _Counts(), False: _Counts()}
+                block = b
+                for table in slices(batch.slice(first, last - first)):
                     raw, offsets = text_bytes(table["text"])
-                    if kind == "grams":
-                        key, bounds = grams(raw, offsets, order)
-                    else:
-                        words = Words(raw, offsets, powers, lower=True)
-                        key, bounds = words.hash.view(np.int64), words.first
-                    learnt = np.repeat(~table["held_out"].to_numpy(), np.diff(bounds))
-                    key, count = _counted(key, learnt)
-                    keys, counts = [*keys, key], [*counts, count]
-                    if len(keys) > 4:
-                        key, count = _merged(keys, counts)
-                        keys, counts = [key], [count]
+                    learnt = ~table["held_out"].to_numpy()
+                    key, bounds = grams(raw, offsets, order)
+                    own[True].add(key, np.repeat(learnt, np.diff(bounds)))
+                    words = Words(raw, offsets, powers, lower=True)
+                    own[False].add(words.hash.view(np.int64), np.repeat(learnt, np.diff(words.first)))
         if block is not None:
-            yield flush(block, keys, counts)
+            yield flush(block, own)
 
     return work
 
 
+def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """Each run of equal values: value, first and end position."""
+    head = np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]]))
+    return values[head].tolist(), head.tolist(), np.append(head[1:], len(values)).tolist() if len(head) else []
+
+
+def _totals(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Keys by row of a part, and all its distinct keys with their counts in all blocks."""
+    keys = [unpack_keys(x) for x in table["keys"].to_pylist()]
+    counts = [unpack(x, np.int32).astype(np.int64) for x in table["vals"].to_pylist()]
+    return keys, *_merged(keys, counts)
+
+
+def _gram_counts(table: pa.Table) -> pa.Table:
+    """A part's distinct grams with their counts."""
+    _, key, count = _totals(table)
+    return pa.table({"key": key, "n": count})
+
+
+def _word_counts(table: pa.Table) -> pa.Table:
+    """A part's rows with the words' counts in all blocks, and the part's own totals."""
+    keys, key, count = _totals(table)
+    values = [pack(count[np.searchsorted(key, k)].astype(np.int64)) for k in keys]
+    total, kinds = int(count.sum()), int((count > 0).sum())
+    return table.set_column(4, "vals", pa.array(values, pa.binary())).append_column(
+        "total", pa.array([total] * len(keys), pa.int64())
+    ).append_column("kinds", pa.array([kinds] * len(keys), pa.int64()))
+
+
+def _gram_values(rows: pa.Table, scores: pa.Table) -> pa.Table:
+    """A part's rows with the grams' scores."""
+    key, score = scores["key"].to_numpy(), scores["score"].to_numpy()
+    at = np.argsort(key)
+    key, score = key[at], score[at]
+    values = [pack(score[np.searchsorted(key, unpack_keys(x))].astype(np.float64)) for x in rows["keys"].to_pylist()]
+    return rows.append_column("vals", pa.array(values, pa.binary()))
+
+
 def _log(x: Column) -> Column:
     return F.log10(x.cast("double"))
 
@@ -214,41 +299,39 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return scored
 
 
+def _block_lookup(model: pa.Table, is_gram: bool, kind: type) -> Lookup:
+    own = model.filter(model["is_gram"] if is_gram else pc.invert(model["is_gram"]))
+    keys = np.concatenate([np.zeros(0, np.int64), *[unpack_keys(x) for x in own["keys"].to_pylist()]])
+    values = np.concatenate([np.zeros(0, kind), *[unpack(x, kind) for x in own["vals"].to_pylist()]])
+    at = np.argsort(keys)
+    return Lookup(keys[at], values[at])
+
+
 def _score_block(order: int):
     """Arrow function for one block: its rows, its grams' scores, its words' training counts."""
 
     def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        run = np.concatenate([[0.0], np.cumsum(values)])
+        run = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
         return run[bounds[1:]] - run[bounds[:-1]]
 
     def work(rows: pa.Table, model: pa.Table) -> pa.Table:
         powers = new_powers()
-        is_gram = model["is_gram"].to_numpy()
-        key, value = model["key"].to_numpy(), model["value"].to_numpy()
-        parts = []
-        for chosen in (is_gram, ~is_gram):
-            k, v = key[chosen], value[chosen]
-            at = np.argsort(k)
-            parts.append((k[at], v[at]))
-        (gram, gram_score), (word, word_count) = parts
+        gram_score, word_count = _block_lookup(model, True, np.float64), _block_lookup(model, False, np.int64)
         out = []
         for table in slices(rows):
             raw, offsets = text_bytes(table["text"])
             own, bounds = grams(raw, offsets, order)
-            score = sums(gram_score[np.searchsorted(gram, own)], bounds)
             words = Words(raw, offsets, powers, lower=True)
-            count = np.zeros(len(words.hash))
-            if len(words.hash):
-                count = word_count[np.searchsorted(word, words.hash.view(np.int64))]
+            count = word_count(words.hash.view(np.int64))
             out.append(
                 pa.table(
                     {
                         "doc_id": table["doc_id"],
                         "held_out": table["held_out"],
                         "n_words": np.diff(words.first),
-                        "known_words": sums((count > 0).astype(np.float64), words.first).astype(np.int64),
-                        "word_logs": sums(np.log10(count + 1), words.first),
-                        "score": score,
+                        "known_words": sums(count > 0, words.first).astype(np.int64),
+                        "word_logs": sums(np.log10(count + 1.0), words.first),
+                        "score": sums(gram_score(own), bounds),
                     }
                 )
             )
@@ -284,26 +367,23 @@ def score_documents(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOC
     rows = in_blocks(docs.select("doc_id", "text"), block_bytes).withColumn(
         "held_out", id_bucket(F.col("doc_id"), modulus) == rest
     )
-    spark = docs.sparkSession
-    fields = rows.select("block", "held_out", "text")
-    by_block = "block long, key long, n long"
-    gram_rows = stored(fields.mapInArrow(_block_counts("grams", order), by_block), "grams")
-    counts = stored(gram_rows.groupBy("key").agg(F.sum("n").alias("n")), "counts")
-    scores = gram_scores(counts, order)
-    word_rows = stored(fields.mapInArrow(_block_counts("words", order), by_block), "words")
-    word_counts = stored(word_rows.groupBy("key").agg(F.sum("n").alias("c")), "vocabulary")
-    totals = word_counts.where("c > 0").agg(F.sum("c").alias("words"), F.count(F.lit(1)).alias("kinds")).first()
-    ends = rows.where(~F.col("held_out")).count()
-    n, v = int(totals["words"] or 0) + ends, int(totals["kinds"]) + (1 if ends else 0)
-    model = (
-        gram_rows.join(scores, "key")
-        .select("block", F.lit(True).alias("is_gram"), "key", F.col("score").alias("value"))
-        .unionByName(
-            word_rows.join(word_counts, "key").select(
-                "block", F.lit(False).alias("is_gram"), "key", F.col("c").cast("double").alias("value")
-            )
-        )
+    # as many parts as blocks, and odd, so that the last byte of a gram does not choose its part
+    parts = max(8, rows.select("block").distinct().count()) | 1
+    packed = stored(rows.select("block", "held_out", "text").mapInArrow(_dictionaries(order, parts), PACKED), "packed")
+    gram_rows, word_rows = packed.where("is_gram"), packed.where("NOT is_gram")
+    counts = stored(gram_rows.groupBy("part").applyInArrow(_gram_counts, "key long, n long"), "counts")
+    scores = gram_scores(counts, order).withColumn("part", (F.col("key") % parts).cast("int"))
+    gram_model = (
+        gram_rows.drop("vals").groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(_gram_values, PACKED)
     )
+    word_model = stored(
+        word_rows.groupBy("part").applyInArrow(_word_counts, f"{PACKED}, total long, kinds long"), "vocabulary"
+    )
+    totals = word_model.groupBy("part").agg(F.max("total").alias("total"), F.max("kinds").alias("kinds"))
+    totals = totals.agg(F.sum("total").alias("words"), F.sum("kinds").alias("kinds")).first()
+    ends = rows.where(~F.col("held_out")).count()
+    n, v = int(totals["words"] or 0) + ends, int(totals["kinds"] or 0) + (1 if ends else 0)
+    model = gram_model.unionByName(word_model.drop("total", "kinds"))
     scored = (
         rows.select("block", "doc_id", "held_out", "text")
         .groupBy("block")
