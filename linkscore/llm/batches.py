@@ -126,12 +126,10 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values = keys, values
-        bits = max(4, (4 * len(keys)).bit_length())
+        bits = max(4, (3 * len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.slot_key = np.full(1 << bits, -1, np.int64)
-        self.slot_value = np.zeros(1 << bits, values.dtype)
-        at = self._slot(keys)
-        self.slot_key[at], self.slot_value[at] = keys, values
+        self.place = np.zeros(1 << bits, np.int32)  # of the last key with this hash
+        self.place[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
@@ -140,11 +138,10 @@ class Lookup:
         """Values of keys that are all known."""
         if not len(keys):
             return np.zeros(0, self.values.dtype)
-        at = self._slot(keys)
-        out = self.slot_value[at]
-        missed = np.flatnonzero(self.slot_key[at] != keys)
-        out[missed] = self.values[np.searchsorted(self.keys, keys[missed])]
-        return out
+        at = self.place[self._slot(keys)]
+        missed = np.flatnonzero(self.keys[at] != keys)
+        at[missed] = np.searchsorted(self.keys, keys[missed])
+        return self.values[at]
 
 
 def run_index(start: np.ndarray, count: np.ndarray) -> np.ndarray:
