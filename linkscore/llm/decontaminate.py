@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkscore.llm.batches import Words, new_powers, run_index, slices, text_bytes
+from linkscore.llm.batches import Words, distinct, new_powers, run_index, slices, text_bytes
 from linkscore.runtime import stored
 
 K1, B = 1.2, 0.75
@@ -115,7 +115,7 @@ def build(rows: Sequence) -> Index:
 
 def _pairs(level: Level, group: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (group, term)."""
-    both = np.unique(group.astype(np.int64) << 32 | term)
+    both = distinct(group.astype(np.int64) << 32 | term)
     return both >> 32, both & 0xFFFFFFFF
 
 
@@ -130,11 +130,9 @@ def retrieve(level: Level, words: Words, term: np.ndarray, threshold: float) ->
     count = np.diff(words.first)
     n_segments = -(-count // size)
     at = np.concatenate([[0], np.cumsum(n_segments)])
-    text_of = np.repeat(np.arange(len(count)), count)
-    inside = np.arange(len(term)) - words.first[text_of]
-    segment = at[text_of] + inside // size
     known = np.flatnonzero(term >= 0)
-    seg, t = _pairs(level, segment[known], term[known])
+    text_of = np.searchsorted(words.first, known, "right") - 1
+    seg, t = _pairs(level, at[text_of] + (known - words.first[text_of]) // size, term[known])
     bound = np.bincount(seg, level.most[t], at[-1] + 1)
     # passage i: segments i and i + 1, or i alone where its text has but one
     last = np.zeros(at[-1] + 1, bool)
