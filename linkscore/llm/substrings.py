@@ -187,9 +187,11 @@ def _run_rows(window: int, seed: int):
         for batch in batches:
             for table in slices(batch):
                 runs = Runs(Words(*text_bytes(table["text"]), powers), window, seed)
-                doc = table["rank"].to_numpy()[runs.doc]
-                if len(doc):
-                    yield _batch({"seed": runs.seed.view(np.int64), "run": runs.key.view(np.int64), "rank": doc})
+                # a text of one word over and over has the same run many times
+                _, once = np.unique(mix(runs.doc.astype(np.uint64)) ^ runs.key, return_index=True)
+                if len(once):
+                    doc = table["rank"].to_numpy()[runs.doc[once]]
+                    yield _batch({"seed": runs.seed[once].view(np.int64), "run": runs.key[once].view(np.int64), "rank": doc})
 
     return work
 
