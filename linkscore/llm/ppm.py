@@ -31,7 +31,7 @@ from linkscore.runtime import stored
 ORDER = 5  # bytes of context; a gram of ORDER + 1 bytes fits a long
 START, END = 0xFE, 0xFF  # no byte of UTF-8
 SYMBOLS = 256
-BLOCK_BYTES = 24 << 20  # text of a block on average
+BLOCK_BYTES = 32 << 20  # text of a block on average
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -86,22 +86,23 @@ class _Counts:
 
 
 def pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    """Numbers byte plane by byte plane, as their upper bytes are much alike."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T if len(values) else values
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(raw: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte plane by byte plane: the upper planes are nearly empty."""
-    steps = np.diff(keys, prepend=np.int64(0))
-    return pack(steps.view(np.uint8).reshape(-1, 8).T.copy())
+    """Sorted keys as differences."""
+    return pack(np.diff(keys, prepend=np.int64(0)))
 
 
 def unpack_keys(raw: bytes) -> np.ndarray:
-    planes = unpack(raw, np.uint8).reshape(8, -1)
-    return np.cumsum(planes.T.copy().view(np.int64).ravel())
+    return np.cumsum(unpack(raw, np.int64))
 
 
 PACKED = "block long, is_gram boolean, part int, keys binary, vals binary"
