@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from linkscore.catalog.registry import Tables, query, sql
+from linkscore.catalog import registry
+from linkscore.catalog.registry import Tables, query
 from linkscore.operators import association as A
 from linkscore.operators import features as X
 from linkscore.operators.woe import woe_table
 from linkscore.runtime import stored
 
+
+def sql(names, steps, final: str) -> str:
+    """Hops and their detail are worked out one after the other; merged, all applications would be joined with all."""
+    return registry.sql(names, steps, final, once=("kept", "one", "two", "inc", "near", "detail"))
+
+
 # The export window is the operator's own parameter: one weekly run.
 WEEK = ("1998-06-01", "1998-06-08")
 DEGREE = 40
@@ -20,6 +27,9 @@ HUBS = {
 }
 
 
+EVERY = {"kept": "SELECT * FROM app_edges"}
+
+
 def _one(start: str, end: str) -> str:
     return f"""SELECT DISTINCT a.app_time AS a_time, a.app_id AS a_order, a.entity_value AS value1,
       a.entity_type AS type1, b.app_time AS b_time, b.app_id AS b_order, CAST(a.app_time AS DATE) AS dt
@@ -46,17 +56,20 @@ def _nulls(n: int) -> str:
     return ", ".join(f"NULL AS {c}{n}" for c in A.PERFORMANCE)
 
 
-DETAIL = f"""SELECT 2 AS degree_type, i.order_id AS order_src, i.cert_no AS cert_no_src, i.apply_time AS apply_time_src,
-  type1 AS edge1, value1, type1 AS edge2, b_order AS order1, {_perf(1)},
-  type2 AS edge3, value2, type2 AS edge4, c_order AS order2, {_perf(2)}
-  FROM two JOIN inc i ON i.order_id = a_order JOIN applications p1 ON p1.order_id = b_order
-  JOIN applications p2 ON p2.order_id = c_order
+NEAR = f"""SELECT i.order_id AS order_src, i.cert_no AS cert_no_src, i.apply_time AS apply_time_src,
+  two.type1 AS edge1, value1, b_order, {_perf(1)}, two.type2 AS edge3, value2, c_order
+  FROM two JOIN inc i ON i.order_id = a_order JOIN applications p1 ON p1.order_id = b_order"""
+
+DETAIL = f"""SELECT 2 AS degree_type, order_src, cert_no_src, apply_time_src,
+  edge1, value1, edge1 AS edge2, b_order AS order1, {', '.join(f'{c}1' for c in A.PERFORMANCE)},
+  edge3, value2, edge3 AS edge4, c_order AS order2, {_perf(2)}
+  FROM near JOIN applications p2 ON p2.order_id = c_order
   UNION ALL
   SELECT 1, i.order_id, i.cert_no, i.apply_time, type1, value1, type1, b_order, {_perf(1)},
   NULL, NULL, NULL, NULL, {_nulls(2)}
   FROM one JOIN inc i ON i.order_id = a_order JOIN applications p1 ON p1.order_id = b_order"""
 
-STEPS = {**HUBS, "one": _one(*WEEK), "two": TWO, "inc": INC, "detail": DETAIL}
+STEPS = {**EVERY, "one": _one(*WEEK), "two": TWO, "inc": INC, "near": NEAR, "detail": DETAIL}
 BASE = ["applications", "app_edges"]
 
 
@@ -68,9 +81,9 @@ def _increment(t: Tables):
 
 
 def _hops(t: Tables):
-    edges = t("app_edges")
-    one = stored(A.one_hop(edges, *WEEK, max_degree=DEGREE), "one_hop")
-    return one, A.two_hop(one, edges, max_degree=DEGREE)
+    edges = stored(t("app_edges"), "edges")  # the given tables are read once for all hops
+    one = stored(A.one_hop(edges, *WEEK), "one_hop")
+    return one, A.two_hop(one, edges)
 
 
 def _detail(t: Tables):
@@ -150,12 +163,12 @@ def _(t):
 ALL_TIME = ("1995-01-01", "2001-08-01")
 
 
-@query("g05_one_hop", sql(["app_edges"], {**HUBS, "one": _one(*ALL_TIME)}, "SELECT * FROM one"))
+@query("g05_one_hop", sql(["app_edges"], {**EVERY, "one": _one(*ALL_TIME)}, "SELECT * FROM one"))
 def _(t):
-    return A.one_hop(t("app_edges"), *ALL_TIME, max_degree=DEGREE)
+    return A.one_hop(stored(t("app_edges"), "edges"), *ALL_TIME)
 
 
-@query("g06_two_hop", sql(["app_edges"], {**HUBS, "one": _one(*WEEK), "two": TWO}, "SELECT * FROM two"))
+@query("g06_two_hop", sql(["app_edges"], {**EVERY, "one": _one(*WEEK), "two": TWO}, "SELECT * FROM two"))
 def _(t):
     return _hops(t)[1]
 
@@ -255,13 +268,13 @@ def _wide_sql() -> str:
 
 WIDE_STEPS = {**STEPS, **BLOCKS_SQL, "ids": "SELECT DISTINCT order_id AS order_src FROM inc", "wide": _wide_sql()}
 SIG_STEPS = {
-    "paths": """SELECT order_src, concat(edge1, '|', edge2) AS ljmx, 1 AS depth FROM detail
+    "paths": """SELECT order_src, concat(edge1, '|', edge2) AS signature, 1 AS depth FROM detail
       WHERE degree_type = 1 AND apply_time_src > apply_time1 AND label1 = 1
       UNION ALL SELECT order_src, concat(edge1, '|', edge2, '|', edge3, '|', edge4), 2 FROM detail
       WHERE degree_type = 2 AND apply_time_src > apply_time1 AND apply_time_src > apply_time2 AND label2 = 1""",
-    "sig": "SELECT order_src, array_to_string(list_sort(list(DISTINCT ljmx)), ',') AS ljmx FROM paths GROUP BY 1",
+    "sig": "SELECT order_src, array_to_string(list_sort(list(DISTINCT signature)), ',') AS signature FROM paths GROUP BY 1",
     "depths": "SELECT order_src, max(depth) AS depth FROM paths GROUP BY 1",
-    "edges": "SELECT DISTINCT order_src, ljmx AS edge FROM paths",
+    "edges": "SELECT DISTINCT order_src, signature AS edge FROM paths",
     "marked": "SELECT e.edge, a.label AS y FROM edges e JOIN applications a ON a.order_id = e.order_src",
     "woe": """SELECT edge, ln(greatest(CAST(sum(y) AS DOUBLE) / (SELECT sum(y) FROM marked), 1e-7)
       / greatest(CAST(sum(1 - y) AS DOUBLE) / (SELECT sum(1 - y) FROM marked), 1e-7)) AS woe FROM marked GROUP BY edge""",
@@ -310,14 +323,14 @@ def _(t):
 
 @query(
     "p16_edge_signature",
-    sql(BASE, {**STEPS, **SIG_STEPS}, "SELECT order_src, ljmx, depth, count(*) AS n FROM paths GROUP BY ALL"),
+    sql(BASE, {**STEPS, **SIG_STEPS}, "SELECT order_src, signature, depth, count(*) AS n FROM paths GROUP BY ALL"),
 )
 def _(t):
-    return X.black_paths(_detail(t)).groupBy("order_src", "ljmx", "depth").agg(F.count(F.lit(1)).alias("n"))
+    return X.black_paths(_detail(t)).groupBy("order_src", "signature", "depth").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _woe_stats(t, detail):
-    edges = X.black_paths(detail).select("order_src", F.col("ljmx").alias("edge")).distinct()
+    edges = X.black_paths(detail).select("order_src", F.col("signature").alias("edge")).distinct()
     marked = edges.join(t("applications").select(F.col("order_id").alias("order_src"), "label"), "order_src")
     woe = woe_table(marked, "edge", "label").select("edge", "woe")
     stats = X.edge_woe_stats(edges, woe)
@@ -334,7 +347,7 @@ def _context(t, detail):
     return X.attach_context(X.association_features(_ids(t), detail), X.path_signatures(detail), times)
 
 
-CONTEXT = "SELECT w.*, s.ljmx, i.apply_time FROM wide w LEFT JOIN sig s USING (order_src) JOIN inc i ON i.order_id = w.order_src"
+CONTEXT = "SELECT w.*, s.signature, i.apply_time FROM wide w LEFT JOIN sig s USING (order_src) JOIN inc i ON i.order_id = w.order_src"
 
 
 @query("j06_attach_context", sql(BASE, {**WIDE_STEPS, **SIG_STEPS}, CONTEXT))

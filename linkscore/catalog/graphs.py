@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkscore.catalog.aggregates import rounded
-from linkscore.catalog.association import DEGREE, HUBS, WEEK
+from linkscore.catalog.association import EVERY, WEEK
 from linkscore.catalog.registry import query, sql
 from linkscore.operators import association as A
 from linkscore.operators import graph as G
 from linkscore.operators import knn as K
 from linkscore.operators import louvain as L
-from linkscore.runtime import cut
+from linkscore.runtime import cut, scratch_path
 
 # --- walks ---------------------------------------------------------------
 START = """SELECT concat(entity_type, ':', entity_value) AS seed, [concat(entity_type, ':', entity_value), CAST(app_id AS STRING)] AS path,
@@ -28,7 +28,7 @@ def _named(edges):
     sql(
         ["app_edges"],
         {
-            **HUBS,
+            **EVERY,
             "e": "SELECT concat(entity_type, ':', entity_value) AS entity, app_id AS app FROM kept",
             "p1": START,
             "p2": "SELECT seed, list_append(path, e.entity) AS path, apps, p1.app, e.entity FROM p1 JOIN e ON e.app = p1.app WHERE e.entity <> p1.entity",
@@ -38,7 +38,7 @@ def _named(edges):
     ),
 )
 def _(t):
-    kept = cut(_named(A.drop_hubs(t("app_edges"), DEGREE)))
+    kept = cut(_named(t("app_edges")))
     starts = kept.where(A.in_window(F.col("app_time"), *WEEK) & F.col("entity_type").isin(9, 10))
     out = G.paths(kept, starts, 3)
     return out.select("seed", F.array_join("path", ">").alias("path"), F.size("apps").cast("long").alias("apps"))
@@ -295,13 +295,30 @@ def call_graph(t):
 @query("g19_louvain_level")
 def _(t):
     edges = cut(call_graph(t))
-    _q, state, _passes = L.louvain_level(L.initial_state(edges), edges, min_progress=2000)
+    _q, state, _passes = L.louvain_level(L.initial_state(edges), edges)
     return state.select("id", "community")
 
 
 @query("g20_louvain")
 def _(t):
-    return L.louvain(call_graph(t), min_progress=2000)[0]
+    return L.louvain(call_graph(t))[0]
+
+
+@query("g21_louvain_levels")
+def _(t):
+    """What a run keeps of each level: vertices, edges between them and quality."""
+    folder = scratch_path(t.spark, "louvain")
+    _, qualities = L.louvain(call_graph(t), out_dir=folder)
+    quality = t.spark.read.schema("q double, level int").parquet(f"{folder}/quality").select("level", "q")
+    sizes = None
+    for level in range(len(qualities)):
+        read = t.spark.read.parquet(f"{folder}/level_{level}/vertices")
+        links = t.spark.read.parquet(f"{folder}/level_{level}/edges")
+        one = read.agg(F.count(F.lit(1)).alias("vertices"), F.countDistinct("community").alias("communities")).select(
+            F.lit(level).alias("level"), "vertices", "communities"
+        ).join(links.agg(F.sum("weight").alias("weight")).withColumn("level", F.lit(level)), "level")
+        sizes = one if sizes is None else sizes.unionByName(one)
+    return sizes.join(quality, "level")
 
 
 @query("g22_power_clusters")
@@ -317,6 +334,11 @@ def points(t):
     )
 
 
+def vectors(t):
+    """Embeddings in all their dimensions."""
+    return t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+
+
 def knn_sql(k: int, cells: int = 3) -> dict:
     grids = " UNION ALL ".join(
         f"SELECT id, x, y, {i} AS grid, CAST(floor((x - x0) / (x1 - x0) * {cells - 1} + {o}) * {cells} + floor((y - y0) / (y1 - y0) * {cells - 1} + {o}) AS BIGINT) AS cell FROM pt, ext"
@@ -367,11 +389,13 @@ def _(t):
 
 @query(
     "g25_nearest_label",
-    sql([], {**knn_sql(5), "kn": f"SELECT id, x, y, {KNOWN} AS label FROM pt WHERE {KNOWN} IS NOT NULL"},
-        "SELECT id, label FROM (SELECT q.id, p.label, row_number() OVER (PARTITION BY q.id ORDER BY (q.x - p.x) ** 2 + (q.y - p.y) ** 2, p.id) AS r FROM pt q JOIN kn p ON TRUE) WHERE r = 1"),
+    """WITH kn AS (SELECT vec_id AS id, embedding::DOUBLE[64] AS v, label FROM embeddings WHERE vec_id % 10 = 0 AND label IS NOT NULL)
+    SELECT id, label FROM (SELECT q.vec_id AS id, p.label, row_number() OVER (PARTITION BY q.vec_id
+      ORDER BY array_distance(q.embedding::DOUBLE[64], p.v), p.id) AS r FROM embeddings q JOIN kn p ON TRUE) WHERE r = 1""",
 )
 def _(t):
-    return K.nearest_label(_half_labelled(t), points(t).select("id", "vec"))
+    vecs = vectors(t)
+    return K.nearest_label(vecs.withColumn("label", F.when(F.col("id") % 10 == 0, F.col("label"))), vecs.select("id", "vec"))
 
 
 @query(
@@ -383,5 +407,5 @@ def _(t):
     SELECT id, label FROM v WHERE r = 1""",
 )
 def _(t):
-    vecs = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label")
+    vecs = vectors(t)
     return K.knn_classify(vecs, vecs.select("id", "vec"), 5, exclude_self=True)

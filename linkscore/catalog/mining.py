@@ -91,7 +91,7 @@ def _(t):
 @query("t06_spam_model")
 def _(t):
     docs = _labelled(t).select("doc_id", "text", "toxic")
-    return T.spam_model(docs, "text", "toxic", 1 << 14).transform(docs).select("doc_id", "toxic", "prediction")
+    return T.spam_model(docs, "text", "toxic").transform(docs).select("doc_id", "toxic", "prediction")
 
 
 GAIN_COLS = ["priority", "segment", "nation"]
@@ -119,7 +119,39 @@ def _(t):
     return rounded(M.info_gain(t("credit"), GAIN_COLS, "y"), 8, "gain")
 
 
-@query("t07_id3")
+def _id3_gains(rows: str, by: str) -> str:
+    """Information gain of both columns per node."""
+    return f"""SELECT node, col, sum(h) - max(rest) AS gain FROM (
+      SELECT z.node, z.col, -(ny / n) * log2(ny / n) AS h, rest FROM (
+        SELECT node, col, y, count(*) AS ny, sum(count(*)) OVER (PARTITION BY node, col) AS n FROM {rows} GROUP BY node, col, y) z
+      JOIN (SELECT node, col, sum(-c * log2(c / nv)) / sum(c) AS rest FROM (
+        SELECT node, col, v, y, count(*) AS c, sum(count(*)) OVER (PARTITION BY node, col, v) AS nv FROM {rows} GROUP BY node, col, v, y)
+        GROUP BY node, col) q ON q.node = z.node AND q.col = z.col) GROUP BY node, col"""
+
+
+def _id3_nodes(rows: str) -> str:
+    """Size and majority class (the smallest on a tie) of each node."""
+    return f"""SELECT node, y AS prediction, CAST(total AS BIGINT) AS size FROM (SELECT node, y, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) AS nth,
+      sum(count(*)) OVER (PARTITION BY node) AS total FROM {rows} GROUP BY node, y) WHERE nth = 1"""
+
+
+ID3 = {
+    "x0": "SELECT '' AS node, priority, segment, y FROM credit",
+    "l0": "SELECT node, 'priority' AS col, priority AS v, y FROM x0 UNION ALL SELECT node, 'segment', segment, y FROM x0",
+    "k0": _id3_gains("l0", "col"),
+    "s0": "SELECT node, col FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, col) AS nth FROM k0 WHERE gain > 1e-12) WHERE nth = 1",
+    "x1": "SELECT concat('/', col, '=', CASE col WHEN 'priority' THEN priority ELSE segment END) AS node, col AS used, priority, segment, y FROM x0 JOIN s0 ON s0.node = x0.node",
+    "l1": "SELECT node, 'priority' AS col, priority AS v, y FROM x1 WHERE used <> 'priority' UNION ALL SELECT node, 'segment', segment, y FROM x1 WHERE used <> 'segment'",
+    "k1": _id3_gains("l1", "col"),
+    "s1": "SELECT node, col FROM k1 WHERE gain > 1e-12",
+    "x2": "SELECT concat(x1.node, '/', col, '=', CASE col WHEN 'priority' THEN priority ELSE segment END) AS node, y FROM x1 JOIN s1 ON s1.node = x1.node",
+    "n": f"SELECT n0.node, col, prediction, size FROM ({_id3_nodes('x0')}) n0 LEFT JOIN s0 ON s0.node = n0.node UNION ALL "
+    f"SELECT n1.node, col, prediction, size FROM ({_id3_nodes('x1')}) n1 LEFT JOIN s1 ON s1.node = n1.node UNION ALL "
+    f"SELECT n2.node, NULL, prediction, size FROM ({_id3_nodes('x2')}) n2",
+}
+
+
+@query("t07_id3", sql(["credit"], ID3, 'SELECT node, col AS "column", prediction, size FROM n'))
 def _(t):
     return M.id3(t("credit"), ["priority", "segment"], "y", 2)
 
@@ -136,9 +168,50 @@ def _(t):
     return best.withColumn("gain", F.round(F.col("gain") / 1e6, 0))
 
 
-@query("t08_reg_tree")
+def _tree_sql(depth: int) -> dict:
+    """A level per step: all cuts by running sums, the best one per node, rows handed to the halves."""
+    out = {"x0": "SELECT l_quantity AS a, l_discount AS b, l_extendedprice AS y, '' AS node FROM lineitem"}
+    for s in range(depth):
+        out[f"g{s}"] = f"""SELECT node, col, x, count(*) AS n, sum(y) AS s FROM (SELECT node, 'l_quantity' AS col, a AS x, y FROM x{s}
+          UNION ALL SELECT node, 'l_discount', b, y FROM x{s}) GROUP BY node, col, x"""
+        out[f"r{s}"] = f"""SELECT node, col, x, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER v AS na, sum(s) OVER v AS sa
+          FROM g{s} WINDOW w AS (PARTITION BY node, col ORDER BY x), v AS (PARTITION BY node, col)"""
+        out[f"c{s}"] = f"""SELECT node, col, x, sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) - sa * sa / na AS gain
+          FROM r{s} WHERE nl < na AND nl >= 4 AND na - nl >= 4"""
+        out[f"s{s}"] = f"SELECT node, col, x FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, col DESC, x DESC) AS nth FROM c{s} WHERE gain >= 1) WHERE nth = 1"
+        out[f"x{s + 1}"] = f"SELECT a, b, y, concat(t.node, CASE WHEN CASE col WHEN 'l_quantity' THEN a ELSE b END <= x THEN 'L' ELSE 'R' END) AS node FROM x{s} t JOIN s{s} ON s{s}.node = t.node"
+    levels = [f"SELECT t.node, any_value(col) AS col, any_value(x) AS x, count(*) AS n, avg(y) AS mean FROM x{s} t LEFT JOIN s{s} ON s{s}.node = t.node GROUP BY t.node" for s in range(depth)]
+    out["t"] = " UNION ALL ".join([*levels, f"SELECT node, NULL, NULL, count(*), avg(y) FROM x{depth} GROUP BY node"])
+    return out
+
+
+@query(
+    "t08_reg_tree",
+    sql([], _tree_sql(3), 'SELECT node, col AS "column", x AS value, n, round(mean, 4) AS mean FROM t', once=tuple(f"{k}{s}" for s in range(4) for k in "xs")),
+)
+def _(t):
+    return rounded(M.reg_tree(t("lineitem"), ["l_quantity", "l_discount"], "l_extendedprice", 3), 4, "mean")
+
+
+TREE_COLS = ["l_quantity", "l_discount"]
+
+
+@query("t08_model_tree")
+def _(t):
+    lines = t("lineitem")
+    tree = M.model_tree(lines, TREE_COLS, "l_extendedprice", 2)
+    rows = [(r["node"], r["column"], r["value"], r["n"], r["coef"]) for r in tree]
+    return t.spark.createDataFrame(rows, "node string, column string, value double, n long, coef array<double>")
+
+
+@query("t08_pruned_tree")
 def _(t):
-    return M.reg_tree(t("lineitem"), ["l_quantity", "l_discount"], "l_extendedprice", 3)
+    """A tree grown on the odd orders, pruned on the even ones."""
+    lines = t("lineitem")
+    grown = M.reg_tree(lines.where("l_orderkey % 2 = 1"), TREE_COLS, "l_extendedprice", 3).collect()
+    kept = M.prune(grown, lines.where("l_orderkey % 2 = 0"), TREE_COLS, "l_extendedprice")
+    rows = [(r["node"], r["column"], r["value"], r["n"], r["mean"]) for r in kept]
+    return t.spark.createDataFrame(rows, "node string, column string, value double, n long, mean double")
 
 
 CENTRES = [[10.0, 20000.0], [25.0, 40000.0], [40.0, 80000.0]]
@@ -169,17 +242,15 @@ def _(t):
 def _(t):
     cols = ["lat", "lon"]
     pts = t("customer").select("c_custkey", (F.col("c_nationkey") * 3.0 - 40).alias("lat"), (F.col("c_acctbal") / 100).alias("lon"))
-    centres = M.bisecting(pts, cols, 3, 3, M.great_circle)
-    return M.assign(pts, cols, centres, M.great_circle)
+    return M.bisect_clusters(pts, cols, 3, 10, M.great_circle)[1]
 
 
 SUPPORT = 0.015
 SETS = {
     "n": "SELECT count(DISTINCT basket) AS n FROM baskets",
-    "i1": f"SELECT [item] AS items, count(*) AS n FROM baskets GROUP BY item HAVING count(*) >= {SUPPORT} * (SELECT n FROM n)",
-    "i2": f"SELECT [a.item, b.item] AS items, count(*) AS n FROM baskets a JOIN baskets b ON a.basket = b.basket AND a.item < b.item GROUP BY a.item, b.item HAVING count(*) >= {SUPPORT} * (SELECT n FROM n)",
-    "i3": f"SELECT [a.item, b.item, c.item] AS items, count(*) AS n FROM baskets a JOIN baskets b ON a.basket = b.basket AND a.item < b.item JOIN baskets c ON c.basket = a.basket AND b.item < c.item GROUP BY a.item, b.item, c.item HAVING count(*) >= {SUPPORT} * (SELECT n FROM n)",
-    "f": "SELECT * FROM i1 UNION ALL SELECT * FROM i2 UNION ALL SELECT * FROM i3",
+    # all subsets of a basket, so sets of any length are counted
+    "grown": "SELECT basket, [item] AS items FROM baskets UNION ALL SELECT g.basket, list_append(g.items, b.item) FROM grown g JOIN baskets b ON b.basket = g.basket AND b.item > g.items[len(g.items)]",
+    "f": f"SELECT items, count(*) AS n FROM grown GROUP BY items HAVING count(*) >= {SUPPORT} * (SELECT n FROM n)",
 }
 ITEMS = "array_to_string(items, ',') AS items"
 
@@ -207,7 +278,7 @@ def _(t):
     sql(["baskets"], {k: v.replace(f"{SUPPORT} * (SELECT n FROM n)", "225") for k, v in SETS.items()}, f"SELECT {ITEMS}, CAST(len(items) AS INT) AS size, n FROM f"),
 )
 def _(t):
-    return M.fp_growth(t("baskets"), 225, 3).withColumn("items", F.array_join("items", ","))
+    return M.fp_growth(t("baskets"), 225).withColumn("items", F.array_join("items", ","))
 
 
 PAIR = {

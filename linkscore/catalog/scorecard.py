@@ -93,65 +93,92 @@ def _(t):
     return B.bin_counts(t("credit"), ["price", "balance"], "y").drop("lower", "upper")
 
 
-@query("w07_merge_empty")
+# A thousand narrow bins leave some without one of the classes; from the left, bins are
+# joined until both are there, and what is left over at the end joins the bin before.
+NARROW = {
+    **{k: v.replace("/ 100)", "/ 1000)").replace("99)", "999)").replace("range(1, 101)", "range(1, 1001)") for k, v in COUNTS.items()},
+    "lined": "SELECT * FROM counts",
+    "fold": """SELECT var, bin, 1 AS grp, n0, n1, n0 AS s0, n1 AS s1 FROM lined WHERE bin = 1 UNION ALL
+      SELECT c.var, c.bin, CASE WHEN s0 > 0 AND s1 > 0 THEN grp + 1 ELSE grp END, c.n0, c.n1,
+      CASE WHEN s0 > 0 AND s1 > 0 THEN c.n0 ELSE s0 + c.n0 END, CASE WHEN s0 > 0 AND s1 > 0 THEN c.n1 ELSE s1 + c.n1 END
+      FROM fold f JOIN lined c ON c.var = f.var AND c.bin = f.bin + 1""",
+    "joined": "SELECT var, grp, max(bin) AS last, sum(n0) AS n0, sum(n1) AS n1, max(grp) OVER (PARTITION BY var) AS groups FROM fold GROUP BY var, grp",
+    "closed": "SELECT var, CASE WHEN grp = groups AND grp > 1 AND (n0 = 0 OR n1 = 0) THEN grp - 1 ELSE grp END AS bin, n0, n1 FROM joined",
+}
+
+
+@query(
+    "w07_merge_empty",
+    sql(["credit"], NARROW, "SELECT var, CAST(bin AS INT) AS bin, CAST(sum(n0) AS BIGINT) AS n0, CAST(sum(n1) AS BIGINT) AS n1, "
+        "CAST(sum(n0 + n1) AS BIGINT) AS total FROM closed GROUP BY var, bin"),
+)
 def _(t):
-    return B.merge_empty(B.bin_counts(t("credit"), ["price", "balance"], "y"))
+    return B.merge_empty(B.bin_counts(t("credit"), ["price", "balance"], "y", acc=0.001)).drop("lower", "upper")
 
 
-# ten bins per column keep every class count above zero
-TEN = {"t10": "SELECT var, CAST((bin + 9) // 10 AS INT) AS bin, CAST(sum(n0) AS DOUBLE) AS n0, CAST(sum(n1) AS DOUBLE) AS n1 FROM counts GROUP BY 1, 2"}
+# the raw bins, some of them without a class or without any row
 CUTS = {
-    "s": """SELECT var, bin AS cut, sum(n0) OVER w AS l0, sum(n1) OVER w AS l1, sum(n0) OVER v AS a0, sum(n1) OVER v AS a1, max(bin) OVER v AS last
-      FROM t10 WINDOW w AS (PARTITION BY var ORDER BY bin), v AS (PARTITION BY var)""",
+    "s": """SELECT var, bin AS cut, CAST(sum(n0) OVER w AS DOUBLE) AS l0, CAST(sum(n1) OVER w AS DOUBLE) AS l1,
+      CAST(sum(n0) OVER v AS DOUBLE) AS a0, CAST(sum(n1) OVER v AS DOUBLE) AS a1, max(bin) OVER v AS last
+      FROM counts WINDOW w AS (PARTITION BY var ORDER BY bin), v AS (PARTITION BY var)""",
     "c": "SELECT *, a0 - l0 AS u0, a1 - l1 AS u1, a0 + a1 AS n FROM s WHERE cut < last",
 }
-GINI = "(1 - ({0} * {0} + {1} * {1}) / (({0} + {1}) * ({0} + {1})))"
-ENT = "(-({0} / ({0} + {1})) * log2({0} / ({0} + {1})) - ({1} / ({0} + {1})) * log2({1} / ({0} + {1})))"
+
+
+def gini(a, b):
+    return f"coalesce(1 - ({a} * {a} + {b} * {b}) / nullif(({a} + {b}) * ({a} + {b}), 0), 0)"
+
+
+def ent(a, b):
+    term = "CASE WHEN {0} > 0 THEN -({0} / ({1} + {2})) * log2({0} / ({1} + {2})) ELSE 0 END"
+    return f"({term.format(a, a, b)} + {term.format(b, a, b)})"
 
 
 def chi2(a, b):
     e0, e1 = f"(({a} + {b}) * a0 / n)", f"(({a} + {b}) * a1 / n)"
-    return f"(({a} - {e0}) ** 2 / {e0} + ({b} - {e1}) ** 2 / {e1})"
+    return f"(coalesce(({a} - {e0}) ** 2 / nullif({e0}, 0), 0) + coalesce(({b} - {e1}) ** 2 / nullif({e1}, 0), 0))"
 
 
 def iv(a, b):
-    return f"(({a} / a0 - {b} / a1) * ln(({a} * a1) / ({b} * a0)))"
+    return f"(CASE WHEN {a} > 0 AND {b} > 0 THEN ({a} / a0 - {b} / a1) * ln(({a} * a1) / ({b} * a0)) END)"
 
 
 def impurity(form):
-    return f"1 - ((l0 + l1) * {form.format('l0', 'l1')} + (u0 + u1) * {form.format('u0', 'u1')}) / (n * {form.format('a0', 'a1')})"
+    return f"1 - ((l0 + l1) * {form('l0', 'l1')} + (u0 + u1) * {form('u0', 'u1')}) / (n * {form('a0', 'a1')})"
 
 
 MERITS = {
-    1: impurity(GINI),
-    2: impurity(ENT),
+    1: impurity(gini),
+    2: impurity(ent),
     3: chi2("l0", "l1") + " + " + chi2("u0", "u1"),
     4: iv("l0", "l1") + " + " + iv("u0", "u1"),
 }
 
 
-def _ten(t):
-    fine = B.bin_counts(t("credit"), ["price", "balance"], "y")
-    return fine.groupBy("var", F.expr("CAST((bin + 9) DIV 10 AS INT)").alias("bin")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+def _each(t, merit, methods):
+    fine = cut(B.bin_counts(t("credit"), ["price", "balance"], "y").select("var", "bin", "n0", "n1"))
+    out = None
+    for m in methods:
+        part = rounded(merit(fine, m).withColumn("method", F.lit(m)), 8, "merit")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
     "w08_split_merit",
-    sql(["credit"], {**COUNTS, **TEN, **CUTS}, " UNION ALL ".join(f"SELECT var, {m} AS method, cut, round({e}, 8) + 0.0 AS merit FROM c" for m, e in MERITS.items())),
+    sql(["credit"], {**COUNTS, **CUTS}, " UNION ALL ".join(f"SELECT var, {m} AS method, cut, round({e}, 8) + 0.0 AS merit FROM c" for m, e in MERITS.items())),
 )
 def _(t):
-    ten = cut(_ten(t))
-    out = None
-    for m in MERITS:
-        part = rounded(B.split_merit(ten, m).withColumn("method", F.lit(m)), 8, "merit")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _each(t, B.split_merit, MERITS)
 
 
-WHOLE = {"b": "SELECT *, sum(n0) OVER v AS a0, sum(n1) OVER v AS a1, sum(n0 + n1) OVER v AS n FROM t10 WINDOW v AS (PARTITION BY var)"}
+WHOLE = {
+    "b": """SELECT var, CAST(n0 AS DOUBLE) AS n0, CAST(n1 AS DOUBLE) AS n1, CAST(sum(n0) OVER v AS DOUBLE) AS a0,
+      CAST(sum(n1) OVER v AS DOUBLE) AS a1, CAST(sum(n0 + n1) OVER v AS DOUBLE) AS n FROM counts WINDOW v AS (PARTITION BY var)""",
+}
 WHOLE_MERITS = {
-    1: f"1 - sum((n0 + n1) * {GINI.format('n0', 'n1')}) / (max(n) * {GINI.format('max(a0)', 'max(a1)')})",
-    2: f"1 - sum((n0 + n1) * {ENT.format('n0', 'n1')}) / (max(n) * {ENT.format('max(a0)', 'max(a1)')})",
+    1: f"1 - sum((n0 + n1) * {gini('n0', 'n1')}) / (max(n) * {gini('max(a0)', 'max(a1)')})",
+    2: f"1 - sum((n0 + n1) * {ent('n0', 'n1')}) / (max(n) * {ent('max(a0)', 'max(a1)')})",
     3: f"sum({chi2('n0', 'n1')})",
     4: f"sum({iv('n0', 'n1')})",
 }
@@ -159,15 +186,10 @@ WHOLE_MERITS = {
 
 @query(
     "w09_binning_merit",
-    sql(["credit"], {**COUNTS, **TEN, **WHOLE}, " UNION ALL ".join(f"SELECT var, {m} AS method, round({e}, 8) + 0.0 AS merit FROM b GROUP BY var" for m, e in WHOLE_MERITS.items())),
+    sql(["credit"], {**COUNTS, **WHOLE}, " UNION ALL ".join(f"SELECT var, {m} AS method, round({e}, 8) + 0.0 AS merit FROM b GROUP BY var" for m, e in WHOLE_MERITS.items())),
 )
 def _(t):
-    ten = cut(_ten(t))
-    out = None
-    for m in WHOLE_MERITS:
-        part = rounded(B.binning_merit(ten, m).withColumn("method", F.lit(m)), 8, "merit")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _each(t, B.binning_merit, WHOLE_MERITS)
 
 
 @query("w10_optimal_bins")
@@ -175,7 +197,34 @@ def _(t):
     return B.optimal_bins(t("credit"), ["price", "balance"], "y")
 
 
-@query("w11_reduce_categories")
+def _reduced(steps: int) -> dict:
+    """Greedy cuts one after the other: best cut of each group, then the one best for the whole partition."""
+    part = "CASE WHEN {0} > 0 AND {1} > 0 THEN ({0} / {2} - {1} / {3}) * ln(({0} * {3}) / ({1} * {2})) END"
+    out = {
+        "cat": "SELECT nation AS value, CAST(sum(1 - y) AS DOUBLE) AS n0, CAST(sum(y) AS DOUBLE) AS n1 FROM credit GROUP BY nation",
+        "r": """SELECT *, row_number() OVER w AS k, sum(n0) OVER w AS c0, sum(n1) OVER w AS c1 FROM cat
+          WINDOW w AS (ORDER BY n1 / (n0 + n1), value ROWS UNBOUNDED PRECEDING)""",
+        "b0": "SELECT 0 AS k, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1 UNION ALL SELECT max(k), max(c0), max(c1) FROM r",
+    }
+    for s in range(steps):
+        out[f"g{s}"] = f"SELECT k AS lo, c0 AS l0, c1 AS l1, lead(k) OVER w AS hi, lead(c0) OVER w AS h0, lead(c1) OVER w AS h1 FROM b{s} WINDOW w AS (ORDER BY k)"
+        out[f"m{s}"] = (
+            f"SELECT lo, k, c0, c1, {part.format('(c0 - l0)', '(c1 - l1)', '(h0 - l0)', '(h1 - l1)')} + "
+            f"{part.format('(h0 - c0)', '(h1 - c1)', '(h0 - l0)', '(h1 - l1)')} AS merit FROM r JOIN g{s} ON k > lo AND k < hi"
+        )
+        out[f"p{s}"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lo ORDER BY merit DESC, k) AS nth FROM m{s} WHERE merit > 0) WHERE nth = 1"
+        out[f"u{s}"] = f"SELECT p.k AS cand, b.k, b.c0, b.c1 FROM p{s} p, b{s} b UNION ALL SELECT k, k, c0, c1 FROM p{s}"
+        out[f"d{s}"] = f"SELECT cand, c0 - lag(c0) OVER w AS d0, c1 - lag(c1) OVER w AS d1, max(c0) OVER (PARTITION BY cand) AS a0, max(c1) OVER (PARTITION BY cand) AS a1 FROM u{s} WINDOW w AS (PARTITION BY cand ORDER BY k)"
+        out[f"v{s}"] = f"SELECT cand, sum({part.format('d0', 'd1', 'a0', 'a1')}) AS merit FROM d{s} WHERE d0 IS NOT NULL GROUP BY cand"
+        out[f"b{s + 1}"] = f"SELECT * FROM b{s} UNION ALL SELECT k, c0, c1 FROM r WHERE k = (SELECT cand FROM v{s} ORDER BY merit DESC, cand LIMIT 1)"
+    return out
+
+
+@query(
+    "w11_reduce_categories",
+    sql(["credit"], _reduced(4), "SELECT value, CAST((SELECT count(*) FROM b4 WHERE b4.k < r.k) AS INT) AS grp, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1 FROM r",
+        once=("r", *[f"b{s}" for s in range(5)])),
+)
 def _(t):
     return B.reduce_categories(t("credit"), "nation", "y")
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from linkscore.catalog.aggregates import rounded
+from linkscore.catalog.association import BASE, STEPS, WIDE_STEPS, _one
+from linkscore.catalog.association import sql as hop_sql
 from linkscore.catalog.registry import query, sql
 from linkscore.operators import evaluate as E
 from linkscore.operators import features as X
@@ -12,7 +16,8 @@ from linkscore.operators import linear as L
 from linkscore.operators import train as T
 from linkscore.plans.daily import Folders, daily_run
 from linkscore.plans.scorecard import build_scorecard
-from linkscore.runtime import cut, scratch_path
+from linkscore.runtime import cut, scratch_path, stored
+from linkscore.sources.files import commit_history
 
 XS = ["price", "balance", "rank"]
 
@@ -49,7 +54,7 @@ for _name, _kind, _settings in (
     ("m04_forest_classify", "forest_classify", {}),
     ("m04_forest_regress", "forest_regress", {}),
     ("m05_gbt_classify", "gbt_classify", {}),
-    ("m05_gbt_regress", "gbt_regress", {"maxIter": 5}),
+    ("m05_gbt_regress", "gbt_regress", {}),
 ):
     query(_name)(_trained(_kind, **_settings))
 
@@ -228,17 +233,95 @@ def _(t):
     return E.compare_models(models, df, "id", 3)
 
 
+# a rule fitted like a model: positive above a share of the mean score of the positive training rows
+PARAMS = (0.5, 0.9, 1.0, 1.2)
+
+
+def _rule(share: float):
+    def fit(train):
+        centre = train.where("y = 1").agg(F.avg("score").alias("m")).scalar()
+        return lambda rows: rows.withColumn("predicted", (F.col("score") >= F.lit(share) * centre).cast("int"))
+
+    return fit
+
+
+def _errors_sql(by: str) -> str:
+    return f"""SELECT {by}, count(*) AS n, sum(CASE WHEN predicted = 1 AND y = 1 THEN 1 ELSE 0 END) / sum(y) AS recall,
+      sum(CASE WHEN predicted = 1 AND y = 1 THEN 1 ELSE 0 END) / sum(predicted) AS precision, sqrt(avg((predicted - y) ** 2)) AS rmse
+      FROM s GROUP BY {by}"""
+
+
+@query(
+    "e09_compare_parameters",
+    sql(
+        ["scored"],
+        {
+            "f": "SELECT *, CAST('0x' || substr(md5(concat(CAST(id AS STRING), '|11')), 1, 8) AS BIGINT) % 5 AS fold FROM scored",
+            "k": "SELECT DISTINCT fold FROM f",
+            "c": "SELECT k.fold, avg(score) AS centre FROM k JOIN f ON f.fold <> k.fold WHERE y = 1 GROUP BY k.fold",
+            "s": f"SELECT param, f.fold, y, CASE WHEN score >= param * centre THEN 1 ELSE 0 END AS predicted FROM f JOIN c ON c.fold = f.fold, (SELECT unnest([{', '.join(f'{p}::DOUBLE' for p in PARAMS)}]) AS param)",
+            "e": _errors_sql("param, fold"),
+            "m": "SELECT param, avg(recall) AS mean_recall, avg(rmse) AS mean_rmse, stddev_pop(rmse) AS sd_rmse FROM e GROUP BY param",
+        },
+        "SELECT param, round(mean_recall, 8) AS mean_recall, round(mean_rmse, 8) AS mean_rmse, round(sd_rmse, 8) AS sd_rmse, "
+        "row_number() OVER (ORDER BY round(mean_recall, 9) DESC, param) = 1 AS best FROM m",
+    ),
+)
+def _(t):
+    return rounded(E.compare_parameters(t("scored"), PARAMS, _rule, "y", "id"), 8, "mean_recall", "mean_rmse", "sd_rmse")
+
+
+@query(
+    "e09_shuffle_split",
+    sql(
+        ["scored"],
+        {
+            "f": "SELECT *, CAST(CAST('0x' || substr(md5(concat(CAST(id AS STRING), '|', CAST(11 + split AS STRING))), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.1 AS held FROM scored, range(0, 10) r(split)",
+            "c": "SELECT split, avg(score) AS centre FROM f WHERE NOT held AND y = 1 GROUP BY split",
+            "s": "SELECT f.split, y, CASE WHEN score >= centre THEN 1 ELSE 0 END AS predicted FROM f JOIN c ON c.split = f.split WHERE held",
+            "e": _errors_sql("split"),
+        },
+        "SELECT CAST(split AS INT) AS split, n, round(recall, 8) AS recall, round(precision, 8) AS precision, round(rmse, 8) AS rmse FROM e",
+    ),
+)
+def _(t):
+    return rounded(E.shuffle_split(t("scored"), "id", _rule(1.0), "y"), 8, "recall", "precision", "rmse")
+
+
 @query("e10_importance")
 def _(t):
     model = T.train(credit(t), "forest_regress", XS, "y").stages[-1]
     return E.importance(t.spark, model, XS)
 
 
-@query("r08_daily_run")
+# A linear rule stands for a trained model: what it gives can be written in SQL.
+RULE = " + ".join(f"{i} * {c}" for i, c in enumerate(X.ALL_COUNTERS, 1))
+RUNS = ("1998-06-01", "1998-06-02", "1998-06-03")
+# from the first run's day to the last one's, with all their earlier links
+DAILY = {
+    **STEPS,
+    "one": _one(RUNS[0], "1998-06-04").replace("a.app_time BETWEEN", "a.app_time < TIMESTAMP '1998-06-04 00:00:00' AND a.app_time BETWEEN"),
+    "inc": "SELECT * FROM applications WHERE apply_time >= TIMESTAMP '1998-06-01 00:00:00' AND apply_time < TIMESTAMP '1998-06-04 00:00:00'",
+    **{k: v for k, v in WIDE_STEPS.items() if k not in STEPS},
+}
+
+
+@query(
+    "r08_daily_run",
+    hop_sql(BASE, DAILY, f"SELECT order_src, {', '.join(X.ALL_COUNTERS)}, CAST(i.apply_time AS DATE) AS dt, CAST({RULE} AS DOUBLE) AS score "
+        "FROM wide JOIN inc i ON i.order_id = order_src"),
+)
 def _(t):
-    root = Folders(scratch_path(t.spark, "daily"))
-    apps, edges = t("applications"), t("app_edges")
-    out = None
-    for day in ("1998-06-01", "1998-06-02"):
-        out = daily_run(t.spark, day, apps, edges, root, max_degree=40)
-    return out.select("order_src", *X.ALL_COUNTERS)
+    """Three days, the first with applications that arrive a day late, the second run twice."""
+    folders = Folders(scratch_path(t.spark, "daily"))
+    apps, edges = t("applications"), stored(t("app_edges"), "edges")
+    model = PipelineModel([SQLTransformer(statement=f"SELECT *, CAST({RULE} AS DOUBLE) AS prediction FROM __THIS__")])
+    old = apps.where(F.col("apply_time") < F.lit(RUNS[0]).cast("timestamp_ntz")).select("order_id")
+    commit_history(old, folders.history, "1998-05-31")
+    late = (F.to_date("apply_time") == F.lit(RUNS[0]).cast("date")) & (F.col("order_id") % 3 == 0)
+    daily_run(t.spark, RUNS[0], apps.where(~late), edges, folders, model)
+    for day in (*RUNS[1:], RUNS[1]):
+        daily_run(t.spark, day, apps, edges, folders, model)
+    wide = t.spark.read.parquet(folders.features).select("order_src", *X.ALL_COUNTERS)
+    scores = t.spark.read.parquet(folders.scores).select("order_src", "dt", "score")
+    return wide.join(scores, "order_src")

@@ -69,7 +69,10 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins with count and density, plus mean and deviation of the column."""
+    """Equal-width bins with count and density, plus mean and deviation of the column.
+
+    A constant column has all its rows in the first bin, with no density.
+    """
     s = df.agg(
         F.struct(
             F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n"),
@@ -77,13 +80,13 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
         )
     ).scalar()
     width = (s["hi"] - s["lo"]) / bins
-    at = F.least(F.floor((F.col(col) - s["lo"]) / width), F.lit(bins - 1)).cast("int")
+    at = F.least(F.floor(F.coalesce(F.try_divide(F.col(col) - s["lo"], width), F.lit(0.0))), F.lit(bins - 1)).cast("int")
     counts = df.where(F.col(col).isNotNull()).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return counts.select(
         "bin",
         (s["lo"] + width * F.col("bin")).alias("lower"),
         "count",
-        (F.col("count") / s["n"] / width).alias("density"),
+        F.try_divide(F.col("count") / s["n"], width).alias("density"),
         s["mean"].alias("mean"),
         s["sd"].alias("sd"),
     )

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkscore.runtime import stored
 from linkscore.skew import salted_join
 
 # Entity type codes of the association graph.
@@ -119,26 +120,26 @@ def in_window(ts: Column, start: str, end: str, lag_days: int = 0) -> Column:
 
 def one_hop(
     edges: DataFrame,
-    start: str,
-    end: str,
-    max_degree: int | None = MAX_DEGREE,
+    start: str | None = None,
+    end: str | None = None,
+    max_degree: int | None = None,
     lag_days: int = 0,
+    seeds: DataFrame | None = None,
 ) -> DataFrame:
-    """Applications in the window linked to strictly earlier applications.
+    """Applications of the window linked to strictly earlier applications.
 
-    Seeds are cut to the window before the join. Without hubs an entity has
-    fewer than ``max_degree`` rows; without a degree limit the rows of a hot
-    entity are spread by application id.
+    ``seeds`` (``app_id``) names the applications themselves, instead of or
+    besides a window. They are cut out before the join. All entities count
+    unless ``max_degree`` leaves the hubs out; the rows of a hot entity are
+    spread by application id.
     """
     kept = edges if max_degree is None else drop_hubs(edges, max_degree)
-    seeds = kept.where(in_window(F.col("app_time"), start, end, lag_days)).select(
-        *KEY, F.col("app_id").alias("a_order"), F.col("app_time").alias("a_time")
-    )
+    chosen = kept if start is None else kept.where(in_window(F.col("app_time"), start, end, lag_days))
+    if seeds is not None:
+        chosen = chosen.join(seeds.select("app_id"), "app_id", "left_semi")
+    seed_rows = chosen.select(*KEY, F.col("app_id").alias("a_order"), F.col("app_time").alias("a_time"))
     older = kept.select(*KEY, F.col("app_id").alias("b_order"), F.col("app_time").alias("b_time"))
-    if max_degree is None:
-        linked = salted_join(older, seeds, KEY, F.col("b_order"))
-    else:
-        linked = older.join(seeds, KEY)
+    linked = salted_join(older, seed_rows, KEY, F.col("b_order"))
     return (
         linked.where((F.col("a_time") > F.col("b_time")) & (F.col("a_order") != F.col("b_order")))
         .select(
@@ -154,11 +155,12 @@ def one_hop(
     )
 
 
-def two_hop(one: DataFrame, edges: DataFrame, max_degree: int | None = MAX_DEGREE) -> DataFrame:
+def two_hop(one: DataFrame, edges: DataFrame, max_degree: int | None = None) -> DataFrame:
     """Extend one-hop rows by any entity of ``b`` to a third application ``c``.
 
     ``c`` differs from ``a`` and ``b`` and is strictly earlier than ``a``; it
-    need not be earlier than ``b``.
+    need not be earlier than ``b``. Both joins spread the rows of an application
+    or entity that very many hops pass through.
     """
     kept = edges if max_degree is None else drop_hubs(edges, max_degree)
     via = kept.select(
@@ -172,9 +174,9 @@ def two_hop(one: DataFrame, edges: DataFrame, max_degree: int | None = MAX_DEGRE
         F.col("app_id").alias("c_order"),
         F.col("app_time").alias("c_time"),
     )
+    middle = stored(salted_join(one, via, ["b_order"], F.struct("a_order", "value1")), "middle")
     return (
-        one.join(via, "b_order")
-        .join(third, ["type2", "value2"])
+        salted_join(third, middle, ["type2", "value2"], F.col("c_order"))
         .where(
             (F.col("c_order") != F.col("a_order"))
             & (F.col("c_order") != F.col("b_order"))

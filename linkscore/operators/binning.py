@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkscore.ordered import running_sums
+from linkscore.runtime import cut
+
 MAX_BINS = 1_000
-MAX_CATEGORIES = 1_000_000
 METHODS = {1: "gini", 2: "entropy", 3: "chi2", 4: "iv"}
 
 
@@ -52,6 +54,10 @@ def bin_counts(df: DataFrame, cols: Sequence[str], y: str, acc: float = 0.01, ad
     """
     m = int(1.0 / acc)
     ends = df.agg(*[e.cast("double").alias(f"{c}__{n}") for c in cols for n, e in (("lo", F.min(c)), ("hi", F.max(c)))]).first()
+    cols = [c for c in cols if ends[f"{c}__lo"] is not None]  # a column without values has no bins
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], BINS)
     entries = []
     for c in cols:
         lo, hi = ends[f"{c}__lo"], ends[f"{c}__hi"]
@@ -59,7 +65,7 @@ def bin_counts(df: DataFrame, cols: Sequence[str], y: str, acc: float = 0.01, ad
             F.struct(F.lit(c).alias("var"), F.col(c).cast("double").alias("x"), F.lit(lo).alias("lo"), F.lit((hi - lo) / m).alias("step"))
         )
     long = df.select(F.col(y).alias("_y"), F.explode(F.array(*entries)).alias("e")).select("_y", "e.*").where(F.col("x").isNotNull())
-    guess = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("step")), F.lit(m - 1))
+    guess = F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("step"))), F.lit(m - 1))
     # settle rounding against the very borders the map states
     guess = F.when(F.col("step") == 0, F.lit(m - 1)).otherwise(guess)
     exact = (
@@ -70,7 +76,6 @@ def bin_counts(df: DataFrame, cols: Sequence[str], y: str, acc: float = 0.01, ad
     counts = long.groupBy("var", (exact + 1).cast("int").alias("bin")).agg(
         F.sum(1 - F.col("_y")).cast("long").alias("n0"), F.sum("_y").cast("long").alias("n1")
     )
-    spark = df.sparkSession
     grid = []
     for c in cols:
         lo, hi = ends[f"{c}__lo"], ends[f"{c}__hi"]
@@ -114,27 +119,36 @@ def merge_empty(bins: DataFrame) -> DataFrame:
 
 
 def _spread(n0: Column, n1: Column, method: int) -> Column:
-    """Impurity (Gini or entropy) of a group with the given class counts."""
+    """Impurity (Gini or entropy) of a group with the given class counts; an empty group has none."""
     n = n0 + n1
     if method == 1:
-        return 1 - (n0 * n0 + n1 * n1) / (n * n)
+        return F.coalesce(1 - F.try_divide(n0 * n0 + n1 * n1, n * n), F.lit(0.0))
 
     def term(k: Column) -> Column:
-        return F.when(k > 0, -(k / n) * F.log2(k / n)).otherwise(F.lit(0.0))
+        share = F.try_divide(k, n)
+        return F.when(k > 0, -share * F.log2(share)).otherwise(F.lit(0.0))
 
     return term(n0) + term(n1)
 
 
 def _part_merit(n0: Column, n1: Column, all0: Column, all1: Column, method: int) -> Column:
-    """What one group adds to the merit of a partition."""
+    """What one group adds to the merit of a partition.
+
+    An empty group adds nothing. With one class in all there is no merit by
+    impurity or chi-square terms of the absent class; information value is
+    undefined (NULL) for a group that lacks a class.
+    """
     if method in (1, 2):
-        return (n0 + n1) * _spread(n0, n1, method) / ((all0 + all1) * _spread(all0, all1, method))
+        whole = (all0 + all1) * _spread(all0, all1, method)
+        return F.coalesce(F.try_divide((n0 + n1) * _spread(n0, n1, method), whole), (n0 + n1) / F.greatest(all0 + all1, F.lit(1.0)))
     if method == 3:
-        total = all0 + all1
-        e0, e1 = (n0 + n1) * all0 / total, (n0 + n1) * all1 / total
-        return (n0 - e0) * (n0 - e0) / e0 + (n1 - e1) * (n1 - e1) / e1
-    safe = F.when((n0 > 0) & (n1 > 0), (n0 / all0 - n1 / all1) * F.log((n0 * all1) / (n1 * all0)))
-    return safe
+        e0 = F.try_divide((n0 + n1) * all0, all0 + all1)
+        e1 = F.try_divide((n0 + n1) * all1, all0 + all1)
+        return F.coalesce(F.try_divide((n0 - e0) * (n0 - e0), e0), F.lit(0.0)) + F.coalesce(
+            F.try_divide((n1 - e1) * (n1 - e1), e1), F.lit(0.0)
+        )
+    both = (n0 > 0) & (n1 > 0)
+    return F.when(both, (n0 / all0 - n1 / all1) * F.log((n0 * all1) / (n1 * all0)))
 
 
 def split_merit(bins: DataFrame, method: int) -> DataFrame:
@@ -246,21 +260,59 @@ def optimal_bins(
 def reduce_categories(df: DataFrame, col: str, y: str, method: int = 4, mmax: int = 5) -> DataFrame:
     """(value, grp, n0, n1): categories in at most ``mmax`` groups by bad rate.
 
-    The search works on one row per category; their number is checked.
+    The search is that of :func:`greedy_groups`, over any number of categories:
+    they are ordered by rate across range partitions and get running sums, and
+    each step finds the best cut of every group in one aggregation. Only one row
+    per group reaches the driver.
     """
     counts = df.groupBy(F.col(col).cast("string").alias("value")).agg(
         F.sum(1 - F.col(y)).cast("long").alias("n0"), F.sum(y).cast("long").alias("n1")
     )
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MAX_CATEGORIES:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories")
-        rate = pdf["n1"] / (pdf["n0"] + pdf["n1"])
-        pdf = pdf.assign(rate=rate).sort_values(["rate", "value"])
-        pdf["grp"] = greedy_groups(pdf["n0"].to_numpy(), pdf["n1"].to_numpy(), method, mmax)
-        return pdf[["value", "grp", "n0", "n1"]]
-
-    return counts.groupBy(F.lit(col)).applyInPandas(search, "value string, grp int, n0 long, n1 long")
+    rated = counts.withColumn("rate", F.col("n1") / (F.col("n0") + F.col("n1")))
+    order = [F.col("rate"), F.col("value")]
+    run = cut(_numbered(rated, order))
+    last = run.agg(F.max("nth"), F.max("c0"), F.max("c1")).first()
+    if last[0] is None:
+        return counts.withColumn("grp", F.lit(1)).select("value", "grp", "n0", "n1")
+    borders = [(0, 0, 0), tuple(last)]  # (categories, n0, n1) up to each border
+    while len(borders) - 1 < mmax:
+        best = _best_cut(run, borders, method)
+        if best is None:
+            break
+        borders = best
+    grp = F.lit(len(borders) - 1)
+    for i in range(len(borders) - 2, 0, -1):
+        grp = F.when(F.col("nth") <= borders[i][0], F.lit(i)).otherwise(grp)
+    return run.select("value", grp.cast("int").alias("grp"), "n0", "n1")
+
+
+def _numbered(rated: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Categories with their place in the order and running counts."""
+    return running_sums(rated.withColumn("_one", F.lit(1).cast("long")), order, {"nth": "_one", "c0": "n0", "c1": "n1"}).drop("_one")
+
+
+def _best_cut(run: DataFrame, borders: list[tuple[int, int, int]], method: int) -> list[tuple[int, int, int]] | None:
+    """The borders with the one cut more that gives the whole partition the highest merit."""
+    group = F.lit(len(borders) - 2)
+    for i in range(len(borders) - 2, 0, -1):
+        group = F.when(F.col("nth") <= borders[i][0], F.lit(i - 1)).otherwise(group)
+    ends = F.array(*[F.struct(*[F.lit(float(v)).alias(n) for v, n in zip(b, ("k", "a0", "a1"))]) for b in borders])
+    low, high = F.element_at(ends, F.col("g") + 1), F.element_at(ends, F.col("g") + 2)
+    left = [F.col(c).cast("double") - low[a] for c, a in (("c0", "a0"), ("c1", "a1"))]
+    right = [high[a] - F.col(c).cast("double") for c, a in (("c0", "a0"), ("c1", "a1"))]
+    whole = [high[a] - low[a] for a in ("a0", "a1")]
+    merit = _part_merit(*left, *whole, method) + _part_merit(*right, *whole, method)
+    scored = run.withColumn("g", group).where(F.col("nth") < high["k"]).select(
+        "g", "nth", "c0", "c1", (1 - merit if method in (1, 2) else merit).alias("merit")
+    )
+    found = scored.where("merit > 0").groupBy("g").agg(F.max(F.struct("merit", (-F.col("nth")).alias("k"), "c0", "c1")).alias("b")).collect()
+    best = None
+    for r in sorted(found, key=lambda r: r["g"]):
+        new = sorted([*borders, (-r["b"]["k"], r["b"]["c0"], r["b"]["c1"])])
+        value = merit_of(np.diff([b[1] for b in new]), np.diff([b[2] for b in new]), method)
+        if best is None or value > best[0]:
+            best = (value, new)
+    return best and best[1]
 
 
 def apply_category_map(df: DataFrame, col: str, groups: DataFrame) -> DataFrame:

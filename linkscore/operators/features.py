@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Counter titles.
 COUNT_TITLES = ["order_cnt", "id_cnt", "black_cnt", "q_refuse_cnt", "pass_cnt"]
@@ -88,9 +89,14 @@ def pivot_titles(long: DataFrame, titles: Sequence[str]) -> DataFrame:
     return long.groupBy("order_src").pivot("title", list(titles)).agg(F.sum("cnt")).fillna(0)
 
 
+def _id(df: DataFrame, c: str) -> Column:
+    """The id in its own type; text without blanks around it."""
+    return (F.trim(c) if df.schema[c].dataType == T.StringType() else F.col(c)).alias(c)
+
+
 def merge_features(ids: DataFrame, blocks: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """Distinct ids with every block attached (suffix per block), missing counts 0."""
-    wide = ids.select(F.trim(F.col("order_src").cast("string")).cast("long").alias("order_src")).distinct()
+    wide = ids.select(_id(ids, "order_src")).distinct()
     for block, suffix in blocks:
         cols = [c for c in block.columns if c != "order_src"]
         wide = wide.join(block.select("order_src", *[F.col(c).alias(c + suffix) for c in cols]), "order_src", "left")
@@ -154,7 +160,7 @@ def edge_signature(types: Sequence[Column], sep: str = "|") -> Column:
 
 
 def black_paths(detail: DataFrame) -> DataFrame:
-    """(order_src, ljmx, depth): signature of every path that ends in a tagged application."""
+    """(order_src, signature, depth): signature of every path that ends in a tagged application."""
     hop2 = F.col("degree_type") == 2
     one = edge_signature([F.col("edge1"), F.col("edge2")])
     two = edge_signature([F.col("edge1"), F.col("edge2"), F.col("edge3"), F.col("edge4")])
@@ -163,7 +169,7 @@ def black_paths(detail: DataFrame) -> DataFrame:
         F.col("label1") == 1
     )
     return detail.where(earlier & black).select(
-        "order_src", F.when(hop2, two).otherwise(one).alias("ljmx"), F.col("degree_type").alias("depth")
+        "order_src", F.when(hop2, two).otherwise(one).alias("signature"), F.col("degree_type").alias("depth")
     )
 
 
@@ -172,7 +178,7 @@ def path_signatures(detail: DataFrame) -> DataFrame:
     return (
         black_paths(detail)
         .groupBy("order_src")
-        .agg(F.array_join(F.sort_array(F.collect_set("ljmx")), ",").alias("ljmx"))
+        .agg(F.array_join(F.sort_array(F.collect_set("signature")), ",").alias("signature"))
     )
 
 

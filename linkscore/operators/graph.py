@@ -9,6 +9,7 @@ vertex that receives very many messages is no hot spot either.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -87,12 +88,12 @@ def drop_high_degree(edges: DataFrame, max_degree: int) -> DataFrame:
 def neighbourhood(
     edges: DataFrame,
     seeds: DataFrame,
-    degree: int,
+    degree: int | None,
     max_degree: int | None = None,
     attrs: DataFrame | None = None,
     edge_filter: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
-    """(seed, hop, id): vertices within ``degree`` undirected hops, hop 0 being the seed.
+    """(seed, hop, id): vertices within ``degree`` undirected hops (None: all), hop 0 being the seed.
 
     ``edge_filter(a, b)`` keeps the steps from a vertex with attribute ``a`` to
     one with attribute ``b`` (table ``attrs``: id, attr), in either direction.
@@ -107,7 +108,7 @@ def neighbourhood(
         steps = steps.join(a, "src").join(b, "dst").where(edge_filter(F.col("_a"), F.col("_b"))).select("src", "dst")
     steps = blocked(steps)
     seen = cut(seeds.select(F.col("id").alias("seed"), F.lit(0).alias("hop"), "id").distinct())
-    for hop in range(1, degree + 1):
+    for hop in itertools.count(1) if degree is None else range(1, degree + 1):
         front = seen.where(F.col("hop") == hop - 1).select("seed", F.col("id").alias("src"))
         new = steps.send(front).select("seed", F.lit(hop).alias("hop"), F.col("dst").alias("id")).distinct()
         seen = cut(seen.unionByName(new).groupBy("seed", "id").agg(F.min("hop").alias("hop")).select("seed", "hop", "id"))
@@ -211,19 +212,22 @@ def iterate(
 
 
 def pagerank(
-    edges: DataFrame, rounds: int | None = None, tol: float | None = None, reset: float = 0.15, max_rounds: int = 200
+    edges: DataFrame, rounds: int | None = None, tol: float | None = None, reset: float = 0.15
 ) -> DataFrame:
     """(id, rank): ranks start at 1.0, ``reset + (1 - reset) * incoming shares`` per round.
 
-    A fixed number of rounds, or rounds until no rank changes by ``tol``.
+    A fixed number of rounds, or rounds until no rank changes by ``tol``, which
+    comes about because every round shrinks the changes by ``1 - reset``.
     """
+    if rounds is None and not (tol and tol > 0):
+        raise ValueError("give rounds or a positive tolerance")
     e = edges.select("src", "dst").distinct()
     steps = blocked(e)
     out = steps.edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out"))
     n = shuffle_width(edges.sparkSession)
     base = cut(vertices_of(steps.edges).join(out, "id", "left").repartition(n, "id"))
     state = base.withColumn("rank", F.lit(1.0))
-    for r in range(1, (rounds if rounds is not None else max_rounds) + 1):
+    for r in itertools.count(1) if rounds is None else range(1, rounds + 1):
         share = state.where("out IS NOT NULL").select(F.col("id").alias("src"), (F.col("rank") / F.col("out")).alias("_m"))
         sums = steps.send(share).groupBy(F.col("dst").alias("id")).agg(F.sum("_m").alias("_m"))
         rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("_m", F.lit(0.0))
@@ -262,8 +266,8 @@ def hits(edges: DataFrame, rounds: int) -> DataFrame:
     return hub.withColumnRenamed("v", "hub").join(authority.withColumnRenamed("v", "authority"), "id")
 
 
-def landmark_distances(edges: DataFrame, landmarks: DataFrame, max_hops: int = 100) -> DataFrame:
-    """(id, landmark, distance): shortest undirected hop counts to the landmarks."""
+def landmark_distances(edges: DataFrame, landmarks: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """(id, landmark, distance): shortest undirected hop counts to the landmarks, however far."""
     got = neighbourhood(edges, landmarks, max_hops)
     return got.select("id", F.col("seed").alias("landmark"), F.col("hop").alias("distance"))
 
@@ -322,16 +326,17 @@ def structural_similarity(edges: DataFrame) -> DataFrame:
     return c.select("src", "dst", cos.alias("similarity"))
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """(id, component): the smallest vertex id of each undirected component.
 
     Every round takes the least label around a vertex and then follows the
-    label's own label, which halves long chains.
+    label's own label, which halves long chains; the loop ends when no label
+    changes, which it must, as labels only fall.
     """
     steps = blocked(both_ways(edges))
     ids = vertices_of(steps.edges) if vertices is None else vertices.select("id").distinct()
     state = cut(ids.withColumn("component", F.col("id")))
-    for _ in range(max_rounds):
+    while True:
         around = steps.send(state.select(F.col("id").alias("src"), F.col("component").alias("_m")))
         least = around.groupBy(F.col("dst").alias("id")).agg(F.min("_m").alias("_m"))
         near = cut(

@@ -98,8 +98,9 @@ def lwlr(df: DataFrame, x: str, y: str, at: Sequence[float], k: float) -> DataFr
         )
     )
     det = F.col("s") * F.col("sxx") - F.col("sx") * F.col("sx")
-    # the line is written around the point itself, so its value there is the intercept
-    return sums.select(F.col("at").alias("x"), ((F.col("sxx") * F.col("sy") - F.col("sx") * F.col("sxy")) / det).alias("predicted"))
+    # the line is written around the point itself, so its value there is the intercept;
+    # where all rows lie at one place there is no line and the weighted mean stands in
+    return sums.select(F.col("at").alias("x"), F.coalesce(F.try_divide(F.col("sxx") * F.col("sy") - F.col("sx") * F.col("sxy"), det), F.try_divide("sy", "s")).alias("predicted"))
 
 
 def _dot(xs: Sequence[Column], w: Sequence[float]) -> Column:

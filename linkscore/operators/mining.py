@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +17,11 @@ from linkscore.skew import blocked_pairs, salted_join
 # --- itemsets ------------------------------------------------------------
 
 
-def apriori(baskets: DataFrame, min_support: float, max_size: int = 3) -> DataFrame:
+def apriori(baskets: DataFrame, min_support: float, max_size: int | None = None) -> DataFrame:
     """(items, size, n, support) of the itemsets held by at least the given share of baskets.
 
+    Sets grow until no longer one is frequent, or to ``max_size`` if given.
+
     Only frequent items travel; pairs of a large basket are formed in blocks,
     and longer sets grow from the frequent ones, so a set is counted only
     where its shorter prefix is frequent.
@@ -33,19 +38,21 @@ def apriori(baskets: DataFrame, min_support: float, max_size: int = 3) -> DataFr
     kept = cut(rows.join(frequent, "item", "left_semi").select("basket", "item"))
     levels = [one]
     held = None
-    for size in range(2, max_size + 1):
+    for size in itertools.count(2):
+        if max_size is not None and size > max_size:
+            break
         if size == 2:
             grown = blocked_pairs(kept, "basket", "item").select("basket", F.array("item_a", "item_b").alias("items"))
         else:
             grown = salted_join(held, kept, ["basket"], F.col("items")).where(
                 F.col("item") > F.element_at("items", -1)
             ).select("basket", F.concat("items", F.array("item")).alias("items"))
+        grown = cut(grown)
         sets = cut(keep(grown.groupBy("items").agg(F.count(F.lit(1)).alias("n"))))
         if sets.isEmpty():
             break
         levels.append(sets)
-        if size < max_size:
-            held = cut(grown.join(sets.select("items"), "items", "left_semi").select("basket", "items"))
+        held = cut(grown.join(sets.select("items"), "items", "left_semi").select("basket", "items"))
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
@@ -233,6 +240,92 @@ def predict_tree(df: DataFrame, nodes: Sequence, cols: Sequence[str]) -> Column:
     return walk("")
 
 
+def model_tree(df: DataFrame, cols: Sequence[str], y: str, depth: int, min_gain: float = 1.0, min_rows: int = 4) -> list[dict]:
+    """Tree with a linear model in every leaf: rows ``node, column, value, n, coef``.
+
+    ``coef`` is the intercept followed by one weight per column. A cut is chosen
+    by the squared error that two linear models leave; the errors of all cuts
+    follow from running sums of products over the distinct values, so no column
+    is sorted in one task. The driver holds one row per node.
+    """
+    means = df.agg(*[F.avg(c).alias(c) for c in [*cols, y]]).first()
+    z = [F.lit(1.0), *[F.col(c).cast("double") - means[c] for c in cols]]
+    t = F.col(y).cast("double") - means[y]
+    width = len(z)
+    sums = {f"g{i}_{j}": F.sum(z[i] * z[j]) for i in range(width) for j in range(i, width)}
+    sums |= {f"t{i}": F.sum(z[i] * t) for i in range(width)} | {"yy": F.sum(t * t)}
+
+    n_sums = len(sums)
+
+    @F.pandas_udf("double")
+    def left_over(m: pd.Series) -> pd.Series:
+        """Squared error of the best linear model with the given sums of products."""
+        rows = np.stack(m.to_numpy()) if len(m) else np.zeros((0, n_sums))
+        g = np.zeros((len(rows), width, width))
+        at = 0
+        for i in range(width):
+            for j in range(i, width):
+                g[:, i, j] = g[:, j, i] = rows[:, at]
+                at += 1
+        right = rows[:, at : at + width]
+        w = np.einsum("nij,nj->ni", np.linalg.pinv(g, rcond=1e-10, hermitian=True), right)
+        return pd.Series(np.maximum(rows[:, -1] - (w * right).sum(1), 0.0))
+
+    def packed(prefix: str) -> Column:
+        return F.array(*[F.col(prefix + s) for s in sums])
+
+    rows = cut(df.select(*cols, y).withColumn("node", F.lit("")))
+    tree: list[dict] = []
+    for level in range(depth + 1):
+        whole = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[e.alias(f"a_{s}") for s, e in sums.items()])
+        here = {r["node"]: r for r in whole.collect()}
+        best = {}
+        if level < depth:
+            pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
+            counts = rows.select("*", pairs.alias("p")).groupBy("node", "p.column", "p.value").agg(
+                F.count(F.lit(1)).alias("k"), *[e.alias(s) for s, e in sums.items()]
+            )
+            run = running_sums(counts, [F.col("value")], {"n_low": "k", **{f"l_{s}": s for s in sums}}, by=["node", "column"])
+            run = run.join(whole, "node").withColumns({f"u_{s}": F.col(f"a_{s}") - F.col(f"l_{s}") for s in sums})
+            run = run.where((F.col("n_low") >= min_rows) & (F.col("n") - F.col("n_low") >= min_rows))
+            gain = left_over(packed("a_")) - left_over(packed("l_")) - left_over(packed("u_"))
+            cuts = run.select("node", "column", "value", F.round(gain, 6).alias("gain")).where(F.col("gain") >= min_gain)
+            found = cuts.groupBy("node").agg(F.max(F.struct("gain", "column", "value")).alias("b")).collect()
+            best = {r["node"]: (r["b"]["column"], r["b"]["value"]) for r in found}
+        for node, r in here.items():
+            g = np.zeros((width, width))
+            for i in range(width):
+                for j in range(i, width):
+                    g[i, j] = g[j, i] = r[f"a_g{i}_{j}"]
+            w = np.linalg.pinv(g, rcond=1e-10, hermitian=True) @ np.array([r[f"a_t{i}"] for i in range(width)])
+            start = means[y] + w[0] - sum(wi * means[c] for wi, c in zip(w[1:], cols))
+            column, value = best.get(node, (None, None))
+            tree.append({"node": node, "column": column, "value": value, "n": r["n"], "coef": [float(start), *map(float, w[1:])]})
+        if not best:
+            break
+        side = F.lit(None).cast("string")
+        for node, (column, value) in best.items():
+            side = F.when(F.col("node") == node, F.when(F.col(column) <= value, "L").otherwise("R")).otherwise(side)
+        rows = cut(rows.where(F.col("node").isin(list(best))).withColumn("node", F.concat("node", side)))
+    return sorted(tree, key=lambda r: r["node"])
+
+
+def predict_model_tree(nodes: Sequence[dict], cols: Sequence[str]) -> Column:
+    """Prediction of the leaf's linear model."""
+    tree = {r["node"]: r for r in nodes}
+
+    def walk(node: str) -> Column:
+        r = tree[node]
+        if r["column"] is None:
+            line = F.lit(r["coef"][0])
+            for c, w in zip(cols, r["coef"][1:]):
+                line = line + F.col(c) * F.lit(w)
+            return line
+        return F.when(F.col(r["column"]) <= r["value"], walk(node + "L")).otherwise(walk(node + "R"))
+
+    return walk("")
+
+
 def prune(nodes: Sequence, test: DataFrame, cols: Sequence[str], y: str) -> list:
     """Merge sibling leaves wherever the merged leaf does no worse on the test rows.
 
@@ -316,28 +409,40 @@ def lloyd(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]]
 
 def bisecting(df: DataFrame, cols: Sequence[str], k: int, rounds: int = 10, dist: Distance = euclid) -> list[list[float]]:
     """Centres by repeated halving: always the split that leaves the least total squared error."""
-    def mean(part: DataFrame):
-        r = part.agg(*[F.avg(c).alias(c) for c in cols]).first()
-        return [r[c] for c in cols]
-
-    def sse(part: DataFrame, cs) -> float:
-        return assign(part, cols, cs, dist).agg(F.sum(F.col("far") * F.col("far"))).first()[0] or 0.0
-
-    def halves(part: DataFrame):
-        ends = part.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
-        start = [[ends[f"{n}_{c}"] for c in cols] for n in ("lo", "hi")]
-        return lloyd(part, cols, start, rounds, dist)
-
-    centres = [mean(df)]
-    while len(centres) < k:
-        placed = assign(df, cols, centres, dist)
-        errors = {r["cluster"]: r["e"] for r in placed.groupBy("cluster").agg(F.sum(F.col("far") * F.col("far")).alias("e")).collect()}
-        best = None
-        for i in sorted(errors):
-            part = placed.where(F.col("cluster") == i).select(*cols)
-            pair = halves(part)
-            total = sse(part, pair) + sum(e for j, e in errors.items() if j != i)
-            if best is None or total < best[0]:
-                best = (total, i, pair)
-        centres = centres[: best[1]] + best[2] + centres[best[1] + 1 :]
-    return centres
+    return bisect_clusters(df, cols, k, rounds, dist)[0]
+
+
+def bisect_clusters(
+    df: DataFrame, cols: Sequence[str], k: int, rounds: int = 10, dist: Distance = euclid
+) -> tuple[list[list[float]], DataFrame]:
+    """Centres, and the rows with their ``cluster``.
+
+    A row stays in the half it was put in. The best split of a cluster is found
+    once and remembered, so a step looks only at the two clusters that are new.
+    """
+    rows = cut(df.withColumn("cluster", F.lit(0)))
+
+    def described(cluster: int):
+        """Mean, squared error around it, and the best split: centres and the error they leave."""
+        part = rows.where(F.col("cluster") == cluster).select(*cols)
+        one = part.agg(
+            *[F.avg(c).alias(f"m_{c}") for c in cols], *[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))]
+        ).first()
+        mean = [one[f"m_{c}"] for c in cols]
+        pair = lloyd(part, cols, [[one[f"{n}_{c}"] for c in cols] for n in ("lo", "hi")], rounds, dist)
+
+        def error(centres) -> float:
+            return assign(part, cols, centres, dist).agg(F.sum(F.col("far") * F.col("far"))).first()[0] or 0.0
+
+        return mean, error([mean]), pair, error(pair)
+
+    known = {0: described(0)}
+    while len(known) < k:
+        # the split that saves most leaves least in total; the first cluster wins a tie
+        chosen = max(sorted(known), key=lambda c: known[c][1] - known[c][3])
+        pair, new = known[chosen][2], len(known)
+        placed = assign(rows.withColumnRenamed("cluster", "_old"), cols, pair, dist)
+        moves = (F.col("_old") == chosen) & (F.col("cluster") == 1)
+        rows = cut(placed.withColumn("_new", F.when(moves, F.lit(new)).otherwise(F.col("_old"))).drop("_old", "cluster", "far").withColumnRenamed("_new", "cluster"))
+        known[chosen], known[new] = described(chosen), described(new)
+    return [known[c][0] for c in sorted(known)], rows

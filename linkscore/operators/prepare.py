@@ -156,15 +156,21 @@ def dummies(df: DataFrame, cols: Sequence[str], drop: Mapping[str, str] | None =
 # --- scaling -------------------------------------------------------------
 
 
+def _scaled(c: str, centre: Column | float, spread: Column | float) -> Column:
+    """Distance from the centre in units of the spread; a constant column becomes 0."""
+    return F.when(F.col(c).isNotNull(), F.coalesce(F.try_divide(F.col(c) - F.lit(centre), F.lit(spread)), F.lit(0.0)))
+
+
 def min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Columns scaled to 0..1; a constant column becomes 0."""
     s = _stats(df, cols, lo=F.min, hi=F.max)
-    return df.withColumns({c: (F.col(c) - s[f"{c}__lo"]) / (s[f"{c}__hi"] - s[f"{c}__lo"]) for c in cols})
+    return df.withColumns({c: _scaled(c, s[f"{c}__lo"], s[f"{c}__hi"] - s[f"{c}__lo"]) for c in cols})
 
 
 def standardize(df: DataFrame, cols: Sequence[str], by: str = "sd") -> DataFrame:
-    """Centred columns divided by the population deviation, or by the variance."""
+    """Centred columns divided by the population deviation, or by the variance; constant columns become 0."""
     s = _stats(df, cols, m=F.avg, d=F.stddev_pop if by == "sd" else F.var_pop)
-    return df.withColumns({c: (F.col(c) - s[f"{c}__m"]) / s[f"{c}__d"] for c in cols})
+    return df.withColumns({c: _scaled(c, s[f"{c}__m"], s[f"{c}__d"]) for c in cols})
 
 
 def unskew(df: DataFrame, cols: Sequence[str], lam: float | None = None) -> DataFrame:
@@ -175,9 +181,9 @@ def unskew(df: DataFrame, cols: Sequence[str], lam: float | None = None) -> Data
 
 
 def robust_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Centred at the median, divided by the distance of the quartiles."""
+    """Centred at the median, divided by the distance of the quartiles (0 where that is 0)."""
     q = _quantiles(df, cols, {"a": 0.25, "m": 0.5, "b": 0.75})
-    return df.withColumns({c: (F.col(c) - q[c]["m"]) / (q[c]["b"] - q[c]["a"]) for c in cols})
+    return df.withColumns({c: _scaled(c, q[c]["m"], q[c]["b"] - q[c]["a"]) for c in cols})
 
 
 # --- vectors -------------------------------------------------------------

@@ -38,7 +38,7 @@ def item_similarity(ratings: DataFrame, kind: str = "cosine") -> DataFrame:
     if kind == "euclid":
         sim = 1 / (1 + F.sqrt("dd"))
     elif kind == "cosine":
-        sim = 0.5 + 0.5 * F.col("ab") / (F.sqrt("aa") * F.sqrt("bb"))
+        sim = 0.5 + 0.5 * F.try_divide(F.col("ab"), F.sqrt("aa") * F.sqrt("bb"))  # NULL without length
     else:
         va, vb = n * F.col("aa") - F.col("sa") * F.col("sa"), n * F.col("bb") - F.col("sb") * F.col("sb")
         corr = F.when((va > 0) & (vb > 0), (n * F.col("ab") - F.col("sa") * F.col("sb")) / F.sqrt(va * vb))
@@ -49,7 +49,8 @@ def item_similarity(ratings: DataFrame, kind: str = "cosine") -> DataFrame:
 def recommend(ratings: DataFrame, n: int = 3, kind: str = "cosine") -> DataFrame:
     """(user_id, item_id, predicted, rank): best unrated items per user.
 
-    The prediction is the mean of the user's ratings weighted by similarity.
+    The prediction is the mean of the user's ratings weighted by similarity;
+    there is none where the weights sum to 0.
     """
     sims = cut(item_similarity(ratings, kind).where(F.col("similarity").isNotNull()))
     turned = F.explode(
@@ -61,8 +62,8 @@ def recommend(ratings: DataFrame, n: int = 3, kind: str = "cosine") -> DataFrame
     both = sims.select(turned.alias("p"), "similarity").select("p.item_id", "p.other", "similarity")
     votes = salted_join(ratings, both, ["item_id"], F.col("user_id"))
     predicted = votes.groupBy("user_id", F.col("other").alias("item_id")).agg(
-        (F.sum(F.col("similarity") * F.col("rating")) / F.sum("similarity")).alias("predicted")
-    )
+        F.try_divide(F.sum(F.col("similarity") * F.col("rating")), F.sum("similarity")).alias("predicted")
+    ).where(F.col("predicted").isNotNull())
     open_items = predicted.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
     best = Window.partitionBy("user_id").orderBy(F.desc(F.round("predicted", 9)), "item_id")
     return open_items.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)

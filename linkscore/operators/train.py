@@ -95,7 +95,7 @@ def train_and_score_all(df: DataFrame, xs: Sequence[str], y: str, key: str) -> D
     out = df
     models = {"forest": "forest_regress", "gbt": "gbt_regress", "tree": "tree_regress"}
     for name, kind in models.items():
-        settings = {"maxIter": 5} if name == "gbt" else {}
+        settings = {"maxIter": 9, "maxDepth": 4} if name == "gbt" else {}  # fixed values: settings of this job
         model = train(df, kind, xs, y, **settings)
         out = scores(model, out, xs).withColumnRenamed("score", name).drop("features", "prediction")
     return out.select(key, *models)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from linkscore.operators import association as A
 from linkscore.operators import features as X
 from linkscore.operators.train import score_batch
-from linkscore.sources.files import append_partitioned, commit_history, latest_history
+from linkscore.runtime import stored
+from linkscore.sources.files import commit_history, whole_history
 
 
 @dataclass
@@ -31,34 +32,37 @@ def daily_run(
     edges: DataFrame,
     folders: Folders,
     model: PipelineModel | str | None = None,
-    max_degree: int = A.MAX_DEGREE,
+    max_degree: int | None = None,
 ) -> DataFrame:
-    """Process the applications of ``day`` that history does not know yet.
+    """Process every application up to the end of ``day`` that no other run has processed.
 
-    Every output is a day partition that a repeated run replaces, and history
-    is committed last; a lost run is simply run again.
+    Applications that arrive late and those of skipped days are part of the
+    increment, with all links that are earlier than themselves. Each output is a
+    folder of the run, partitioned by the application's own day; a repeated run
+    replaces its folder, also by nothing. History gets the increment, last, so a
+    lost run is simply run again. Returns the features, or scores with ``model``.
     """
-    ids = applications.where(F.to_date("apply_time") <= F.lit(day).cast("date")).select("order_id", "cert_no", "apply_time")
-    history = latest_history(spark, folders.history, ids.select("order_id").schema)
-    today = A.increment(ids, history, "order_id").where(F.to_date("apply_time") == F.lit(day).cast("date"))
-    seen = edges.where(F.to_date("app_time") <= F.lit(day).cast("date"))
+    before = F.lit(day).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    known = applications.where(F.col("apply_time") < before).select("order_id", "cert_no", "apply_time")
+    history = whole_history(spark, folders.history, known.select("order_id").schema, without=day)
+    today = stored(A.increment(known, history, "order_id"), "increment")
+    seen = edges.where(F.col("app_time") < before)
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        path = getattr(folders, name)
-        append_partitioned(df, path, "dt", replace=True)
-        return spark.read.schema(df.schema).parquet(path).where(F.col("dt") == F.lit(day).cast("date"))
+        path = f"{getattr(folders, name)}/run={day}"
+        df.write.mode("overwrite").partitionBy("dt").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    one = written(A.one_hop(seen, day, f"{day} 23:59:59", max_degree), "one_hop")
+    seeds = today.select(F.col("order_id").alias("app_id"))
+    one = written(A.one_hop(seen, max_degree=max_degree, seeds=seeds), "one_hop")
     two = written(A.two_hop(one, seen, max_degree), "two_hop")
     detail = A.association_detail(one, two, applications, today)
-    sources = today.select(F.col("order_id").alias("order_src"))
-    wide = X.association_features(sources, detail)
+    wide = X.association_features(today.select(F.col("order_id").alias("order_src")), detail)
     times = today.select(F.col("order_id").alias("order_src"), "apply_time")
     wide = X.attach_context(wide, X.path_signatures(detail), times)
-    wide = written(wide.withColumn("dt", F.lit(day).cast("date")), "features")
-    result = wide
+    result = wide = written(wide.withColumn("dt", F.to_date("apply_time")), "features")
     if model is not None:
         scored = score_batch(wide, model, "order_src", "apply_time", X.ALL_COUNTERS)
-        result = written(scored.withColumn("dt", F.lit(day).cast("date")), "scores")
-    commit_history(ids.select("order_id"), folders.history, day)
+        result = written(scored.withColumn("dt", F.to_date("apply_time")), "scores")
+    commit_history(today.select("order_id"), folders.history, day)
     return result

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+_OWN: set[str] = set()
+
 
 def local_session(app: str = "linkscore", cpus: str = "8") -> SparkSession:
     """Session for tests and benchmarks on one machine."""
@@ -19,6 +24,7 @@ def local_session(app: str = "linkscore", cpus: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -47,8 +53,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the application's own part of the shared folder.
+
+    That part goes when the application ends in good order; results read from it
+    until then. What a crashed application leaves carries its id.
+    """
+    root = f"{shared_folder(spark).rstrip('/')}/linkscore-{spark.sparkContext.applicationId}"
+    if root not in _OWN:
+        _OWN.add(root)
+        atexit.register(_remove, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception as error:  # the session may be gone already
+        log.debug("%s stays: %s", path, error)
 
 
 def cut(df: DataFrame) -> DataFrame:

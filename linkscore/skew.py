@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkscore.runtime import cut
+
 HOT_ROWS = 200_000  # rows of one key that one task may take
 
 
@@ -38,7 +40,7 @@ def salted_join(
     and left joins (``big`` on the left).
     """
     keys = list(keys)
-    hot = block_counts(big, keys, rows_per_block)
+    hot = cut(block_counts(big, keys, rows_per_block))  # few rows, needed on both sides
     left = (
         big.join(hot, keys, "left")
         .withColumn(

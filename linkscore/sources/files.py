@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkscore.ordered import number_rows
-from linkscore.runtime import stored
+from linkscore.runtime import shuffle_width, stored
 
 log = logging.getLogger(__name__)
 FORMATS = ("json", "parquet")
@@ -76,17 +77,28 @@ def read_edge_list(
     return rows.select(F.col(f"c{src}").cast("long").alias("src"), F.col(f"c{dst}").cast("long").alias("dst"), w.alias("weight"))
 
 
-def append_partitioned(df: DataFrame, path: str, by: str = "dt", replace: bool = False) -> None:
+def append_partitioned(
+    df: DataFrame, path: str, by: str = "dt", replace: bool = False, days: Sequence[str] = (), files: int | None = None
+) -> None:
     """Add rows to a folder partitioned by day.
 
-    ``replace`` overwrites only the days present in ``df``, which makes a
-    repeated daily run harmless.
+    ``replace`` overwrites the days present in ``df``, which makes a repeated
+    daily run harmless; ``days`` names days to replace even where ``df`` has no
+    row of them. A day is written by as many tasks as a shuffle has, or ``files``.
     """
-    writer = df.repartition(by, F.pmod(F.xxhash64(*df.columns), F.lit(16))).write.partitionBy(by)
-    if replace:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files or shuffle_width(df.sparkSession)))
+    writer = df.repartition(by, spread).write.partitionBy(by)
+    if not replace:
         writer.mode("append").parquet(path)
+        return
+    for day in days:
+        _remove(df.sparkSession, f"{path}/{by}={day}")
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def compact_partition(spark: SparkSession, path: str, day: str, target_files: int, by: str = "dt") -> None:
@@ -114,25 +126,23 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
 
 
 def plan_windows(partitions: int = 1, batch: int | None = None, rows: int | None = None) -> list[tuple[int, int]]:
-    """(skip, limit) windows for reading a result of ``rows`` rows in parallel.
+    """(skip, limit) windows that cover a result of ``rows`` rows, for reading it in parallel.
 
-    What is not given follows from the rest; the last window takes the
-    remainder of an uneven division.
+    A window holds ``batch`` rows, or an even share of the rows where no batch is
+    given. Rows beyond ``partitions`` windows get windows of their own. Where the
+    number of rows is unknown, ``partitions`` full windows are planned; with
+    neither number there is one window without a limit.
     """
-    if batch is None and rows is None:
-        return [(0, -1)]
-    if batch is None:
-        batch = -(-rows // partitions)
-    elif rows is None:
-        rows = batch * partitions
-    elif partitions == 1:
-        partitions = -(-rows // batch)
-    rest = rows % batch
-    return [(i * batch, batch if i < partitions - 1 or rest == 0 else rest) for i in range(partitions)]
+    if rows is None:
+        return [(0, -1)] if batch is None else [(i * batch, batch) for i in range(partitions)]
+    size = max(1, math.ceil(rows / partitions) if batch is None else batch)
+    return [(skip, min(size, rows - skip)) for skip in range(0, rows, size)]
 
 
 def read_windows(df: DataFrame, order: Sequence[str], windows: Sequence[tuple[int, int]]) -> DataFrame:
     """Rows of every window with its number; the windows lie in order without overlap."""
+    if not windows:
+        return df.limit(0).withColumn("window", F.lit(0))
     batch = windows[0][1]
     numbered = number_rows(df, [F.col(c) for c in order], "_n")
     at = F.floor((F.col("_n") - 1) / F.lit(batch)).cast("int")
@@ -175,17 +185,27 @@ def commit_history(current: DataFrame, root: str, version: str) -> None:
     current.write.mode("overwrite").parquet(f"{root}/version={version}")
 
 
-def latest_history(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The newest history version that finished, or an empty table."""
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the versions that finished, oldest first."""
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    if fs.exists(base):
-        for status in fs.listStatus(base):
-            folder = status.getPath()
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
-                found.append(folder.toString())
-    if not found:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(max(found))
+    if not fs.exists(base):
+        return []
+    found = [status.getPath() for status in fs.listStatus(base)]
+    return sorted(p.toString() for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def latest_history(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The newest history version that finished, or an empty table."""
+    found = _versions(spark, root)
+    return spark.read.schema(schema).parquet(found[-1]) if found else spark.createDataFrame([], schema)
+
+
+def whole_history(spark: SparkSession, root: str, schema: T.StructType, without: str | None = None) -> DataFrame:
+    """All finished versions together, for a history kept as increments.
+
+    ``without`` leaves one version out, so that its run can be repeated.
+    """
+    found = [p for p in _versions(spark, root) if without is None or not p.endswith(f"/version={without}")]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)

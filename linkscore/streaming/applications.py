@@ -9,6 +9,7 @@ merge down so that readers need not repeat it.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from linkscore.functions.clean import clean_entity, clean_text, parse_application
 
+log = logging.getLogger(__name__)
 # Texts a message must contain to be an application.
 MARKERS = ("generalApply_CreditLoan", "logNo")
 DEFAULT = "00000"  # fixed value: stands for a missing field of a notice
@@ -32,23 +34,31 @@ ENTITIES = {
     "companyname": ("Company", "company", "text"),
     "companyaddress": ("CompanyAddress", "companyaddress", "text"),
 }
+COMPACT_EVERY = 100  # micro-batches
 NODE_SCHEMA = "label string, key string, insert_time string, user_id string, batch_id long"
 REL_SCHEMA = "orderno string, rel string, label string, key string, batch_id long"
 
 
 def read_applications(
-    spark: SparkSession, source: str = "parquet", schema: str = "msg_id long, body string", per_trigger: int = 1_000, **opts: str
+    spark: SparkSession, source: str = "parquet", schema: str = "msg_id long, body string", per_trigger: int = 1_000,
+    clamp_to_earliest: bool = False, **opts: str
 ) -> DataFrame:
     """Stream of messages with a ``body`` column.
 
     ``source="kafka"`` takes the usual options (servers, topic) and starts at
     the earliest offset unless told otherwise; any file format works the same
-    way with ``path``. Intake per trigger is bounded in both cases.
+    way with ``path``. Intake per trigger is bounded in both cases. Offsets that
+    the broker no longer holds end the query; ``clamp_to_earliest`` goes on from
+    the earliest one that is left, and says so.
     """
     reader: DataStreamReader = spark.readStream.format(source)
     if source == "kafka":
-        opts = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": str(per_trigger), "failOnDataLoss": "false", **opts}
-        return reader.options(**opts).load().select(F.col("value").cast("string").alias("body"))
+        opts = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": str(per_trigger), "failOnDataLoss": "true", **opts}
+        if clamp_to_earliest:
+            opts["failOnDataLoss"] = "false"
+            log.warning("messages that are no longer held will be skipped: going on from the earliest offset left")
+        loaded = reader.options(**opts).load()
+        return loaded.select(F.col("value").cast("string").alias("body"), F.col("timestamp").alias("sent_at"))
     return reader.schema(schema).option("maxFilesPerTrigger", per_trigger).options(**opts).load()
 
 
@@ -60,8 +70,13 @@ def only_applications(messages: DataFrame, body: str = "body") -> DataFrame:
 
 
 def parse_stream(messages: DataFrame, body: str = "body") -> DataFrame:
-    """Fields of every message, entities cleaned by kind; unreadable ones are NULL."""
-    out = parse_application(messages, body)
+    """Fields of every message, entities cleaned by kind; unreadable ones are NULL.
+
+    A missing insert time becomes the time the message was sent, where the source
+    tells (``sent_at``), and stays missing elsewhere: a replay gives the same rows.
+    """
+    sent = F.date_format("sent_at", "yyyy-MM-dd HH:mm:ss") if "sent_at" in messages.columns else F.lit(None).cast("string")
+    out = parse_application(messages, body, sent)
     return out.withColumns(
         {f: F.when(F.col("orderno").isNotNull(), clean_entity(F.col(f), rule)) for f, (_, _, rule) in ENTITIES.items()}
     )
@@ -111,8 +126,13 @@ def notify(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.select(F.to_json(filled).alias("value")).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
-def handle_batch(store: str, notices: str, bad: str) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` step: split, upsert, notify, keep unreadable messages."""
+def handle_batch(store: str, notices: str, bad: str, compact_every: int | None = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` step: split, upsert, notify, keep unreadable messages.
+
+    Every ``compact_every`` batches the store is merged up to the batch before,
+    which can no longer be replayed, so its folders stay few however long the job
+    runs.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_stream(only_applications(batch)).persist()
@@ -121,31 +141,40 @@ def handle_batch(store: str, notices: str, bad: str) -> Callable[[DataFrame, int
         notify(good, batch_id, notices)
         broken.select("body").write.mode("overwrite").text(f"{bad}/batch_id={batch_id}")
         parsed.unpersist()
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            compact(batch.sparkSession, store, batch_id - 1)
 
     return step
 
 
 def run(
-    messages: DataFrame, store: str, notices: str, bad: str, checkpoint: str, interval: str | None = "500 milliseconds"
+    messages: DataFrame,
+    store: str,
+    notices: str,
+    bad: str,
+    checkpoint: str,
+    interval: str | None = "500 milliseconds",
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Start the job; offsets live in ``checkpoint``. ``interval=None`` drains the source and stops."""
-    writer = messages.writeStream.foreachBatch(handle_batch(store, notices, bad)).option("checkpointLocation", checkpoint)
+    writer = messages.writeStream.foreachBatch(handle_batch(store, notices, bad, compact_every)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
     return writer.start()
 
 
-def _newest_base(spark: SparkSession, store: str) -> int:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{store}/base")
+def _folders(spark: SparkSession, path: str) -> list:
+    """Numbered folders ``name=<n>`` below a path: (n, path), and the file system."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return -1
-    done = [
-        int(s.getPath().getName().split("=")[1])
-        for s in fs.listStatus(root)
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "rels/_SUCCESS"))
-    ]
-    return max(done, default=-1)
+    found = [s.getPath() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return [(int(p.getName().split("=")[1]), p) for p in found if "=" in p.getName()], fs
+
+
+def _newest_base(spark: SparkSession, store: str) -> int:
+    """The last batch that a finished merge holds, -1 without one."""
+    found, fs = _folders(spark, f"{store}/base")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return max((n for n, p in found if fs.exists(path(p, "rels/_SUCCESS"))), default=-1)
 
 
 def _merge_nodes(rows: DataFrame) -> DataFrame:
@@ -158,11 +187,18 @@ def _merge_rels(rows: DataFrame) -> DataFrame:
 
 
 def _rows(spark: SparkSession, store: str, name: str, schema: str) -> DataFrame:
+    """The newest merge and the batches after it."""
     base = _newest_base(spark, store)
-    new = spark.read.schema(schema).parquet(f"{store}/{name}").where(F.col("batch_id") > base)
-    if base < 0:
-        return new
-    return new.unionByName(spark.read.schema(schema).parquet(f"{store}/base/upto={base}/{name}"))
+    found, _ = _folders(spark, f"{store}/{name}")
+    plain = schema.removesuffix(", batch_id long")
+    parts = [spark.read.schema(schema).parquet(f"{store}/base/upto={base}/{name}")] if base >= 0 else []
+    after = [p.toString() for n, p in found if n > base]
+    if after:
+        read = spark.read.option("basePath", f"{store}/{name}").schema(f"{plain}, batch_id long")
+        parts.append(read.parquet(*after))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_nodes(spark: SparkSession, store: str) -> DataFrame:
@@ -175,9 +211,20 @@ def read_rels(spark: SparkSession, store: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, store: str, upto: int) -> None:
-    """Write the merged state up to a batch as a new base; later batches stay as they are."""
+    """Merge the state up to a batch into a new base and remove what it replaces.
+
+    Later batches stay as they are. The old folders go only after the new base
+    is complete, so a lost merge is simply repeated.
+    """
+    if upto <= _newest_base(spark, store):
+        return
     nodes = _rows(spark, store, "nodes", NODE_SCHEMA).where(F.col("batch_id") <= upto)
     rels = _rows(spark, store, "rels", REL_SCHEMA).where(F.col("batch_id") <= upto)
     base = f"{store}/base/upto={upto}"
     _merge_nodes(nodes).write.mode("overwrite").parquet(f"{base}/nodes")
     _merge_rels(rels).write.mode("overwrite").parquet(f"{base}/rels")
+    for name, last in (("nodes", upto), ("rels", upto), ("base", upto - 1)):
+        found, fs = _folders(spark, f"{store}/{name}")
+        for n, path in found:
+            if n <= last:
+                fs.delete(path, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -17,6 +18,10 @@ from linkscore.catalog.data import TABLES  # noqa: E402
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    # a query beyond fails instead of ending the run
+    con.execute("SET memory_limit = '6GB'")
+    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='compare-')}'")
+    con.execute("SET max_temp_directory_size = '2GB'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con

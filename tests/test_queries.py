@@ -9,8 +9,6 @@ from tests.compare import check, connect
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# fitted models and loops without a SQL form: only that they give rows
-SLOW = {"g14_pagerank_tolerance", "t09_bisecting_kmeans", "m10_train_and_score_all"}
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +16,10 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    if name not in ORACLES:
-        assert QUERIES[name](spark, SF).columns
+    if name not in ORACLES:  # fitted models, loops and searches: that they run and give rows
+        assert QUERIES[name](spark, SF).count() > 0
         return
     ok, note = check(spark, con, name, QUERIES[name], ORACLES[name], SF)
     assert ok, note
