@@ -27,7 +27,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a shorter run of these letters hol
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _WEAK_ACCESS = re.compile(r"""\b(?:client_?id|access_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]{3,})""", re.A | re.I)
-_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{16,}={0,2}", re.A)
+# an equals sign before a candidate assigns it; it belongs to a candidate only as padding
+_WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{16,}={0,2}", re.A)
 _WEAK_ENDPOINT = re.compile(r"""\b(?:https?|ftp|jdbc:\w+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+""", re.A | re.I)
 _DIGIT = re.compile(r"[0-9]")
 
@@ -47,15 +48,17 @@ def base_spans(text: str) -> list[Span]:
 
 
 def weak_spans(text: str) -> list[Span]:
-    """Candidates that need a partner."""
+    """Candidates that need a partner. An address ends where a secret assigned inside it begins."""
     found: list[Span] = []
+    secret = [(m.start(), 4, m.end()) for m in _WEAK_SECRET.finditer(text)] if _DIGIT.search(text) else []
     if "://" in text:
-        found += [(m.start(), 5, m.end()) for m in _WEAK_ENDPOINT.finditer(text)]
+        assigned = [a for a, _, _ in secret if text[a - 1 : a] == "="]
+        for m in _WEAK_ENDPOINT.finditer(text):
+            nth = bisect_left(assigned, m.start())
+            found.append((m.start(), 5, min([m.end(), *assigned[nth : nth + 1]])))
     if "=" in text or ":" in text:
         found += [(m.start(), 3, m.end()) for m in _WEAK_ACCESS.finditer(text)]
-    if _DIGIT.search(text):
-        found += [(m.start(), 4, m.end()) for m in _WEAK_SECRET.finditer(text)]
-    return sorted(found)
+    return sorted(found + secret)
 
 
 def _meets(span: Span, others: list[Span], ends: list[int], reach: int) -> bool:
