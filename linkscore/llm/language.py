@@ -10,7 +10,7 @@ digits and marks say little of a language and are levelled first.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 from linkscore.llm.batches import slices
 
 DICTIONARY_BYTES = 96 << 10  # raw content of each language's dictionary
-EXCERPT_CHARS = 2_000  # of one training text that a dictionary may hold
+EXCERPT_CHARS = 2_000  # of one training text that a dictionary may hold, more where texts are few
+PIECES = 4  # that an excerpt takes from all over a text
 SAMPLE_ROWS = 120  # training texts wanted per language
 FRAME_BYTES = 4 << 10
 LEVEL = 6
@@ -42,22 +43,35 @@ def id_bucket(doc_id: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % buckets
 
 
+def excerpt(text: Column, size: Column) -> Column:
+    """The text, or ``PIECES`` of it from the beginning to the end with ``size`` characters in all."""
+    length, piece = F.length(text), F.ceil(size / PIECES).cast("int")
+    parts = [F.substr(text, (F.lit(1) + F.floor((length - piece) * i / (PIECES - 1))).cast("int"), piece) for i in range(PIECES)]
+    return F.when(length <= size, text).otherwise(F.concat_ws("\n", *parts))
+
+
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, excerpt_chars: int = EXCERPT_CHARS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Dictionaries by language from rows with text and ``lang``.
 
-    About ``sample_rows`` texts per language are drawn by a hash of the text, so
-    a rare language gives all it has; each adds at most ``excerpt_chars``. What
-    reaches the driver is bounded by languages x sample x excerpt.
+    About ``sample_rows`` different texts per language are drawn by a hash of the
+    text, so a rare language gives all it has, and copies count once. Each adds at
+    most ``excerpt_chars``, or its share of the dictionary where that is more. What
+    reaches the driver is bounded by languages x (sample x excerpt + dictionary).
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    texts = rows.select("lang", F.xxhash64("text").alias("at")).distinct()
+    counts = {r[0]: r[1] for r in texts.groupBy("lang").count().collect()}  # one row per language
     if not counts:
         return {}
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample_rows / n)))])
+
+    def by_language(value: Callable[[int], float]) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, value(n))]), F.col("lang"))
+
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
+    size = by_language(lambda n: max(excerpt_chars, -(-dictionary_bytes // n)))
     drawn = (
-        rows.where(draw < F.element_at(share, F.col("lang")))
-        .select("lang", F.xxhash64("text").alias("at"), F.substring("text", 1, excerpt_chars).alias("text"))
+        rows.where(draw < by_language(lambda n: min(1.0, sample_rows / n)))
+        .select("lang", F.xxhash64("text").alias("at"), excerpt(F.col("text"), size).alias("text"))
         .distinct()
         .collect()
     )

@@ -72,6 +72,19 @@ def test_language_edges(small, none):
     assert language.identify(none, {"en": b"abc"}).count() == 0
 
 
+def test_copies_do_not_crowd_out_a_language(spark):
+    """Every text of a rare language is learnt, from its beginning to its end, however often one is copied."""
+    names = "abcdefghijklmnopqrst"
+    rows = [("copied words only", "aa")] * 4000 + [(f"rare text {c * 9} " + "filler " * 500 + c * 8, "aa") for c in names]
+    rows += [("some other words", "bb")] * 30_000 + [("one text " + "and more " * 20_000 + "finis", "cc")] * 3000
+    found = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(found) == {"aa", "bb", "cc"}
+    words = set(found["aa"].decode().split())
+    assert {"copied", *(c * 9 for c in names), *(c * 8 for c in names)} <= words
+    assert len(found["cc"]) >= language.DICTIONARY_BYTES - 100 and found["cc"].endswith(b"finis")
+    assert found["bb"] == b"some other words"
+
+
 def test_id_bucket_is_crc32_of_the_text(small):
     for d, b in {(r[0], r[1]) for r in small.select("doc_id", language.id_bucket(F.col("doc_id"), 7)).collect()}:
         assert b == zlib.crc32(("" if d is None else str(d)).encode()) % 7
