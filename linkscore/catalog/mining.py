@@ -242,7 +242,7 @@ def _(t):
 def _(t):
     cols = ["lat", "lon"]
     pts = t("customer").select("c_custkey", (F.col("c_nationkey") * 3.0 - 40).alias("lat"), (F.col("c_acctbal") / 100).alias("lon"))
-    return M.bisect_clusters(pts, cols, 3, 10, M.great_circle)[1]
+    return M.bisect_clusters(pts, cols, 3, dist=M.great_circle)[1]
 
 
 SUPPORT = 0.015

@@ -393,31 +393,41 @@ def assign(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]
     return df.withColumn("_b", best).withColumn("cluster", F.col("_b.i")).withColumn("far", F.col("_b.d")).drop("_b")
 
 
-def lloyd(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]], rounds: int, dist: Distance = euclid):
-    """``rounds`` of k-means from the given centres; only k rows per round reach the driver."""
+def lloyd(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]], rounds: int | None = None, dist: Distance = euclid):
+    """k-means from the given centres until no row changes its cluster, or for ``rounds``; only k rows per round reach the driver.
+
+    With a distance whose best centre is not the mean, rounds may lead back to
+    centres they have had; as that would never end, it ends there.
+    """
     centres = [list(map(float, c)) for c in centres]
-    for _ in range(rounds):
-        means = assign(df, cols, centres, dist).groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols]).collect()
-        new = list(centres)
+    before, had = None, set()
+    while (rounds is None or len(had) < rounds) and tuple(map(tuple, centres)) not in had:
+        had.add(tuple(map(tuple, centres)))
+        placed = assign(df.select(*cols), cols, centres, dist).withColumnRenamed("cluster", "_now").drop("far")
+        moved = F.lit(True)
+        if before is not None:
+            placed = assign(placed, cols, before, dist)
+            moved = F.col("_now") != F.col("cluster")
+        means = placed.groupBy("_now").agg(*[F.avg(c).alias(c) for c in cols], F.max(moved).alias("_moved")).collect()
+        before, centres = centres, list(centres)
         for r in means:
-            new[r["cluster"]] = [r[c] for c in cols]
-        if new == centres:
+            centres[r["_now"]] = [r[c] for c in cols]
+        if not any(r["_moved"] for r in means):
             break
-        centres = new
     return centres
 
 
-def bisecting(df: DataFrame, cols: Sequence[str], k: int, rounds: int = 10, dist: Distance = euclid) -> list[list[float]]:
+def bisecting(df: DataFrame, cols: Sequence[str], k: int, rounds: int | None = None, dist: Distance = euclid) -> list[list[float]]:
     """Centres by repeated halving: always the split that leaves the least total squared error."""
     return bisect_clusters(df, cols, k, rounds, dist)[0]
 
 
 def bisect_clusters(
-    df: DataFrame, cols: Sequence[str], k: int, rounds: int = 10, dist: Distance = euclid
+    df: DataFrame, cols: Sequence[str], k: int, rounds: int | None = None, dist: Distance = euclid
 ) -> tuple[list[list[float]], DataFrame]:
     """Centres, and the rows with their ``cluster``.
 
-    A row stays in the half it was put in. The best split of a cluster is found
+    Each split is carried on until no row changes its half, or for ``rounds``. A row stays in the half it was put in. The best split of a cluster is found
     once and remembered, so a step looks only at the two clusters that are new.
     """
     rows = cut(df.withColumn("cluster", F.lit(0)))

@@ -156,6 +156,23 @@ def test_bisecting_keeps_rows_in_their_half(spark):
     assert sorted(c[0] for c in centres) == [1.0, 11.0, 30.5]
 
 
+def test_halving_goes_on_while_rows_change(spark):
+    """A split that takes more than ten rounds; a given number of rounds still holds."""
+    xs = np.exp(np.random.default_rng(1).normal(size=2000))
+    halves, centres, rounds = None, [xs.min(), xs.max()], 0
+    while halves is None or ((abs(xs - centres[0]) > abs(xs - centres[1])) != halves).any():
+        halves = abs(xs - centres[0]) > abs(xs - centres[1])
+        centres = [xs[~halves].mean(), xs[halves].mean()]
+        rounds += 1
+    assert rounds > 10
+    df = spark.createDataFrame([(float(x), 0.0) for x in xs], "x double, y double").cache()
+    got, rows = M.bisect_clusters(df, ["x", "y"], 2)
+    assert [c[0] for c in got] == pytest.approx(centres)
+    assert rows.where("cluster = 1").count() == halves.sum()
+    start = [[xs.min(), 0.0], [xs.max(), 0.0]]
+    assert M.lloyd(df, ["x", "y"], start, 2) != M.lloyd(df, ["x", "y"], start, 3)
+
+
 def test_louvain_levels_never_lose_quality(spark):
     """Cliques in a ring: several levels, quality rising, the last one that of the result."""
     edges = []
