@@ -65,9 +65,12 @@ def _(t):
     return T.score_batch(df, T.train(df, "nb", XS, "y"), "id", "day", XS)
 
 
+TREES, DEPTHS = range(5, 151), range(4, 21)
+
+
 @query("m07_sweep_gbt")
 def _(t):
-    return T.sweep_gbt(credit(t), XS, "y", "id", [2, 4], [2, 3])
+    return T.sweep_gbt(credit(t), XS, "y", "id", TREES, DEPTHS)
 
 
 @query("m08_train_balanced")

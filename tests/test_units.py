@@ -251,6 +251,24 @@ def test_tree_bins_find_the_step(spark):
     assert len(cuts) == 1 and abs(cuts[0] - 500) < 5
 
 
+def test_sweep_is_every_cell_of_the_whole_grid(spark):
+    """Cells read from the largest fit are those of fits of their own; the registered grid is the reference's."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import GBTRegressor
+
+    from linkscore.catalog.training import DEPTHS, TREES
+
+    assert (*TREES,) == (*range(5, 151),) and (*DEPTHS,) == (*range(4, 21),)
+    df = spark.range(900).select("id", (F.col("id") * 37 % 101).cast("double").alias("x"), (F.col("id") * 13 % 7).cast("double").alias("z"))
+    df = df.withColumn("y", F.col("x") * F.col("z") + F.col("x") % 5).cache()
+    got = {(r.trees, r.depth): r.rmse for r in TR.sweep_gbt(df, ["x", "z"], "y", "id", [2, 3, 6], [2, 4]).collect()}
+    assert len(got) == 6
+    a, b = TR.split(TR.with_features(df, ["x", "z"], "y"), "id")
+    for (n, depth), rmse in got.items():
+        model = GBTRegressor(maxIter=n, maxDepth=depth, subsamplingRate=0.8, minInstancesPerNode=50, seed=11).fit(a.persist())
+        assert RegressionEvaluator().evaluate(model.transform(b)) == pytest.approx(rmse)
+
+
 def test_bisecting_separates_blobs(spark):
     df = spark.createDataFrame([(float(c + i), 0.0) for c in (0, 100, 400) for i in range(10)], "x double, y double")
     assert sorted(round(c[0], 1) for c in M.bisecting(df, ["x", "y"], 3)) == [4.5, 104.5, 404.5]
