@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import decontaminate, jaccard, language, lines, mixing, pii, ppm, quality, secrets, substrings
+from linkscore.llm import decontaminate, jaccard, language, lines, merkle, mixing, pii, ppm, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +163,48 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under word counts and under the byte model."""
     return ppm.score_documents(_documents(spark, sf_dir))
+
+
+_TREE = """{0} AS (SELECT {1}, 0 AS level, i, digest, count(*) OVER (PARTITION BY {1}) AS size FROM {2}
+      UNION ALL
+      SELECT {1}, level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (min(size) + 15) // 16
+      FROM {0} WHERE size > 1 GROUP BY {1}, level, i // 16),
+    {0}_path AS (SELECT {1}, level, i, concat(
+        string_agg(digest, '') OVER (PARTITION BY {1}, level, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '.',
+        string_agg(digest, '') OVER (PARTITION BY {1}, level, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS step
+      FROM {0} WHERE size > 1)"""
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+
+@_query(
+    "WITH RECURSIVE c AS (SELECT *, 4294967295 - list_reduce(list_prepend(4294967295, flatten([[CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]"
+    " FOR x IN string_split(CAST(doc_id AS VARCHAR), '')])),"
+    " lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc FROM documents),\n"
+    "    h AS (SELECT doc_id, coalesce('=' || source, '-') AS tree, "
+    + _LEAF.format("text")
+    + " AS digest, CASE WHEN crc % 5 = 0 THEN "
+    + _LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+    + " END AS other FROM c),\n    d AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS i FROM h),\n    "
+    + _TREE.format("node", "tree", "d")
+    + """,
+    s AS (SELECT 0 AS one, tree, digest, row_number() OVER (ORDER BY tree) - 1 AS i FROM node WHERE size = 1),
+    """
+    + _TREE.format("upper", "one", "s")
+    + """,
+    own AS (SELECT tree, i, list(step ORDER BY level) AS steps FROM (
+      SELECT d.tree, d.i, p.level, p.step FROM d JOIN node_path p ON p.tree = d.tree AND p.i = d.i // CAST(power(16, p.level) AS BIGINT))
+      GROUP BY tree, i),
+    above AS (SELECT tree, list(step ORDER BY level) AS steps FROM (
+      SELECT s.tree, p.level, p.step FROM s JOIN upper_path p ON p.i = s.i // CAST(power(16, p.level) AS BIGINT)) GROUP BY tree),
+    f AS (SELECT d.*, s.digest AS subroot, list_concat(coalesce(own.steps, []), coalesce(above.steps, [])) AS steps
+      FROM d JOIN s ON s.tree = d.tree LEFT JOIN own ON own.tree = d.tree AND own.i = d.i LEFT JOIN above ON above.tree = d.tree),
+    g AS (SELECT f.*, (SELECT digest FROM upper WHERE size = 1) AS root,
+        list_reduce(list_prepend(coalesce(other, digest), steps),
+          lambda a, x: sha256(split_part(x, '.', 1) || a || split_part(x, '.', 2))) AS folded_root FROM f)
+    SELECT doc_id, digest AS leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '.', '')) AS proof_sha256,
+      folded_root, folded_root = root AS verified FROM g"""
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roots of the corpus, the proof of every row, and which rows no longer verify."""
+    return merkle.manifest_proofs(_documents(spark, sf_dir))
