@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import decontaminate, jaccard, language, lines, merkle, mixing, pii, ppm, quality, secrets, substrings
+from linkscore.llm import decontaminate, jaccard, language, lexical, lines, merkle, mixing, multiindex, pii, ppm, quality, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -208,3 +208,43 @@ _LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roots of the corpus, the proof of every row, and which rows no longer verify."""
     return merkle.manifest_proofs(_documents(spark, sf_dir))
+
+
+@_query(
+    """WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    u AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+      AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    l AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (SELECT r AS a, vec_id AS found, r AS b FROM v
+      UNION SELECT reach.a, v.vec_id, v.r FROM reach JOIN l ON l.a = reach.b JOIN v ON v.r = l.b),
+    c AS (SELECT a, min(found) AS component_id FROM reach GROUP BY a),
+    n AS (SELECT a, count(*) AS links FROM l GROUP BY a)
+    SELECT v.vec_id, coalesce(n.links, 0) AS n_links, c.component_id, v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+    FROM v JOIN c ON c.a = v.r LEFT JOIN n ON n.a = v.r"""
+)
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of one label that are 0.98 the same, and the first of each."""
+    return multiindex.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query(
+    r"""WITH t AS (SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT row_number() OVER () AS r, * FROM documents)),
+    q AS (SELECT r, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT row_number() OVER () AS r, * FROM benchmark)),
+    p AS (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    d AS (SELECT r, sum(tf)::BIGINT AS n FROM p GROUP BY r),
+    s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+    x AS (SELECT q.r, q.item_id, p.r AS doc, p.doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // total)))))::BIGINT AS score
+      FROM q JOIN p ON p.term = q.term JOIN w ON w.term = q.term JOIN d ON d.r = p.r, s GROUP BY ALL HAVING score > 0)
+    SELECT item_id, rank, doc_id, score FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM x)
+    WHERE rank <= 10"""
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -203,3 +203,55 @@ def merkle(docs, fan=16):
                 digest = sha(left + digest + right)
             out[d[0], own, inner[s][1], root, sha("".join(a + b for a, b in path)), digest, digest == root] += 1
     return out
+
+
+def ranked(docs, items, k=10):
+    """Counter of (item_id, rank, doc_id, score)."""
+    terms = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(x))
+    held = [(d[0], Counter(terms(d[1]))) for d in docs]
+    held = [(d, c, sum(c.values())) for d, c in held if c]
+    n, total = len(held), sum(x for _, _, x in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = Counter()
+    for item, text in items:
+        asked = terms(text)
+        found = []
+        for d, c, size in held:
+            m = 25 + 75 * size * n // total
+            weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) for t in set(asked) if t in c}
+            score = sum(weight[t] * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in asked if t in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        for rank, (score, none, d) in enumerate(sorted(found)[:k], 1):
+            out[item, rank, None if none else d, -score] += 1
+    return out
+
+
+def near_vectors(vectors, threshold):
+    """Counter of (vec_id, n_links, component_id, kept)."""
+    good = []
+    for i, e, label in vectors:
+        fine = e is not None and label is not None and all(x is not None and math.isfinite(x) for x in e) and any(e or [])
+        norm = math.sqrt(sum(x * x for x in e)) if fine else 1
+        good.append([x / norm for x in e] if fine else None)
+    links = defaultdict(set)
+    for i, a in enumerate(good):
+        for j in range(i):
+            b = good[j]
+            if a and b and len(a) == len(b) and vectors[i][2] == vectors[j][2] and sum(x * y for x, y in zip(a, b)) >= threshold:
+                links[i].add(j)
+                links[j].add(i)
+    out, seen = Counter(), set()
+    for i in range(len(vectors)):
+        if i in seen:
+            continue
+        group, todo = {i}, [i]
+        while todo:
+            more = links[todo.pop()] - group
+            group |= more
+            todo += more
+        seen |= group
+        least = min((vectors[x][0] for x in group if vectors[x][0] is not None), default=None)
+        for x in group:
+            out[vectors[x][0], len(links[x]), least, vectors[x][0] == least] += 1
+    return out
