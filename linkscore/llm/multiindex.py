@@ -30,7 +30,7 @@ from linkscore.runtime import stored
 
 THRESHOLD = 0.98
 TARGET = 0.999  # share of the neighbours at the threshold whose cell is to be visited
-SAMPLE = 16_384  # vectors that codebooks are learnt from and borders measured on
+SAMPLE = 8_192  # vectors that codebooks are learnt from and borders measured on
 CELL_ROWS = 256  # of the largest label, on average
 MAX_WORDS = 1_024  # of a codebook
 ROUNDS = 12
@@ -61,6 +61,17 @@ def _codebook(rows: np.ndarray, n_words: int, rng: np.random.Generator) -> np.nd
     return words
 
 
+def _leaders(rows: np.ndarray, threshold: float) -> np.ndarray:
+    """Rows that no earlier one is linked with: a crowd of near copies gets one codeword, not many."""
+    keep = np.ones(len(rows), bool)
+    for start in range(0, len(rows), BLOCK):
+        stop = start + BLOCK
+        near = rows[start:stop] @ rows[:stop].T >= threshold
+        near &= np.arange(start, start + len(near))[:, None] > np.arange(near.shape[1])
+        keep[start:stop] = ~near.any(1)
+    return rows[keep]
+
+
 @dataclass
 class Grid:
     """Codebooks of both halves, and how far beyond the own cell neighbours are sought."""
@@ -224,7 +235,7 @@ def grids_of(nodes: DataFrame, threshold: float = THRESHOLD, target: float = TAR
     out = {}
     for dim in np.unique(drawn["dim"].to_numpy()).tolist():
         sample = units(drawn.filter(pc.equal(drawn["dim"], dim))["embedding"])
-        out[dim] = learn_grid(sample, n_words, threshold, target)
+        out[dim] = learn_grid(_leaders(sample, threshold), n_words, threshold, target)
     return out
 
 
