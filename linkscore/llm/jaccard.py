@@ -20,12 +20,11 @@ one. What passes is decided by exact similarity of whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkscore.llm.batches import Words, distinct, mix, new_powers, slices, text_bytes
@@ -37,17 +36,28 @@ FEW = 5  # up to so many differences, signatures are pairs of parts
 LARGE = 32  # sets of a bucket whose pairs may be rows; beyond, they are compared inside tasks
 BLOCK = 512  # sets of a large bucket that one side of a task holds
 
+# filled as needed inside a task: tables, not cached functions, as those would be sent by name alone
+_BANDS: list[tuple[int, int]] = [(1, 1)]
+_MET: dict[tuple[int, int], tuple[int, ...]] = {}
+_PLANS: dict[tuple[int, int], tuple[int, int, int, np.ndarray] | None] = {}
+
 
-@lru_cache(maxsize=None)
 def band(nth: int) -> tuple[int, int]:
     """Least and largest set size of the nth band."""
-    low = 1 if nth == 0 else band(nth - 1)[1] + 1
-    return low, max(low, int(low * WIDTH))
+    while len(_BANDS) <= nth:
+        low = _BANDS[-1][1] + 1
+        _BANDS.append((low, int(low * WIDTH)))
+    return _BANDS[nth]
 
 
-@lru_cache(maxsize=None)
 def bands_of(size: int, percent: int) -> tuple[int, ...]:
     """Bands in which a set of this size meets its equals and smaller partners."""
+    if (size, percent) not in _MET:
+        _MET[size, percent] = _bands_of(size, percent)
+    return _MET[size, percent]
+
+
+def _bands_of(size: int, percent: int) -> tuple[int, ...]:
     least = -(-size * percent // 100)
     nth = 0
     while band(nth)[1] < least:
@@ -63,13 +73,18 @@ def most_different(total: int, percent: int) -> int:
     return total * (100 - percent) // (100 + percent)
 
 
-@lru_cache(maxsize=None)
 def plan(nth: int, percent: int) -> tuple[int, int, int, np.ndarray] | None:
     """Parts, parts of a subset, spare parts and the salts of a band's signatures.
 
     None where only equal sets reach the threshold. The spare parts outnumber
     those that are likely to be empty in the band's smallest sets.
     """
+    if (nth, percent) not in _PLANS:
+        _PLANS[nth, percent] = _plan(nth, percent)
+    return _PLANS[nth, percent]
+
+
+def _plan(nth: int, percent: int) -> tuple[int, int, int, np.ndarray] | None:
     low, high = band(nth)
     k = most_different(high + high * 100 // percent, percent)
     if k == 0:
@@ -176,11 +191,11 @@ def _named(n: int):
                 sets = shingle_sets(table, n, powers)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[table[c].combine_chunks() for c in ("doc_id", "anon", "handle")],
+                        *[table[c].combine_chunks() for c in ("doc_id", "anon", "handle", "print")],
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([set_hash(x) for x in sets], pa.int64()),
                     ],
-                    names=["doc_id", "anon", "handle", "n_shingles", "node"],
+                    names=["doc_id", "anon", "handle", "print", "n_shingles", "node"],
                 )
 
     return work
@@ -277,14 +292,13 @@ def _near_pairs(percent: int, nearest: int | None):
 
 
 def _handles(docs: DataFrame) -> DataFrame:
-    """Rows by id, or by the hash of their text where they have none."""
-    own = F.col("doc_id").cast("long")
-    return docs.select(
-        own.alias("doc_id"),
-        own.isNull().alias("anon"),
-        F.when(own.isNull(), F.xxhash64("text")).otherwise(own).alias("handle"),
-        F.col("text").cast("string").alias("text"),
-    )
+    """Rows by id, or by the hash of their text where they have none; ``print`` tells texts of one id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_names(), F.col("text").cast("string").alias("text"))
+
+
+def _names() -> list[Column]:
+    own, text = F.col("doc_id").cast("long"), F.xxhash64("text")
+    return [own.isNull().alias("anon"), F.when(own.isNull(), text).otherwise(own).alias("handle"), text.alias("print")]
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -316,6 +330,18 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row with its set (``doc_id, anon, handle, print, n_shingles, node``), and each set's first row and ``root``."""
+    handles = _handles(docs)
+    rows = stored(
+        handles.mapInArrow(_named(n), "doc_id long, anon boolean, handle long, print long, n_shingles long, node long"), "sets"
+    )
+    first = F.min(F.struct("anon", "handle", "print")).alias("first")
+    nodes = stored(rows.where("n_shingles > 0").groupBy("node").agg(first), "nodes")
+    links = candidate_links(nodes, handles, n, percent)
+    return rows, nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, node``: one row per row of ``docs``.
 
@@ -323,21 +349,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     distinct ``n``-word shingles. ``component_id`` is the smallest ``doc_id`` that
     links reach, the own one included; ``node`` names the set, so rows with equal
     sets have equal nodes (told apart by 64-bit hashes). Null texts and texts
-    without words have no shingles and are linked with nothing. Rows without an
-    id take part; their component is null if it holds no id. Repeated ids stay,
-    other columns are left out, no rows give no rows.
+    without words have no shingles and are linked with nothing; texts of any length
+    count whole. Rows without an id take part; their component is null if it holds
+    no id. Repeated ids stay, other columns are left out, no rows give no rows.
     """
-    handles = _handles(docs)
-    rows = stored(
-        handles.mapInArrow(_named(n), "doc_id long, anon boolean, handle long, n_shingles long, node long"), "sets"
-    )
-    nodes = stored(
-        rows.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct("anon", "handle")).alias("first")), "nodes"
-    )
-    links = candidate_links(nodes, handles, n, percent)
-    roots = components(links)
-    first = F.when(~F.col("first.anon"), F.col("first.handle"))
-    named = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), first.alias("id"))
+    rows, named = _grouped(docs, n, percent)
+    named = named.withColumn("id", F.when(~F.col("first.anon"), F.col("first.handle")))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
     by_node = stored(named.join(least, "root").select("node", "component_id"), "components")
     full, empty = rows.where("n_shingles > 0"), rows.where("n_shingles = 0")
@@ -442,12 +459,16 @@ def _block_pairs(apart: DataFrame, sets: DataFrame, percent: int, nearest: int |
 
 
 def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: the smallest ``doc_id`` of each component.
+    """The rows of ``docs``, all columns, that stay: one of each component.
 
-    Repeated rows of an id that stays are kept once per text. Rows without id
-    cannot be named as the one that stays; exact copies among them go.
+    It is the row with the smallest ``doc_id``, rows without one last; of several
+    texts with that id the one with the smallest hash, of equal rows any. Rows
+    without words link with nothing and stay, repeated ones included.
     """
-    found = jaccard_components(docs, n, percent)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    named = docs.join(first, docs["doc_id"] == first["_first"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    _, named = _grouped(docs, n, percent)
+    stays = named.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    keys = ["anon", "handle", "print"]
+    # the row travels as one column, so names of the input cannot clash with those used here
+    laid = docs.select(F.struct("*").alias("row"), *_names(), F.coalesce(F.col("text").cast("string").rlike(r"[^ \t-\r]"), F.lit(False)).alias("worded"))
+    kept = laid.where("worded").join(stays, keys, "left_semi").dropDuplicates(keys)
+    return kept.select("row").unionByName(laid.where("NOT worded").select("row")).select("row.*")
