@@ -15,7 +15,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from datetime import date
-from functools import lru_cache, partial
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from linkscore.llm.batches import slices
 
 ROUNDS = 10
-KEY = b"linkscore-pseudonyms-1"  # a deployment passes its own
 KINDS = ("email", "ip", "card", "iban", "ssn", "phone", "date")
 
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
@@ -89,9 +88,13 @@ def _root(n: int) -> int:
     return s
 
 
-@lru_cache(maxsize=256)
+_NETWORKS: dict[tuple[bytes, int, str], Feistel] = {}  # a few sizes by kind
+
+
 def _network(key: bytes, size: int, kind: str) -> Feistel:
-    return Feistel(key, size, kind)
+    if (key, size, kind) not in _NETWORKS:
+        _NETWORKS[key, size, kind] = Feistel(key, size, kind)
+    return _NETWORKS[key, size, kind]
 
 
 def _digits(text: str) -> str:
@@ -317,7 +320,7 @@ def _found(text: str) -> list[Span]:
     used = bytearray(len(text))
     for kind, candidates in _ORDER:
         for start, end in candidates(text):
-            if used.find(1, start, end) < 0 and _RULES[kind](text[start:end], KEY, False) is not None:
+            if used.find(1, start, end) < 0 and _RULES[kind](text[start:end], b"", False) is not None:
                 taken.append((start, end, kind))
                 used[start:end] = b"\1" * (end - start)
     return sorted(taken)
@@ -344,11 +347,14 @@ def _stretch(text: str, key: bytes, back: bool) -> str:
     return text
 
 
-def pseudonymise(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, list[Span]]:
+def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[Span]]:
     """The text with its personal data permuted, and ``(start, end, kind)`` in the input's code points.
 
-    ``back`` undoes the permutation.
+    ``back`` undoes the permutation; whoever knows the key can do so, hence there is
+    no key by default.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     if not _MARK.search(text):
         return text, []
     spans = _found(text)
@@ -358,12 +364,15 @@ def pseudonymise(text: str, key: bytes = KEY, back: bool = False) -> tuple[str,
     return new, spans
 
 
-def pseudonymise_documents(docs: DataFrame, key: bytes = KEY, back: bool = False) -> DataFrame:
+def pseudonymise_documents(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     """``doc_id, text`` (null stays null), a count per kind, ``n_replaced`` and ``spans`` of every row.
 
     Rows are independent: repeated ids stay, other columns are left out, empty
-    texts have nothing to replace, no rows give no rows.
+    texts have nothing to replace, texts of any length are read whole, no rows give
+    no rows.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -85,7 +85,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with personal numbers, dates and addresses permuted within their format."""
-    return pii.pseudonymise_documents(_documents(spark, sf_dir))
+    return pii.pseudonymise_documents(_documents(spark, sf_dir), b"linkscore-pseudonyms-1")
 
 
 _SEATS = """q{0} AS (SELECT {1}, {2}, weight_{0} / (2 * k + 1) AS quotient FROM p{0}, range(0, {3}) AS r(k)

@@ -12,6 +12,7 @@ from linkscore.llm import decontaminate, language, pii, quality
 from tests.llm import cases
 
 SF = "/root/testdata/sf0.01"
+KEY = b"a key of the tests"
 
 
 @pytest.fixture(scope="module")
@@ -182,10 +183,10 @@ VALUES = [
 @pytest.mark.parametrize("value", VALUES)
 def test_pseudonyms_round_trip(value):
     text = f"so, {value} ends"
-    new, found = pii.pseudonymise(text)
+    new, found = pii.pseudonymise(text, KEY)
     assert len(found) == 1 and new != text
     assert [a.isdigit() for a in new if a in " -.()+/@,"] == [a.isdigit() for a in text if a in " -.()+/@,"]
-    again, kinds = pii.pseudonymise(new, back=True)
+    again, kinds = pii.pseudonymise(new, KEY, back=True)
     assert again == text and [k for _, _, k in kinds] == [k for _, _, k in found]
     assert pii.pseudonymise(text, key=b"other")[0] != new
 
@@ -210,11 +211,11 @@ CARD, IBAN, GROUPED = "4111 1111 1111 1111", "DE89370400440532013000", "GB82 WES
     ],
 )
 def test_values_beside_others(text, values):
-    new, found = pii.pseudonymise(text)
+    new, found = pii.pseudonymise(text, KEY)
     assert [text[a:b] for a, b, _ in found] == values
-    alone = [pii.pseudonymise(v)[0] for v in values]
+    alone = [pii.pseudonymise(v, KEY)[0] for v in values]
     assert [new[a:b] for a, b, _ in found] == alone and not set(alone) & set(values)
-    assert pii.pseudonymise(new, back=True) == (text, found)
+    assert pii.pseudonymise(new, KEY, back=True) == (text, found)
 
 
 def test_crowded_numbers_round_trip():
@@ -224,20 +225,20 @@ def test_crowded_numbers_round_trip():
     for _ in range(1500):
         words = [parts[rng.integers(len(parts))] if rng.random() < 0.4 else str(rng.integers(10 ** rng.integers(1, 6))) for _ in range(rng.integers(2, 9))]
         text = "".join(w + " -/,"[rng.choice(4, p=[0.7, 0.1, 0.1, 0.1])] for w in words)
-        new, found = pii.pseudonymise(text)
-        again, kinds = pii.pseudonymise(new, back=True)
+        new, found = pii.pseudonymise(text, KEY)
+        again, kinds = pii.pseudonymise(new, KEY, back=True)
         assert again == text and [k for _, _, k in kinds] == [k for _, _, k in found]
 
 
 def test_equal_values_stay_linked():
-    a, b = pii.pseudonymise("4111 1111 1111 1111")[0], pii.pseudonymise("x 4111-1111-1111-1111")[0]
+    a, b = pii.pseudonymise("4111 1111 1111 1111", KEY)[0], pii.pseudonymise("x 4111-1111-1111-1111", KEY)[0]
     assert a.replace(" ", "") == b[2:].replace("-", "")
     assert pii.luhn_digit(a.replace(" ", "")[:-1]) == a[-1]
 
 
 @pytest.mark.parametrize("text", ["4111 1111 1111 1112", "2023-02-29", "300.1.2.3", "000-12-3456", "GB82 WEST 1234 5698 7654 33", "v1.2.3.4.5", "12345678", "a@b", ""])
 def test_invalid_values_stay(text):
-    assert pii.pseudonymise(text) == (text, [])
+    assert pii.pseudonymise(text, KEY) == (text, [])
 
 
 def test_feistel_is_a_permutation():
@@ -248,12 +249,12 @@ def test_feistel_is_a_permutation():
 
 
 def test_pseudonyms_of_documents(spark, corpus, small, none):
-    out = pii.pseudonymise_documents(corpus)
-    undone = pii.pseudonymise_documents(out, back=True)
+    out = pii.pseudonymise_documents(corpus, KEY)
+    undone = pii.pseudonymise_documents(out, KEY, back=True)
     assert undone.join(corpus, ["doc_id", "text"]).count() == corpus.count()
     assert out.join(corpus, ["doc_id", "text"]).count() == out.where("n_replaced = 0").count() < corpus.count()
-    assert pii.pseudonymise_documents(small).where("text IS NULL").count() == 1
-    assert pii.pseudonymise_documents(none).count() == 0
+    assert pii.pseudonymise_documents(small, KEY).where("text IS NULL").count() == 1
+    assert pii.pseudonymise_documents(none, KEY).count() == 0
 
 
 def test_pipeline_stages(spark, tmp_path, corpus):
