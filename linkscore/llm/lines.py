@@ -1,10 +1,11 @@
 """Line dedup over the whole corpus, with DataFrame functions only.
 
-Lines are exploded, normalised and hashed; documents are counted per hash; the
-hashes over the limit go back to their documents as one list each, and the text
-is reassembled in order without the dropped lines. A line that very many
-documents share is combined before the shuffle and meets its row through a join
-that the adaptive planner can split.
+Lines are exploded with their positions, normalised and hashed; documents are
+counted per hash; the positions of lines over the limit go back to their text as
+one list, and the text is reassembled from the positions that are left. The work on
+a text grows with its lines alone. A line that very many documents share is combined
+before the shuffle and meets its rows through a join that the adaptive planner can
+split.
 """
 
 from __future__ import annotations
@@ -35,19 +36,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     A key of at least ``min_chars`` code points that occurs in at least
     ``min_docs`` documents loses its lines everywhere but in the largest
     ``doc_id`` that holds it, where all of them stay. Null text becomes one empty
-    line. Rows with the same ``doc_id`` are one document here and keep their own
-    texts; rows without one count together as a document before all others.
-    Other columns pass through; ``n_lines`` and ``n_dropped`` replace columns of
-    these names. An empty table gives an empty table.
+    line; texts of any length and number of lines are read whole. Rows with the same
+    ``doc_id`` are one document here and keep their own texts; rows without one count
+    together as a document before all others. Other columns pass through; ``n_lines``
+    and ``n_dropped`` replace columns of these names. An empty table gives an empty
+    table.
     """
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    lines = F.split(text, "\n")
+    print_ = F.xxhash64(text)  # with the id it names a text, so equal rows share their positions
     keyed = stored(
-        docs.select(own.alias("id"), F.explode(lines).alias("line"))
+        docs.select(own.alias("id"), print_.alias("print"), lines.alias("lines"))  # once a text, not once a line
+        .select("id", "print", F.posexplode("lines").alias("pos", "line"))
         .where(F.length("line") >= min_chars)
-        .select("id", line_key(F.col("line")).alias("key"))
+        .select("id", "print", "pos", line_key(F.col("line")).alias("key"))
         .where(F.length("key") >= min_chars)
-        .select("id", key_hash(F.col("key")).alias("key")),
+        .select("id", "print", "pos", key_hash(F.col("key")).alias("key")),
         "keys",
     )
     over = stored(
@@ -60,22 +65,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     drops = (
         keyed.join(over, "key")
         .where(F.col("id") != F.col("last"))
-        .groupBy("id")
-        .agg(F.collect_set("key").alias("drops"))
+        .groupBy("id", "print")
+        .agg(F.collect_set("pos").alias("drops"))
     )
     # the row travels as one column, so names of the input cannot clash with those used here
-    laid = docs.select(F.struct("*").alias("row"), own.alias("own"), lines.alias("lines"))
-    joined = laid.join(drops, F.col("own") == F.col("id"), "left")
-    kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(
-        F.filter(
-            "lines",
-            lambda x: (F.length(line_key(x)) < min_chars) | ~F.array_contains(F.col("drops"), key_hash(line_key(x))),
-        )
-    )
+    laid = docs.select(F.struct("*").alias("row"), own.alias("id"), print_.alias("print"), lines.alias("lines"))
+    joined = laid.join(drops, ["id", "print"], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drops")  # in order, by hashing
+    kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(F.transform(left, lambda i: F.get("lines", i)))
     columns = [f"row.`{c}`" for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped")]
     return joined.withColumn("kept", kept).select(
         *columns,
         F.array_join("kept", "\n").alias("text"),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
     )
