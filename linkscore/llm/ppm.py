@@ -9,7 +9,9 @@ Every distinct gram (``ORDER`` bytes and a symbol) gets its log probability once
 by joins along the orders. Documents meet their grams block by block: a block's
 distinct grams go out, packed into parts by key, and their values come back in
 the same packing, so neither the trie nor the counts are ever broadcast or held
-by one task.
+by one task. Beyond ``TEAM`` blocks the parts of a team of blocks are merged first
+and cut finer, team by team, until one team holds all; values come back the same
+way. So a block sends out a bounded number of rows, whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from linkscore.runtime import stored
 ORDER = 5  # bytes of context; a gram of ORDER + 1 bytes fits a long
 START, END = 0xFE, 0xFF  # no byte of UTF-8
 SYMBOLS = 256
-BLOCK_BYTES = 32 << 20  # text of a block on average
+BLOCK_BYTES = 32 << 20  # text of a block
+TEAM = 64  # blocks, or teams, whose parts one task merges; about as many finer parts does it make
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -106,13 +109,14 @@ def unpack_keys(raw: bytes) -> np.ndarray:
 
 
 PACKED = "block long, is_gram boolean, part int, keys binary, vals binary"
+COUNTED = f"{PACKED}, wide boolean"  # counts of a team may need 64 bits
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary())
-    columns = list(zip(*rows)) or [()] * 5
+    kinds = (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
+    columns = list(zip(*rows)) or [()] * 6
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "is_gram", "part", "keys", "vals"]
+        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "is_gram", "part", "keys", "vals", "wide"]
     )
 
 
@@ -127,7 +131,7 @@ def _dictionaries(order: int, parts: int):
             at = np.argsort(part, kind="stable")
             key, count, part = key[at], count[at], part[at]
             for p, a, b in zip(*_runs(part)):
-                rows.append((block, is_gram, p, pack_keys(key[a:b]), pack(count[a:b].astype(np.int32))))
+                rows.append((block, is_gram, p, pack_keys(key[a:b]), pack(count[a:b].astype(np.int32)), False))
         return _batch(rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,10 +166,63 @@ def _runs(values: np.ndarray) -> tuple[list[int], list[int], list[int]]:
 def _totals(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Keys by row of a part, and all its distinct keys with their counts in all blocks."""
     keys = [unpack_keys(x) for x in table["keys"].to_pylist()]
-    counts = [unpack(x, np.int32).astype(np.int64) for x in table["vals"].to_pylist()]
+    counts = [unpack(x, np.int64 if wide else np.int32).astype(np.int64) for x, wide in zip(table["vals"].to_pylist(), table["wide"].to_pylist())]
     return keys, *_merged(keys, counts)
 
 
+def _merge(parts: int):
+    """Arrow function: a part of a team's blocks as one dictionary, cut into finer parts."""
+
+    def work(table: pa.Table) -> pa.Table:
+        _, key, count = _totals(table)
+        part = (key % parts).astype(np.int32)
+        at = np.argsort(part, kind="stable")
+        key, count, part = key[at], count[at], part[at]
+        team, is_gram = table["team"][0].as_py(), table["is_gram"][0].as_py()
+        return pa.Table.from_batches([_batch([(team, is_gram, p, pack_keys(key[a:b]), pack(count[a:b]), True) for p, a, b in zip(*_runs(part))])])
+
+    return work
+
+
+def _hand_down(rows: pa.Table, upper: pa.Table) -> pa.Table:
+    """A part of a team's blocks, with the values that its finer parts have got."""
+    kind = np.float64 if rows["is_gram"][0].as_py() else np.int64
+    key = np.concatenate([unpack_keys(x) for x in upper["keys"].to_pylist()])
+    value = np.concatenate([unpack(x, kind) for x in upper["vals"].to_pylist()])
+    at = np.argsort(key)
+    key, value = key[at], value[at]
+    values = [pack(value[np.searchsorted(key, unpack_keys(x))]) for x in rows["keys"].to_pylist()]
+    return rows.select(["block", "is_gram", "part", "keys"]).append_column("vals", pa.array(values, pa.binary()))
+
+
+def _climb(packed: DataFrame, n_blocks: int) -> tuple[list[DataFrame], list[int]]:
+    """Dictionaries by level, the blocks' first, and the parts of each level.
+
+    Parts are odd in number, so that the last byte of a gram does not choose its
+    part, and those of a level divide those of the next.
+    """
+    levels, parts, units = [packed], [_first_parts(n_blocks)], n_blocks
+    while units > TEAM:
+        units = -(-units // TEAM)
+        parts.append(parts[-1] * (TEAM - 1 | 1))
+        levels[-1] = levels[-1].withColumn("team", F.pmod(F.xxhash64("block"), F.lit(units)))
+        levels.append(stored(levels[-1].groupBy("team", "is_gram", "part").applyInArrow(_merge(parts[-1]), COUNTED), "packed"))
+    return levels, parts
+
+
+def _first_parts(n_blocks: int) -> int:
+    return max(8, min(n_blocks, TEAM)) | 1
+
+
+def _descend(model: DataFrame, levels: list[DataFrame], parts: list[int]) -> DataFrame:
+    """The values of the last level's dictionaries, for those of the blocks."""
+    for level, width in zip(reversed(levels[:-1]), reversed(parts[:-1])):
+        upper = model.select(F.col("block").alias("team"), "is_gram", F.pmod("part", F.lit(width)).alias("part"), "keys", "vals")
+        keys = "team", "is_gram", "part"
+        model = stored(level.drop("vals", "wide").groupBy(*keys).cogroup(upper.groupBy(*keys)).applyInArrow(_hand_down, PACKED), "model")
+    return model
+
+
 def _gram_counts(table: pa.Table) -> pa.Table:
     """A part's distinct grams with their counts."""
     _, key, count = _totals(table)
@@ -177,7 +234,7 @@ def _word_counts(table: pa.Table) -> pa.Table:
     keys, key, count = _totals(table)
     values = [pack(count[np.searchsorted(key, k)].astype(np.int64)) for k in keys]
     total, kinds = int(count.sum()), int((count > 0).sum())
-    return table.set_column(4, "vals", pa.array(values, pa.binary())).append_column(
+    return table.drop_columns(["vals", "wide"]).append_column("vals", pa.array(values, pa.binary())).append_column(
         "total", pa.array([total] * len(keys), pa.int64())
     ).append_column("kinds", pa.array([kinds] * len(keys), pa.int64()))
 
@@ -362,20 +419,22 @@ def score_documents(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOC
     words are told apart by 64-bit hashes. ``score`` is the log10 probability of
     the text's bytes with A-Z lower-cased and an end mark. A null text is an empty
     one. Without training rows every symbol is equally likely. Repeated ids stay
-    apart, other columns are left out, no rows give no rows.
+    apart, texts of any length count whole, other columns are left out, no rows give
+    no rows.
     """
     modulus, rest = hold_out
     rows = in_blocks(docs.select("doc_id", "text"), block_bytes).withColumn(
         "held_out", id_bucket(F.col("doc_id"), modulus) == rest
     )
-    # as many parts as blocks, and odd, so that the last byte of a gram does not choose its part
-    parts = max(8, rows.select("block").distinct().count()) | 1
-    packed = stored(rows.select("block", "held_out", "text").mapInArrow(_dictionaries(order, parts), PACKED), "packed")
+    n_blocks = rows.select("block").distinct().count()
+    work = _dictionaries(order, _first_parts(n_blocks))
+    levels, widths = _climb(stored(rows.select("block", "held_out", "text").mapInArrow(work, COUNTED), "packed"), n_blocks)
+    packed, parts = levels[-1], widths[-1]
     gram_rows, word_rows = packed.where("is_gram"), packed.where("NOT is_gram")
     counts = stored(gram_rows.groupBy("part").applyInArrow(_gram_counts, "key long, n long"), "counts")
     scores = gram_scores(counts, order).withColumn("part", (F.col("key") % parts).cast("int"))
     gram_model = (
-        gram_rows.drop("vals").groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(_gram_values, PACKED)
+        gram_rows.drop("vals", "wide").groupBy("part").cogroup(scores.groupBy("part")).applyInArrow(_gram_values, PACKED)
     )
     word_model = stored(
         word_rows.groupBy("part").applyInArrow(_word_counts, f"{PACKED}, total long, kinds long"), "vocabulary"
@@ -384,7 +443,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOC
     totals = totals.agg(F.sum("total").alias("words"), F.sum("kinds").alias("kinds")).first()
     ends = rows.where(~F.col("held_out")).count()
     n, v = int(totals["words"] or 0) + ends, int(totals["kinds"] or 0) + (1 if ends else 0)
-    model = gram_model.unionByName(word_model.drop("total", "kinds"))
+    model = _descend(gram_model.unionByName(word_model.drop("total", "kinds")), levels, widths)
     scored = (
         rows.select("block", "doc_id", "held_out", "text")
         .groupBy("block")

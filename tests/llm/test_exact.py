@@ -91,11 +91,40 @@ def rows_of(df):
 def test_deduplicate_keeps_one_of_each(docs):
     kept = jaccard.deduplicate(docs, 3, 90)
     found = cases.jaccard_components(DOCS, 3, 90)
-    want = {c for (_, _, c) in found if c is not None}
-    assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == want
+    want = {c for (_, n, c) in found if c is not None and n}
+    assert {r.doc_id for r in kept.where("text RLIKE '[^ \\t-\\r]'").collect() if r.doc_id is not None} == want
     assert kept.columns == docs.columns
 
 
+def test_deduplicate_without_ids(spark):
+    """Near copies without id, a copy without id of a row with one, texts of one id, wordless rows."""
+    rng = np.random.default_rng(6)
+    a, b, c, d = (" ".join(f"w{i}" for i in rng.integers(0, 900, 120)) for _ in range(4))
+    rows = [
+        (None, a), (None, a + " more"),  # one component, no id
+        (1, b), (None, b), (None, b + " x"), (2, b + " y"),  # 1 stays
+        (7, c), (7, d), (3, d + " z"), (7, c), (9, c + " q"),  # 7 with c stays, 3 stays of the other
+        (None, None), (None, ""), (None, " \n"), (None, ""), (4, None), (4, None),  # link with nothing
+    ]
+    docs = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], "doc_id long, text string, anon int, row string, print int")
+    kept = jaccard.deduplicate(docs, 5, 80)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    empty = Counter((i, t) for i, t in rows if not (t or "").strip())
+    assert Counter({k: n for k, n in got.items() if not (k[1] or "").strip()}) == empty
+    full = got - empty
+    assert set(full.values()) == {1} and {i for i, _ in full} == {None, 1, 7, 3}
+    assert len(full) == 4 and (7, c) in full and (3, d + " z") in full
+
+
+def test_line_dedup_of_many_lines(spark):
+    """Work on a text grows with its lines, not with their square."""
+    text = "\n".join(f"line number {i} of a long log file" for i in range(60_000))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in lines.dedup_lines(docs).collect()}
+    assert got == {0: (60_000, 60_000, ""), 1: (60_000, 60_000, ""), 2: (60_000, 0, text)}
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 40), (41, 50), (7, 7)], "a long, b long")
     got = dict(map(tuple, components.components(links).collect()))
@@ -146,7 +175,10 @@ def test_automaton_names_the_first_document():
             assert made.firsts(t, 5) == want
 
 
-def test_ppm(docs):
+@pytest.mark.parametrize("team", [ppm.TEAM, 3])
+def test_ppm(docs, monkeypatch, team):
+    """With small teams, dictionaries climb over several levels and values come down again."""
+    monkeypatch.setattr(ppm, "TEAM", team)
     out = ppm.score_documents(docs, block_bytes=3_000)
     got = sorted((r.doc_id is None, r.doc_id, r.n_tokens, round(r.base_score, 6), round(r.score, 5), r.held_out, r.n_known, r.train_tokens) for r in out.collect())
     want = sorted(
@@ -159,6 +191,35 @@ def test_ppm(docs):
         assert math.isclose(a[3], b[3], abs_tol=1e-4) and math.isclose(a[4], b[4], abs_tol=1e-3)
 
 
+def test_rows_of_a_block_are_bounded(spark):
+    """Ten times the blocks, as many packed rows a block on every level."""
+    texts = [(i, " ".join(f"w{(i * 7 + j) % 997}" for j in range(60))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    counts = {}
+    for n_blocks, bytes_ in ((40, 2_900), (400, 290)):
+        rows = blocks.in_blocks(docs, bytes_).withColumn("held_out", F.lit(False))
+        n = rows.select("block").distinct().count()
+        assert n > 0.8 * n_blocks
+        work = ppm._dictionaries(ppm.ORDER, ppm._first_parts(n))
+        first = rows.select("block", "held_out", "text").mapInArrow(work, ppm.COUNTED)
+        levels, parts = ppm._climb(first, n)
+        assert all(b % a == 0 and b % 2 for a, b in zip(parts, parts[1:]))
+        counts[n_blocks] = [level.groupBy("block", "is_gram").count().agg(F.max("count")).first()[0] for level in levels]
+    assert len(counts[40]) == 1 and len(counts[400]) == 2
+    assert max(sum(counts.values(), [])) <= ppm.TEAM * (ppm.TEAM + 1)
+    assert counts[400][0] <= ppm.TEAM + 1
+
+
+def test_blocks_by_running_bytes(spark):
+    """Long texts side by side fill blocks of their own; a block is no larger than its limit and one text."""
+    rows = [(i, "x" * (5_000 if i < 20 else 10)) for i in range(500)] + [(900, None), (None, "")]
+    out = blocks.in_blocks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 6_000)
+    size = out.groupBy("block").agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("rows")).collect()
+    assert sum(r.rows for r in size) == 502
+    assert max(r.n for r in size) <= 6_000 + 5_000
+    assert len(size) > 15
+
+
 def test_ppm_nothing_learnt(spark, none):
     assert ppm.score_documents(none).count() == 0
     odd = next(i for i in range(99) if cases.held_out(i, 7))
