@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import tempfile
 import time
@@ -80,7 +81,7 @@ def main(argv):
 
     from linkscore.runtime import local_session
 
-    sf = "/root/testdata/sf0.01"
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
     names = argv or list(entry.queries())
     spark = local_session()
     con = connect(sf)
