@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkscore.runtime import cut
-from linkscore.skew import blocked_pairs, salted_join
+from linkscore.runtime import stored
+from linkscore.skew import blocked_pairs
 
 KINDS = ("euclid", "pearson", "cosine")
 
@@ -46,13 +49,89 @@ def item_similarity(ratings: DataFrame, kind: str = "cosine") -> DataFrame:
     return sums.select(F.col("item_id_a").alias("item_a"), F.col("item_id_b").alias("item_b"), "n", sim.alias("similarity"))
 
 
+# --- recommendations ------------------------------------------------------
+#
+# Users are cut into blocks and items into tiles. A task scores the users of one block
+# for the items of one tile and gives each user's best ``n`` of them, so neither votes
+# nor predictions are ever rows; the best of all tiles are merged.
+
+BLOCK_USERS = 500
+BLOCK_RATINGS = 200_000
+TILE_ITEMS = 4_000
+TILE_LINKS = 500_000  # similar items that a tile's items have
+SCORED = "user_id long, item_id long, predicted double"
+
+
+def _best_of_tile(users: np.ndarray, items: np.ndarray, top: np.ndarray, bottom: np.ndarray, open_: np.ndarray, n: int) -> pd.DataFrame:
+    """Best ``n`` items of each user by ``top / bottom``, rounded; ties to the smaller item."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = np.where(open_, top / bottom, -np.inf)
+    rank = np.argsort(-np.round(p, 9), axis=1, kind="stable")[:, :n]  # items ascend
+    best = np.take_along_axis(p, rank, 1)
+    u, i = np.nonzero(np.isfinite(best))
+    return pd.DataFrame({"user_id": users[u], "item_id": items[rank[u, i]], "predicted": best[u, i]})
+
+
+def _ranked(found: DataFrame, n: int) -> DataFrame:
+    best = Window.partitionBy("user_id").orderBy(F.desc(F.round("predicted", 9)), "item_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+
+
+def _blocks(total: int, size: int) -> int:
+    return max(1, -(-total // size))
+
+
+def _numbered(c: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+
+
+def _every(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
+def _vote(n: int):
+    """Function of a block's ratings and the similar items of a tile: each user's best unrated items of the tile."""
+
+    def work(rated: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        if not len(rated) or not len(links):
+            return pd.DataFrame({"user_id": [], "item_id": [], "predicted": []})
+        links = links.sort_values("item_id", kind="stable")
+        known, others, sims = links["item_id"].to_numpy(), links["other"].to_numpy(), links["similarity"].to_numpy()
+        items, place = np.unique(others, return_inverse=True)
+        users, row = np.unique(rated["user_id"].to_numpy(), return_inverse=True)
+        item, rating = rated["item_id"].to_numpy(), rated["rating"].to_numpy(float)
+        first, last = np.searchsorted(known, item, "left"), np.searchsorted(known, item, "right")
+        size = len(users) * len(items)
+        top, bottom, count = np.zeros(size), np.zeros(size), np.zeros(size, np.int64)
+        votes = last - first
+        cuts = np.flatnonzero(np.diff(np.cumsum(votes) // 1_000_000)) + 1  # votes of a piece, about 30 MB
+        for a, b in zip([0, *cuts], [*cuts, len(item)]):
+            width = votes[a:b]
+            ends = np.cumsum(width)
+            link = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[a:b] - (ends - width), width)
+            at = np.repeat(row[a:b], width) * len(items) + place[link]
+            top += np.bincount(at, sims[link] * np.repeat(rating[a:b], width), size)
+            bottom += np.bincount(at, sims[link], size)
+            count += np.bincount(at, minlength=size)
+        open_ = (count > 0) & (bottom != 0)
+        own = np.searchsorted(items, item)
+        there = (own < len(items)) & (items[np.minimum(own, len(items) - 1)] == item)
+        open_[row[there] * len(items) + own[there]] = False
+        grid = lambda x: x.reshape(len(users), len(items))
+        return _best_of_tile(users, items, grid(top), grid(bottom), grid(open_), n)
+
+    return work
+
+
 def recommend(ratings: DataFrame, n: int = 3, kind: str = "cosine") -> DataFrame:
     """(user_id, item_id, predicted, rank): best unrated items per user.
 
-    The prediction is the mean of the user's ratings weighted by similarity;
-    there is none where the weights sum to 0.
+    The prediction is the mean of the user's ratings weighted by similarity; there is
+    none where the weights sum to 0. Ratings go to the tiles, similar items to the
+    blocks; a hot item's votes are summed where they arise.
     """
-    sims = cut(item_similarity(ratings, kind).where(F.col("similarity").isNotNull()))
+    rated = stored(ratings.select("user_id", "item_id", "rating").dropna(), "ratings")
+    sims = stored(item_similarity(rated, kind).where(F.col("similarity").isNotNull()), "similar")
     turned = F.explode(
         F.array(
             F.struct(F.col("item_a").alias("item_id"), F.col("item_b").alias("other")),
@@ -60,87 +139,153 @@ def recommend(ratings: DataFrame, n: int = 3, kind: str = "cosine") -> DataFrame
         )
     )
     both = sims.select(turned.alias("p"), "similarity").select("p.item_id", "p.other", "similarity")
-    votes = salted_join(ratings, both, ["item_id"], F.col("user_id"))
-    predicted = votes.groupBy("user_id", F.col("other").alias("item_id")).agg(
-        F.try_divide(F.sum(F.col("similarity") * F.col("rating")), F.sum("similarity")).alias("predicted")
-    ).where(F.col("predicted").isNotNull())
-    open_items = predicted.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    best = Window.partitionBy("user_id").orderBy(F.desc(F.round("predicted", 9)), "item_id")
-    return open_items.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+    users, items, total = rated.agg(F.approx_count_distinct("user_id"), F.approx_count_distinct("item_id"), F.count(F.lit(1))).first()
+    blocks = max(_blocks(users, BLOCK_USERS), _blocks(total, BLOCK_RATINGS))
+    tiles = max(_blocks(items, TILE_ITEMS), _blocks(2 * sims.count(), TILE_LINKS))
+    left = rated.withColumns({"block": _numbered("user_id", blocks), "tile": _every(tiles)})
+    right = both.withColumns({"block": _every(blocks), "tile": _numbered("other", tiles)})
+    found = left.groupBy("block", "tile").cogroup(right.groupBy("block", "tile")).applyInPandas(_vote(n), SCORED)
+    return _ranked(found, n)
 
 
-MAX_ITEMS = 1_000_000
 OVERSAMPLE = 6
-POWER_ROUNDS = 4
+MOST_ROUNDS = 200
+SETTLED = 1e-12  # relative change of the singular values' squares that ends the iteration
+STATE = "item_id long, x array<double>, mx array<double>, p array<double>, mp array<double>, r array<double>, mr array<double>"
+
+
+def _stack(batch: pa.RecordBatch, *names: str) -> np.ndarray:
+    """Array columns side by side, a row per item."""
+    return np.hstack([batch[c].flatten().to_numpy().reshape(batch.num_rows, -1) for c in names])
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's part of the products of the basis ``[x, r, p]`` with itself and with its images."""
+    total = None
+    for batch in batches:
+        basis, images = _stack(batch, "x", "r", "p"), _stack(batch, "mx", "mr", "mp")
+        own = np.stack([basis.T @ basis, basis.T @ images]).ravel()
+        total = own if total is None else total + own
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "v"])
+
+
+def _combined(c: np.ndarray, squares: np.ndarray, k: int):
+    """Arrow function: new vectors ``basis @ c``, the directions they went, their images and residuals."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            basis, images = _stack(batch, "x", "r", "p"), _stack(batch, "mx", "mr", "mp")
+            x, mx = basis @ c, images @ c
+            new = [x, mx, basis[:, k:] @ c[k:], images[:, k:] @ c[k:], mx - x * squares]
+            yield pa.RecordBatch.from_arrays([batch["item_id"], *[pa.array(v.tolist(), pa.list_(pa.float64())) for v in new]], names=["item_id", "x", "mx", "p", "mp", "r"])
+
+    return work
 
 
-def _right_vectors(per_user: DataFrame, at: dict, rank: int) -> np.ndarray:
-    """First right singular vectors of the user-item matrix, by subspace iteration.
+def _image(ratings: DataFrame, vectors: DataFrame, c: str, k: int) -> DataFrame:
+    """(item_id, image): the vectors in column ``c`` sent to the users by their ratings and back."""
+    ahead = ratings.join(vectors.select("item_id", c), "item_id").groupBy("user_id").agg(*[F.sum(F.col("rating") * F.col(c)[i]).alias(f"a{i}") for i in range(k)])
+    back = ratings.join(ahead, "user_id").groupBy("item_id").agg(*[F.sum(F.col("rating") * F.col(f"a{i}")).alias(f"b{i}") for i in range(k)])
+    return back.select("item_id", F.array(*[f"b{i}" for i in range(k)]).alias("image"))
 
-    Every round multiplies a thin matrix by the ratings and back: a task sums
-    its own users' products, and one row per item reaches the driver.
+
+def _ritz(gram: np.ndarray, image: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest squares inside the basis, and the combinations of its columns that have them."""
+    size = np.sqrt(np.maximum(np.diag(gram), 0))
+    scale = np.divide(1.0, size, out=np.zeros_like(size), where=size > 1e-150)
+    g, h = gram * scale[:, None] * scale, image * scale[:, None] * scale
+    values, vectors = np.linalg.eigh((g + g.T) / 2)
+    keep = values > 1e-12 * max(values.max(), 1e-300)  # directions that are not there twice
+    base = vectors[:, keep] / np.sqrt(values[keep])
+    inner = base.T @ ((h + h.T) / 2) @ base
+    squares, turn = np.linalg.eigh(inner)
+    c = scale[:, None] * (base @ turn[:, ::-1][:, :k])
+    missing = k - c.shape[1]
+    return np.append(squares[::-1][:k], np.zeros(max(0, missing))), np.hstack([c, np.zeros((len(c), max(0, missing)))])
+
+
+def right_vectors(ratings: DataFrame, rank: int) -> DataFrame:
+    """(item_id, v): the first ``rank`` right singular vectors of the user-item matrix.
+
+    Blocks of vectors are tables; of their few columns only products reach the
+    driver. A round sends the residuals to the users and back, and takes the best
+    vectors out of the current ones, their residuals and the last directions
+    (locally optimal block iteration). It ends when the squares of the singular values
+    have settled, or raises.
     """
-    size = len(at)
-    width = min(size, rank + OVERSAMPLE)
-    q = np.linalg.qr(np.random.default_rng(11).standard_normal((size, width)))[0]
-    context = per_user.sparkSession.sparkContext
-    codes = context.broadcast(at)
-    for _ in range(POWER_ROUNDS):
-        shared = context.broadcast(q)
-
-        def multiply(batches):
-            total = np.zeros_like(shared.value)
-            for pdf in batches:
-                for rated in pdf["rated"]:
-                    idx = np.array([codes.value[x["item_id"]] for x in rated])
-                    r = np.array([x["rating"] for x in rated], dtype=float)
-                    np.add.at(total, idx, np.outer(r, r @ shared.value[idx]))
-            yield pd.DataFrame({"i": np.arange(len(total)), "v": list(total)})
-
-        parts = per_user.select("rated").mapInPandas(multiply, "i long, v array<double>")
-        sums = parts.groupBy("i").agg(*[F.sum(F.col("v")[j]).alias(f"v{j}") for j in range(width)]).collect()
-        product = np.zeros((size, width))
-        for row in sums:
-            product[row["i"]] = row[1:]
-        q, r = np.linalg.qr(product)
-        shared.destroy()
-    # rotate the basis so that its columns are the singular vectors in order
-    left, _, _ = np.linalg.svd(product, full_matrices=False)
-    return left[:, :rank]
+    items = ratings.select("item_id").distinct()
+    k = min(items.count(), rank + OVERSAMPLE)
+    if not k:
+        return items.withColumn("v", F.array().cast("array<double>"))
+    start = F.array(*[F.pmod(F.xxhash64(F.lit(i), "item_id"), F.lit(2_000_003)) / F.lit(1_000_001.5) - 1 for i in range(k)])
+    nothing = F.array_repeat(F.lit(0.0), k)
+    seeds = items.select("item_id", start.alias("x"))
+    images = seeds.join(_image(ratings, seeds, "x", k), "item_id")
+    state = stored(images.select("item_id", "x", F.col("image").alias("mx"), *[nothing.alias(c) for c in ("p", "mp", "r", "mr")]), "vectors")
+    before = None
+    for _ in range(MOST_ROUNDS):
+        parts = state.mapInArrow(_grams, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow().sort_by("i")
+        gram, image = parts["v"].to_numpy().reshape(2, 3 * k, 3 * k)
+        squares, c = _ritz(gram, image, k)
+        new = state.mapInArrow(_combined(c, squares, k), STATE.removesuffix(", mr array<double>"))
+        first = squares[:rank]
+        if before is not None and np.allclose(first, before, rtol=SETTLED, atol=SETTLED * first.max()):
+            return new.select("item_id", F.slice("x", 1, min(rank, k)).alias("v"))
+        before = first
+        sent = _image(ratings, new, "r", k).withColumnRenamed("image", "mr")
+        state = stored(new.join(sent, "item_id"), "vectors")
+    raise RuntimeError(f"singular values did not settle in {MOST_ROUNDS} rounds")
+
+
+def _score(n: int, width: int):
+    """Function of a block's users with their ratings and a tile of items: each user's best unrated items of the tile."""
+    names = [f"v{i}" for i in range(width)]
+
+    def work(rated: pd.DataFrame, tile: pd.DataFrame) -> pd.DataFrame:
+        if not len(rated) or not len(tile):
+            return pd.DataFrame({"user_id": [], "item_id": [], "predicted": []})
+        tile = tile.sort_values("item_id")
+        items, unit = tile["item_id"].to_numpy(), tile[names].to_numpy(float)
+        whole = rated["item_id"].isna().to_numpy()  # the user's sums; the other rows are rated items of the tile
+        sums = rated[whole].drop_duplicates("user_id").sort_values("user_id")
+        users = sums["user_id"].to_numpy()
+        top = 0.5 * sums["total"].to_numpy(float)[:, None] + 0.5 * sums[[f"r{i}" for i in range(width)]].to_numpy(float) @ unit.T
+        bottom = 0.5 * sums["count"].to_numpy(float)[:, None] + 0.5 * sums[[f"u{i}" for i in range(width)]].to_numpy(float) @ unit.T
+        open_ = bottom > 0
+        own = rated[~whole]
+        open_[np.searchsorted(users, own["user_id"].to_numpy()), np.searchsorted(items, own["item_id"].to_numpy().astype(np.int64))] = False
+        return _best_of_tile(users, items, top, bottom, open_, n)
+
+    return work
 
 
 def recommend_reduced(ratings: DataFrame, n: int = 3, rank: int = 4) -> DataFrame:
     """Like :func:`recommend` with cosine similarity of items reduced to ``rank`` dimensions.
 
-    The item vectors are the first right singular vectors (``rank`` numbers
-    per item; their count is checked). As the similarity is linear in the unit
-    vectors, a user's predictions for all items are one small matrix product.
+    The item vectors are the first right singular vectors. As the similarity is
+    linear in the unit vectors, a user's predictions for a tile of items are one small
+    matrix product of the user's sums.
     """
-    items = [r[0] for r in ratings.select("item_id").distinct().orderBy("item_id").limit(MAX_ITEMS + 1).collect()]
-    if len(items) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items")
-    at = {item: i for i, item in enumerate(items)}
-    size = len(items)
-    per_user = cut(
-        ratings.groupBy("user_id").agg(F.collect_list(F.struct("item_id", "rating")).alias("rated"))
+    rated = stored(ratings.select("user_id", "item_id", "rating").dropna(), "ratings")
+    vectors = right_vectors(rated, rank)
+    width = rank
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x))
+    part = [F.coalesce(F.try_divide(F.get("v", F.lit(i)), norm), F.lit(0.0)).alias(f"v{i}") for i in range(width)]
+    unit = stored(vectors.select("item_id", *part), "unit")
+    sums = rated.join(unit, "item_id").groupBy("user_id").agg(
+        F.sum("rating").alias("total"),
+        F.count(F.lit(1)).cast("double").alias("count"),
+        *[F.sum(F.col("rating") * F.col(f"v{i}")).alias(f"r{i}") for i in range(width)],
+        *[F.sum(f"v{i}").alias(f"u{i}") for i in range(width)],
+    )
+    users, items = rated.agg(F.approx_count_distinct("user_id"), F.approx_count_distinct("item_id")).first()
+    blocks, tiles = _blocks(users, BLOCK_USERS), _blocks(items, TILE_ITEMS)
+    block = _numbered("user_id", blocks)
+    tile = _numbered("item_id", tiles)
+    left = sums.withColumns({"block": block, "tile": _every(tiles)}).unionByName(
+        rated.select("user_id", "item_id").withColumns({"block": block, "tile": tile}), allowMissingColumns=True
     )
-    v = _right_vectors(per_user, at, rank)
-    norm = np.linalg.norm(v, axis=1, keepdims=True)
-    unit = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
-    codes = np.array(items)
-
-    def score(batches):
-        for pdf in batches:
-            out = []
-            for user, rated in zip(pdf["user_id"], pdf["rated"]):
-                idx = np.array([at[x["item_id"]] for x in rated])
-                r = np.array([x["rating"] for x in rated], dtype=float)
-                top = 0.5 * r.sum() + 0.5 * unit @ (r @ unit[idx])
-                bottom = 0.5 * len(idx) + 0.5 * unit @ unit[idx].sum(axis=0)
-                p = np.divide(top, bottom, out=np.full(size, -np.inf), where=bottom > 0)
-                p[idx] = -np.inf
-                order = np.lexsort((codes, -np.round(p, 9)))[:n]
-                out += [(user, codes[i].item(), float(p[i]), k + 1) for k, i in enumerate(order) if np.isfinite(p[i])]
-            yield pd.DataFrame(out, columns=["user_id", "item_id", "predicted", "rank"])
-
-    return per_user.mapInPandas(score, "user_id long, item_id long, predicted double, rank int")
+    right = unit.withColumns({"tile": tile, "block": _every(blocks)})
+    found = left.groupBy("block", "tile").cogroup(right.groupBy("block", "tile")).applyInPandas(_score(n, width), SCORED)
+    return _ranked(found, n)

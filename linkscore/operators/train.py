@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import math
-import time
 from collections.abc import Mapping, Sequence
-from multiprocessing.pool import ThreadPool
 from typing import Any
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
@@ -20,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.operators.aggregates import undersample
+from linkscore.operators.boosting import sweep
 from linkscore.operators.prepare import uniform
 
 # Tree settings of the training jobs.
@@ -104,27 +102,8 @@ def train_and_score_all(df: DataFrame, xs: Sequence[str], y: str, key: str) -> D
 
 
 def sweep_gbt(df: DataFrame, xs: Sequence[str], y: str, key: str, trees: Sequence[int], depths: Sequence[int]) -> DataFrame:
-    """(trees, depth, rmse, seconds): every cell of the grid on a 60/40 split, as if fitted by itself.
-
-    Boosting adds one tree after the other, so the fit of the most trees holds those
-    of fewer; ``seconds`` is the time of that fit, one per depth, next to the others.
-    """
-    a, b = split(with_features(df, xs, y), key)
-    a, b = a.persist(), b.persist()
-    a.count()
-
-    def cells(depth: int) -> list[tuple[int, int, float, float]]:
-        t0 = time.time()
-        model = R.GBTRegressor(maxIter=max(trees), maxDepth=depth, subsamplingRate=0.8, minInstancesPerNode=50, seed=11).fit(a)
-        seconds = time.time() - t0
-        squares = model.evaluateEachIteration(b, "squared")
-        return [(n, depth, squares[n - 1] ** 0.5, seconds) for n in trees]
-
-    with ThreadPool(min(8, len(depths))) as pool:
-        found = pool.map(inheritable_thread_target(df.sparkSession)(cells), sorted(depths, reverse=True), chunksize=1)
-    a.unpersist()
-    b.unpersist()
-    return df.sparkSession.createDataFrame(sorted(r for rows in found for r in rows), "trees int, depth int, rmse double, seconds double")
+    """(trees, depth, rmse, auc, cpu_seconds): every cell of the grid on a 60/40 split, as if fitted by itself."""
+    return sweep(df, xs, y, key, uniform(F.col(key), 11) < 0.6, trees, depths)
 
 
 def linear_cv(df: DataFrame, xs: Sequence[str], y: str, kind: str, alphas: Sequence[float], folds: int = 3) -> DataFrame:

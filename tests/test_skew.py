@@ -98,6 +98,51 @@ def test_knn_join_in_bands(spark, monkeypatch):
     assert got == brute(pts, pts, 3, True)
 
 
+def test_knn_join_in_two_levels(spark, monkeypatch):
+    """Crowded cells with pivots of their own, several bands, parts and blocks; one cell holds most points."""
+    import linkscore.operators.knn as K
+
+    for name, value in (("ROWS_PER_BAND", 6), ("LEAF_ROWS", 12), ("QUERY_BLOCK", 15), ("CELL_BLOCK", 40)):
+        monkeypatch.setattr(K, name, value)
+    rng = np.random.default_rng(5)
+    pts = [(i, (rng.random(4) * (0.1 if i % 3 else 1)).round(3).tolist()) for i in range(200)]
+    pts += [(1000 + i, [0.3, 0.3, 0.3, 0.3 + (i % 2) * 1e-3]) for i in range(40)]
+    df = spark.createDataFrame(pts, "id long, vec array<double>")
+    got = sorted((r["query"], r["point"]) for r in K.knn_join(df, df, 4, exclude_self=True, n_pivots=3).collect())
+    assert got == brute(pts, pts, 4, True)
+    both = df.withColumn("g", F.explode(F.array(F.lit(1), F.lit(2))))
+    half = both.where("g = 1 OR id % 2 = 0")
+    got = sorted((r["g"], r["query"], r["point"]) for r in K.knn_join(both, half, 2, on=["g"]).collect())
+    want = [(1, q, p) for q, p in brute(pts, pts, 2, False)]
+    want += [(2, q, p) for q, p in brute(pts, [p for p in pts if p[0] % 2 == 0], 2, False)]
+    assert got == sorted(want)
+
+
+def test_knn_rows_that_travel(spark, monkeypatch):
+    """Ten times the points: they travel once for each block of visits to their band, never to all blocks."""
+    import linkscore.operators.knn as K
+
+    monkeypatch.setattr(K, "QUERY_BLOCK", 2_000)
+    rng = np.random.default_rng(6)
+    copies = {}
+    for n in (3_000, 30_000):
+        df = spark.createDataFrame([(i, rng.random(2).tolist()) for i in range(n)], "id long, vec array<double>").repartition(4)
+        routes = K.Routes(df.withColumnRenamed("id", "rep"), df, 3)
+        visits, points = routes.visits.count(), routes.points.count()
+        assert points <= n + visits * 2 * K.ROWS_PER_BAND / K.QUERY_BLOCK
+        copies[n] = points / n, visits / n
+        assert points <= visits
+    assert copies[30_000][0] < 10  # not the fifteen blocks that the queries make
+    assert copies[30_000][1] < 30  # visits a query, of 30,000 / 1,000 bands and more
+
+
+def test_knn_without_points(spark):
+    none = spark.createDataFrame([], "id long, vec array<double>")
+    some = spark.createDataFrame([(1, [0.0, 1.0])], "id long, vec array<double>")
+    assert knn_join(some, none, 3).count() == 0 and knn_join(none, some, 3).count() == 0
+    assert knn_join(some, none, 3).columns == knn_join(some, some, 3).columns
+
+
 def test_blocked_edges_send_everything(spark):
     star = spark.range(1, 200).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
     und = G.both_ways(star)
