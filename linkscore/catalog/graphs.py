@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkscore.catalog.aggregates import rounded
-from linkscore.catalog.association import EVERY, WEEK
+from linkscore.catalog.association import WEEK
 from linkscore.catalog.registry import query, sql
 from linkscore.operators import association as A
 from linkscore.operators import graph as G
@@ -14,11 +14,6 @@ from linkscore.operators import louvain as L
 from linkscore.runtime import cut, scratch_path
 
 # --- walks ---------------------------------------------------------------
-START = """SELECT concat(entity_type, ':', entity_value) AS seed, [concat(entity_type, ':', entity_value), CAST(app_id AS STRING)] AS path,
-  [app_id] AS apps, app_id AS app, concat(entity_type, ':', entity_value) AS entity FROM kept
-  WHERE entity_type IN (9, 10) AND app_time BETWEEN TIMESTAMP '{0}' AND TIMESTAMP '{1}'""".format(*WEEK)
-
-
 def _named(edges):
     return edges.select(F.concat_ws(":", "entity_type", "entity_value").alias("entity"), F.col("app_id").alias("app"), "app_time", "entity_type")
 
@@ -28,13 +23,14 @@ def _named(edges):
     sql(
         ["app_edges"],
         {
-            **EVERY,
-            "e": "SELECT concat(entity_type, ':', entity_value) AS entity, app_id AS app FROM kept",
-            "p1": START,
-            "p2": "SELECT seed, list_append(path, e.entity) AS path, apps, p1.app, e.entity FROM p1 JOIN e ON e.app = p1.app WHERE e.entity <> p1.entity",
-            "p3": "SELECT seed, list_append(path, CAST(e.app AS STRING)) AS path, list_append(apps, e.app) AS apps FROM p2 JOIN e ON e.entity = p2.entity WHERE NOT list_contains(apps, e.app)",
+            "e": "SELECT concat(CAST(entity_type AS STRING), ':', entity_value) AS entity, app_id AS app, entity_type, app_time FROM app_edges",
+            "p1": "SELECT entity, app FROM e WHERE entity_type IN (9, 10) AND app_time BETWEEN TIMESTAMP '{0}' AND TIMESTAMP '{1}'".format(*WEEK),
+            "p2": "SELECT p1.entity AS seed, p1.app, e.entity FROM p1 JOIN e ON e.app = p1.app WHERE e.entity <> p1.entity",
         },
-        "SELECT seed, array_to_string(path, '>') AS path, len(apps) AS apps FROM p3",
+        "SELECT seed, concat(seed, '>', CAST(p2.app AS STRING), '>', p2.entity, '>', CAST(e.app AS STRING)) AS path, CAST(2 AS BIGINT) AS apps "
+        "FROM p2 JOIN e ON e.entity = p2.entity WHERE e.app <> p2.app",
+        once=("e", "p1", "p2"),
+        recursive=False,
     ),
 )
 def _(t):
@@ -304,6 +300,31 @@ def _(t):
     return L.louvain(call_graph(t))[0]
 
 
+@query(
+    "g20_louvain_quality",
+    sql(
+        ["calls"],
+        {"ids": "SELECT src AS id FROM calls UNION SELECT dst FROM calls"},
+        "SELECT count(*) AS vertices, (SELECT CAST(sum(weight) AS DOUBLE) FROM calls) AS weight, true AS each_once, true AS never_falls, true AS is_modularity, true AS better_than_alone FROM ids",
+    ),
+)
+def _(t):
+    """What holds of every run: each vertex in one community, q never falling, and the last q that of the written assignment."""
+    edges = call_graph(t)
+    member, qualities = L.louvain(edges)
+    member = cut(member)
+    labels = member.select("id", F.col("community").alias("label"))
+    q = G.modularity(edges, labels, "weight").first()[0]
+    alone = G.modularity(edges, member.select("id", F.col("id").alias("label")), "weight").first()[0]
+    rises = all(b >= a - 1e-12 for a, b in zip(qualities, qualities[1:]))
+    counts = member.agg(F.count(F.lit(1)).alias("vertices"), (F.countDistinct("id") == F.count(F.lit(1))).alias("each_once"))
+    weight = edges.agg(F.sum("weight").alias("weight")).first()[0]
+    return counts.select(
+        "vertices", F.lit(weight).alias("weight"), "each_once", F.lit(rises).alias("never_falls"),
+        F.lit(abs(q - qualities[-1]) < 1e-9).alias("is_modularity"), F.lit(q > alone).alias("better_than_alone"),
+    )
+
+
 @query("g21_louvain_levels")
 def _(t):
     """What a run keeps of each level: vertices, edges between them and quality."""

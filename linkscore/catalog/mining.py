@@ -71,7 +71,8 @@ def _(t):
 
 @query(
     "t05_without_top_words",
-    sql([], WORDS, "SELECT word, total FROM vocab WHERE word NOT IN (SELECT word FROM vocab ORDER BY total DESC, word LIMIT 30)"),
+    sql([], {"occ": WORDS["occ"], "vocab": WORDS["vocab"], "rk": "SELECT word, total, row_number() OVER (ORDER BY total DESC, word) AS nth FROM vocab"},
+        "SELECT word, total FROM rk WHERE nth > 30", once=("occ", "vocab", "rk"), recursive=False),
 )
 def _(t):
     occ = T.words(t("documents"), "doc_id", "text")

@@ -127,6 +127,18 @@ def _(t):
     return I.dummies(t("customer").select("c_custkey", "c_mktsegment"), ["c_mktsegment"], drop={"c_mktsegment": "BUILDING"})
 
 
+@query(
+    "i13_dummy_vectors",
+    """WITH l AS (SELECT DISTINCT 0 AS nth, brand AS value FROM (SELECT p_brand AS brand FROM part) UNION SELECT DISTINCT 1, p_type FROM part WHERE p_type <> 'LARGE'),
+    c AS (SELECT nth, value, row_number() OVER (ORDER BY nth, value) - 1 AS code FROM l)
+    SELECT p_partkey, CAST((SELECT count(*) FROM c) AS INT) AS size, concat_ws(',', CAST(a.code AS STRING), CAST(b.code AS STRING)) AS indices
+    FROM part LEFT JOIN c a ON a.nth = 0 AND a.value = p_brand LEFT JOIN c b ON b.nth = 1 AND b.value = p_type""",
+)
+def _(t):
+    out, _codes = I.dummy_vectors(t("part").select("p_partkey", "p_brand", "p_type"), ["p_brand", "p_type"], drop={"p_type": "LARGE"})
+    return out.select("p_partkey", "dummies.size", F.array_join(F.transform("dummies.indices", lambda i: i.cast("string")), ",").alias("indices"))
+
+
 @query(
     "i14_min_max",
     "SELECT o_orderkey, round((o_totalprice - (SELECT min(o_totalprice) FROM orders)) / (SELECT max(o_totalprice) - min(o_totalprice) FROM orders), 8) AS o_totalprice FROM orders",

@@ -37,8 +37,8 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
-def sql(names: Sequence[str], steps: Mapping[str, str], final: str, once: Sequence[str] = ()) -> str:
+def sql(names: Sequence[str], steps: Mapping[str, str], final: str, once: Sequence[str] = (), recursive: bool = True) -> str:
     """Checking SQL: derived tables, named steps, final select; ``once`` names steps that are not to be merged into others."""
-    parts = [f"{n} AS ({ctes(n)})" for n in names]
+    parts = [f"{n} AS {'MATERIALIZED ' * (n in once)}({ctes(n)})" for n in names]
     parts += [f"{n} AS {'MATERIALIZED ' * (n in once)}({q})" for n, q in steps.items()]
-    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + final
+    return ("WITH " + "RECURSIVE " * recursive + ",\n".join(parts) + "\n" if parts else "") + final

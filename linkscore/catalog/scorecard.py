@@ -74,6 +74,35 @@ def _(t):
     return B.apply_bins(t("credit"), "price", bins).select("id", "price_BIN")
 
 
+@query(
+    "w06_many_bins",
+    sql(["credit"], {"g": "SELECT bin, lower, upper FROM (" + grid("price", m=100_000) + ")"},
+        "SELECT id, CAST(CASE WHEN price <= upper THEN bin ELSE 0 END AS INT) AS \"price_BIN\" FROM credit ASOF JOIN g ON price >= lower"),
+)
+def _(t):
+    """A hundred thousand bins."""
+    return B.apply_bins(t("credit"), "price", B.equal_width_bins(t("credit"), "price", 0.00001)).select("id", "price_BIN")
+
+
+@query(
+    "w01_require_binary",
+    sql(["credit"], {}, " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {e}) = 2 AND min({e}) = 0 AND max({e}) = 1 AND count({e}) = count(*) AS ok FROM credit"
+        for c, e in (("y", "y"), ("all_bad", "y * 0 + 1"), ("code", "CAST(nation AS INT)"), ("gap", "CASE WHEN id % 3 = 0 THEN NULL ELSE y END"))
+    )),
+)
+def _(t):
+    df = t("credit").select("y", (F.col("y") * 0 + 1).alias("all_bad"), F.col("nation").cast("int").alias("code"), F.when(F.col("id") % 3 != 0, F.col("y")).alias("gap"))
+    found = []
+    for c in df.columns:
+        try:
+            W.require_binary(df, c)
+            found.append((c, True))
+        except ValueError:
+            found.append((c, False))
+    return t.spark.createDataFrame(found, "column string, ok boolean")
+
+
 def binned(col: str) -> str:
     return f"""SELECT '{col}' AS var, least(CAST(floor(({col} - lo) / ((hi - lo) / 100)) AS INT), 99) + 1 AS bin, y
       FROM credit, (SELECT min({col}) AS lo, max({col}) AS hi FROM credit)"""

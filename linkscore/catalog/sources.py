@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from linkscore.catalog.association import INC, WEEK, _increment
 from linkscore.catalog.registry import query, sql
 from linkscore.runtime import cut, scratch_path
+from linkscore.sources import external as X
 from linkscore.sources import files as S
 from linkscore.sources import graphstore as G
 from linkscore.sources import jdbc as J
@@ -130,6 +131,35 @@ def _(t):
     return read.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
 
 
+@query(
+    "s14_external_windows",
+    "WITH n AS (SELECT count(*) AS n FROM events), b AS (SELECT (n + 6) // 7 AS size FROM n), "
+    "r AS (SELECT event_id, value, CAST((row_number() OVER (ORDER BY event_id) - 1) // (SELECT size FROM b) AS INT) AS w FROM events) "
+    "SELECT w AS \"window\", count(*) AS n, min(event_id) AS first, max(event_id) AS last, round(sum(value), 4) AS value, CAST(1 AS BIGINT) AS tasks FROM r GROUP BY w",
+)
+def _(t):
+    """Each window is fetched by a task of its own, which opens only what the window meets."""
+    events = t("events").select("event_id", "value")
+    windows = S.plan_windows(partitions=7, rows=events.count())
+    read = X.read_external_windows(t.spark, X.parquet_windows(events, events.columns), events.schema, windows)
+    return read.withColumn("task", F.spark_partition_id()).groupBy("window").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"),
+        F.round(F.sum("value"), 4).alias("value"), F.countDistinct("task").alias("tasks"),
+    )
+
+
+@query(
+    "s03_external_ranges",
+    "WITH r AS (SELECT CASE WHEN o_orderkey < 2000 + 1000 THEN 0 ELSE least(9, (o_orderkey - 2000) // 1000) END AS part FROM orders) "
+    "SELECT CAST(part AS INT) AS part, count(*) AS n, CAST(1 AS BIGINT) AS tasks FROM r GROUP BY part",
+)
+def _(t):
+    orders = t("orders").select("o_orderkey", "o_totalprice")
+    fetch = X.parquet_ranges(orders, "o_orderkey", orders.columns)
+    read = X.read_external_ranges(t.spark, fetch, orders.schema, 2000, 12000, 10)
+    return read.withColumn("task", F.spark_partition_id()).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("task").alias("tasks"))
+
+
 GRAPH = {
     "nodes": "SELECT c_custkey AS id, 'Customer' AS label, c_acctbal AS value FROM customer UNION ALL SELECT -1 - s_suppkey, 'Supplier', s_acctbal FROM supplier",
     "rels": "SELECT src, dst, CASE WHEN weight > 1 THEN 'OFTEN' ELSE 'ONCE' END AS type, CASE WHEN weight > 2 THEN CAST(weight AS DOUBLE) END AS value FROM calls",

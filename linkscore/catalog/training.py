@@ -10,6 +10,7 @@ from linkscore.catalog.aggregates import rounded
 from linkscore.catalog.association import BASE, STEPS, WIDE_STEPS, _one
 from linkscore.catalog.association import sql as hop_sql
 from linkscore.catalog.registry import query, sql
+from linkscore.catalog.solving import newton, products, solve, upper_normal
 from linkscore.operators import evaluate as E
 from linkscore.operators import features as X
 from linkscore.operators import linear as L
@@ -65,7 +66,7 @@ def _(t):
     return T.score_batch(df, T.train(df, "nb", XS, "y"), "id", "day", XS)
 
 
-TREES, DEPTHS = range(5, 151), range(4, 21)
+TREES, DEPTHS = range(5, 151), range(4, 21)  # fixed values: the grid of the training job
 
 
 @query("m07_sweep_gbt")
@@ -109,10 +110,43 @@ def _(t):
     return out.withColumn("coef", F.when(F.col("column") == "const", F.round("coef", 3)).otherwise(F.round("coef", 4)))
 
 
-@query("m13_ridge_path")
+RIDGE = ["l_quantity", "l_discount", "l_tax"]
+
+
+def ridge_sql() -> str:
+    """Sums by tenth, the error of every tenth for every lambda, and the best lambda's fit on all rows."""
+    three = range(3)
+    z = [f"({c} - m{i}) / v{i}" for i, c in enumerate(RIDGE)]
+    t = "(l_extendedprice - my)"
+    sums = ", ".join(f"sum(({z[i]}) * ({z[j]})) AS g{i}{j}" for i in three for j in three)
+    sums += ", " + ", ".join(f"sum(({z[i]}) * {t}) AS t{i}" for i in three) + f", sum({t} * {t}) AS yy"
+    names = [f"g{i}{j}" for i in three for j in three] + [f"t{i}" for i in three]
+    left = ", ".join(f"w.g{i}{j} - f.g{i}{j} + {'lam' if i == j else '0'} AS a{i}_{j}" for i in three for j in three)
+    right = ", ".join(f"w.t{i} - f.t{i} AS b{i}_g" for i in three)
+    steps = {
+        "st": "SELECT " + ", ".join(f"avg({c}) AS m{i}, var_pop({c}) AS v{i}" for i, c in enumerate(RIDGE)) + ", avg(l_extendedprice) AS my FROM lineitem",
+        "rw": "SELECT *, CAST('0x' || substr(md5(concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '|11')), 1, 8) AS BIGINT) % 10 AS fold FROM lineitem, st",
+        "f": f"SELECT fold, {sums} FROM rw GROUP BY fold",
+        "w": "SELECT " + ", ".join(f"sum({n}) AS {n}" for n in names) + " FROM f",
+        "lm": "SELECT i, exp(i - 10.0) AS lam FROM range(0, 30) r(i)",
+        "sy": f"SELECT i, fold, yy, {', '.join(f'f.{n} AS {n}' for n in names)}, {left}, {right} FROM f, w, lm",
+        **solve("sy", 3, ["g"], ["i", "fold", "yy", *names]),
+        "er": "SELECT i, avg(yy - 2 * (" + " + ".join(f"x{i}_g * t{i}" for i in three) + ") + "
+        + " + ".join(f"x{i}_g * x{j}_g * g{i}{j}" for i in three for j in three) + ") AS err FROM sy_x GROUP BY i",
+        "bt": "SELECT lam FROM er JOIN lm USING (i) ORDER BY err, i LIMIT 1",
+        "fin": "SELECT " + ", ".join(f"g{i}{j} + {'lam' if i == j else '0'} AS a{i}_{j}" for i in three for j in three) + ", "
+        + ", ".join(f"t{i} AS b{i}_g" for i in three) + " FROM w, bt",
+        **solve("fin", 3, ["g"]),
+    }
+    rows = [f"SELECT '{c}' AS \"column\", round(x{i}_g / v{i}, 2) AS coef FROM fin_x, st" for i, c in enumerate(RIDGE)]
+    rows.append("SELECT 'const', round(my - " + " - ".join(f"x{i}_g / v{i} * m{i}" for i in three) + ", 2) FROM fin_x, st")
+    return sql([], steps, " UNION ALL ".join(rows), once=("rw", "f", "w", "sy", "er"))
+
+
+@query("m13_ridge_path", ridge_sql())
 def _(t):
     lines = t("lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    return L.ridge_path(lines, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], "key")[0]
+    return rounded(L.ridge_path(lines, "l_extendedprice", RIDGE, "key")[0], 2, "coef")
 
 
 POINTS = [5.0, 15.0, 25.0, 35.0, 45.0]
@@ -141,11 +175,30 @@ SIDED = {
 }
 
 
-@query("m15_adaboost_stumps")
+def stumps_sql(rounds: int) -> str:
+    """Errors of all thresholds, the best stump and new weights, round by round."""
+    ends = " UNION ALL ".join(f"SELECT {i} AS c, min({x}) AS lo, max({x}) AS hi FROM d" for i, x in enumerate("abc"))
+    steps = {
+        **SIDED,
+        "en": ends,
+        "ct": "SELECT c, c * 12 + j + 1 AS i, lo + j * (hi - lo) / 10 AS v FROM en, range(-1, 11) r(j)",
+        "d0": "SELECT id, side, a, b, c, 1.0::DOUBLE AS w, 0.0::DOUBLE AS score FROM d",
+    }
+    for r in range(1, rounds + 1):
+        said = "CASE WHEN CASE k.c WHEN 0 THEN a WHEN 1 THEN b ELSE d.c END <= v THEN -1 ELSE 1 END"
+        steps[f"e{r}"] = f"SELECT k.i, k.c, v, sum(CASE WHEN {said} <> side THEN w ELSE 0 END) / sum(w) AS err FROM d{r - 1} d, ct k GROUP BY k.i, k.c, v"
+        steps[f"k{r}"] = f"""SELECT c, v, sgn, 0.5 * ln((1 - err) / greatest(err, 1e-16)) AS alpha FROM (
+          SELECT i, c, v, err, 1 AS sgn FROM e{r} UNION ALL SELECT i, c, v, 1 - err, -1 FROM e{r}) ORDER BY err, i, sgn DESC LIMIT 1"""
+        sign = said + " * sgn"
+        steps[f"d{r}"] = f"SELECT id, side, a, b, d.c, w * exp(-alpha * side * {sign}) AS w, score + alpha * {sign} AS score FROM d{r - 1} d, k{r} k"
+    return sql(["credit"], steps, f"SELECT id, round(score, 6) + 0.0 AS score FROM d{rounds}", once=[s for s in steps if s[0] in "edk" and s != "en"])
+
+
+@query("m15_adaboost_stumps", stumps_sql(4))
 def _(t):
     df = cut(_sided(t))
     stumps = L.adaboost_stumps(df, "side", ["a", "b", "c"], 4)
-    return df.select("id", F.round(L.stump_score(stumps), 9).alias("score"))
+    return df.select("id", (F.round(L.stump_score(stumps), 6) + 0.0).alias("score"))
 
 
 def pegasos_sql(rounds: int, lam: float) -> dict:
@@ -165,10 +218,19 @@ def _(t):
     return _weights(t, L.pegasos(cut(_sided(t)), "side", ["a", "b", "c"], 0.5, 3), 6)
 
 
-@query("m17_proximal_svm")
+def proximal_sql(mu: float) -> str:
+    xs = ["a", "b", "c", "-1.0"]
+    sums = {**SIDED, "g": f"SELECT {products(xs)}, " + ", ".join(f"sum(({x}) * side) AS b{i}_g" for i, x in enumerate(xs)) + " FROM d"}
+    ridge = ", ".join(f"a{i}_{j} + {1 / mu if i == j else 0} AS a{i}_{j}" for i in range(4) for j in range(4))
+    sums["m"] = f"SELECT {ridge}, {', '.join(f'b{i}_g' for i in range(4))} FROM g"
+    rows = " UNION ALL ".join(f"SELECT CAST({i} AS INT) AS position, round(x{i}_g, 7) AS value FROM m_x" for i in range(4))
+    return sql(["credit"], {**sums, **solve("m", 4, ["g"])}, rows, once=("g",))
+
+
+@query("m17_proximal_svm", proximal_sql(0.1))
 def _(t):
     u = L.proximal_svm(_sided(t), "side", ["a", "b", "c"], 0.1)
-    return t.spark.createDataFrame([(i, float(v)) for i, v in enumerate(u)], "position int, value double")
+    return t.spark.createDataFrame([(i, round(float(v), 7)) for i, v in enumerate(u)], "position int, value double")
 
 
 def ascent_sql(rounds: int, alpha: float) -> dict:
@@ -202,20 +264,56 @@ def _logit_rows(t):
     return credit(t).select("id", "y", (F.col("price") / 1000).alias("price_k"), (F.col("balance") / 1000).alias("balance_k"), "rank")
 
 
-@query("w15_logit")
-def _(t):
-    return T.logit(_logit_rows(t), "y", WX)
+LOGIT = {
+    "d": "SELECT id, y, price / 1000 AS price_k, balance / 1000 AS balance_k, CAST(substr(priority, 1, 1) AS INT) AS rank FROM credit",
+    **newton("d", WX, "y", 9),
+}
+LOGIT_ONCE = ["d", "fitted", "info", *[f"{n}{r}" for n in "ps" for r in range(1, 10)], *[f"beta{r}" for r in range(10)]]
+
+
+def logit_sql() -> str:
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", c{i} AS coef, sqrt(x{i}_{i}) AS se FROM beta9, info_x" for i, c in enumerate(["const", *WX]))
+    final = f"""SELECT "column", round(coef, 6) AS coef, round(se, 7) AS se, round(coef / se, 4) AS z, round((coef / se) ** 2, 3) AS wald,
+      round({upper_normal('coef / se')}, 6) + 0.0 AS p, round(coef - 1.959963984540054 * se, 6) AS low, round(coef + 1.959963984540054 * se, 6) AS high FROM q"""
+    return sql(["credit"], {**LOGIT, "q": rows}, final, once=LOGIT_ONCE)
 
 
-@query("w16_fit_eval")
+@query("w15_logit", logit_sql())
 def _(t):
-    return T.report(t.spark, T.Logit(_logit_rows(t), "y", WX).fit_eval())
+    out = T.logit(_logit_rows(t), "y", WX)
+    for digits, columns in ((6, ("coef", "p", "low", "high")), (7, ("se",)), (4, ("z",)), (3, ("wald",))):
+        out = rounded(out, digits, *columns)
+    return out.withColumn("p", F.col("p") + 0.0)
+
+
+def fit_eval_sql() -> str:
+    k = len(WX)
+    figures = {
+        "aic_null": "nul + 2", "aic": f"dev + 2 * {k + 1}", "bic_null": "nul + ln(n)", "bic": f"dev + {k + 1} * ln(n)",
+        "m2logl_null": "nul", "m2logl": "dev", "mcfadden": "1 - dev / nul", "lr_chi2": "nul - dev", "lr_df": f"{k}.0",
+        "lr_p": upper_normal("sqrt(nul - dev)") + " + sqrt(2 * (nul - dev) / pi()) * exp(-(nul - dev) / 2)",
+    }
+    steps = {
+        **LOGIT,
+        "q": "SELECT count(*) AS n, -2 * sum(CASE WHEN y = 1 THEN ln(p) ELSE ln(1 - p) END) AS dev, -2 * (sum(y) * ln(avg(y)) + sum(1 - y) * ln(1 - avg(y))) AS nul FROM fitted",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS figure, round({e}, 5) + 0.0 AS value FROM q" for name, e in figures.items())
+    return sql(["credit"], steps, rows, once=[*LOGIT_ONCE, "q"])
+
+
+@query("w16_fit_eval", fit_eval_sql())
+def _(t):
+    return rounded(T.report(t.spark, T.Logit(_logit_rows(t), "y", WX).fit_eval()), 5, "value").withColumn("value", F.col("value") + 0.0)
 
 
-@query("w17_residuals")
+@query(
+    "w17_residuals",
+    sql(["credit"], LOGIT, """SELECT id, round(p, 5) AS p, round(y - p, 5) AS response, round((y - p) / sqrt(p * (1 - p)), 5) AS pearson,
+      round(CASE WHEN y = 1 THEN sqrt(-2 * ln(p)) ELSE -sqrt(-2 * ln(1 - p)) END, 5) AS deviance FROM fitted""", once=LOGIT_ONCE),
+)
 def _(t):
     df = _logit_rows(t)
-    return T.Logit(df, "y", WX).residuals(df).select("id", "p", "response", "pearson", "deviance")
+    return rounded(T.Logit(df, "y", WX).residuals(df).select("id", "p", "response", "pearson", "deviance"), 5, "p", "response", "pearson", "deviance")
 
 
 @query("w18_stepwise")

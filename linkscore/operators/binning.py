@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,13 +13,19 @@ from pyspark.sql import functions as F
 from linkscore.ordered import running_sums
 from linkscore.runtime import cut
 
-MAX_BINS = 1_000
+TREE_BINS = 500  # bins that become an expression
+BUCKETS = 256  # of borders, where bins are more
 METHODS = {1: "gini", 2: "entropy", 3: "chi2", 4: "iv"}
 
 
+def _bins_of(acc: float) -> int:
+    """Whole bins of width ``acc`` in one; 1 / 0.00001 is a little less than 100,000."""
+    return int(1.0 / acc + 1e-9)
+
+
 def equal_width_bins(df: DataFrame, col: str, acc: float = 0.01, adjust: float = 0.0001) -> DataFrame:
     """(bin, lower, upper) of ``1/acc`` equal bins, both ends widened by ``adjust``."""
-    m = int(1.0 / acc)
+    m = _bins_of(acc)
     ends = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
     step = (F.col("hi") - F.col("lo")) / m
     return ends.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(m))).alias("bin")).select(
@@ -28,21 +35,87 @@ def equal_width_bins(df: DataFrame, col: str, acc: float = 0.01, adjust: float =
     )
 
 
+def _steps(bins: Sequence[tuple[int, float, float]]) -> tuple[list[float], list[int], list[int]]:
+    """Borders in order, the largest bin at each border and the largest in the open gap after it (0: none)."""
+    borders = sorted({v for _, lower, upper in bins if lower <= upper for v in (lower, upper)})
+    opening = sorted((lower, -b, upper) for b, lower, upper in bins if lower <= upper)
+    at, after = [], []
+    reach: list[tuple[int, float]] = []  # bins that have begun, the largest first
+    i = 0
+    for v in borders:
+        while i < len(opening) and opening[i][0] <= v:
+            heapq.heappush(reach, opening[i][1:])
+            i += 1
+        while reach and reach[0][1] < v:
+            heapq.heappop(reach)
+        at.append(-reach[0][0] if reach else 0)
+        while reach and reach[0][1] <= v:  # ends here; what it hid may go on
+            heapq.heappop(reach)
+        after.append(-reach[0][0] if reach else 0)
+    return borders, at, after
+
+
+def _searched(c: Column, borders: Sequence[float], at: Sequence[int], after: Sequence[int]) -> Column:
+    """Binary search written as an expression: as many comparisons a row as the borders have doublings."""
+    if not borders:
+        return F.lit(0)
+    if len(borders) == 1:
+        return F.when(c == borders[0], F.lit(at[0])).when(c > borders[0], F.lit(after[0])).otherwise(F.lit(0))
+    half = len(borders) // 2
+    right = _searched(c, borders[half:], at[half:], after[half:])
+    left = _searched(c, borders[:half], at[:half], after[:half])
+    return F.when(c >= borders[half], right).otherwise(left)
+
+
+def _bucket(c: Column, borders: Sequence[float]) -> Column:
+    """Number of borders at or below the value."""
+    if not borders:
+        return F.lit(0)
+    half = len(borders) // 2
+    return F.when(c >= borders[half], _bucket(c, borders[half + 1 :]) + (half + 1)).otherwise(_bucket(c, borders[:half]))
+
+
+def _step_table(pdf: pd.DataFrame) -> pd.DataFrame:
+    borders, at, after = _steps(list(pdf[["bin", "lower", "upper"]].itertuples(index=False, name=None)))
+    return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "borders": [borders], "at": [at], "after": [after]})
+
+
 def apply_bins(df: DataFrame, col: str, bins: DataFrame, out: str | None = None) -> DataFrame:
     """Bin of each value, closed on both sides: a shared border belongs to the later bin.
 
-    Values outside every bin get 0. The bin map is read once (its size is
-    checked) and becomes a plain expression, so no range join is needed.
+    Values outside every bin, and missing ones, get 0; of overlapping bins the one
+    with the largest number counts. Few bins become a binary search written as an
+    expression. Many are cut into buckets of neighbouring borders: a row meets the
+    sorted borders of its bucket alone, one array, and searches there.
     """
-    rows = bins.select("bin", "lower", "upper").limit(MAX_BINS + 1).collect()
-    if len(rows) > MAX_BINS:
-        raise ValueError(f"more than {MAX_BINS} bins")
-    c = F.col(col)
-    expr: Column | None = None
-    for r in sorted(rows, key=lambda r: -r["bin"]):
-        hit = (c >= r["lower"]) & (c <= r["upper"])
-        expr = F.when(hit, F.lit(r["bin"])) if expr is None else expr.when(hit, F.lit(r["bin"]))
-    return df.withColumn(out or f"{col}_BIN", expr.otherwise(F.lit(0)).cast("int"))
+    out = out or f"{col}_BIN"
+    clean = bins.select(F.col("bin").cast("int").alias("bin"), F.col("lower").cast("double").alias("lower"), F.col("upper").cast("double").alias("upper")).dropna()
+    few = clean.limit(TREE_BINS + 1).collect()
+    value = F.col(col).cast("double")
+    if len(few) <= TREE_BINS:
+        return df.withColumn(out, F.coalesce(_searched(value, *_steps([tuple(r) for r in few])), F.lit(0)).cast("int"))
+    borders = sorted(set(clean.approxQuantile("lower", [i / BUCKETS for i in range(1, BUCKETS)], 0.2 / BUCKETS)))
+    # a bin goes to all buckets that it reaches
+    reached = F.explode(F.sequence(_bucket(F.col("lower"), borders), _bucket(F.col("upper"), borders)))
+    steps = clean.where("lower <= upper").select("*", reached.alias("bucket")).groupBy("bucket").applyInPandas(
+        _step_table, "bucket int, borders array<double>, at array<int>, after array<int>"
+    )
+    steps = steps.withColumnsRenamed({"bucket": "_bucket", "borders": "_borders", "at": "_at", "after": "_after"})
+    laid = df.withColumn("_bucket", _bucket(value, borders))
+    halvings = F.sequence(F.lit(1), F.ceil(F.log2(F.size("_borders") + 1)).cast("int"))
+    middle = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+
+    def halved(s: Column, _: Column) -> Column:
+        below = F.get("_borders", middle(s)) <= value  # the last border at or below lies in [lo, hi)
+        fits = s["hi"] - s["lo"] > 1
+        return F.struct(F.when(fits & below, middle(s)).otherwise(s["lo"]).alias("lo"), F.when(fits & ~below, middle(s)).otherwise(s["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size("_borders").alias("hi"))
+    place = F.aggregate(halvings, start, halved, lambda s: s["lo"])
+    first = F.get("_borders", F.lit(0))
+    joined = laid.join(steps, "_bucket", "left").withColumn("_place", F.when(value.isNotNull() & F.col("_borders").isNotNull(), place))
+    found = F.when(F.get("_borders", F.col("_place")) == value, F.get("_at", F.col("_place"))).when(value > first, F.get("_after", F.col("_place")))
+    return joined.withColumn(out, F.coalesce(found, F.lit(0)).cast("int")).select(*[c for c in df.columns if c != out], out)
 
 
 def bin_counts(df: DataFrame, cols: Sequence[str], y: str, acc: float = 0.01, adjust: float = 0.0001) -> DataFrame:
@@ -52,7 +125,7 @@ def bin_counts(df: DataFrame, cols: Sequence[str], y: str, acc: float = 0.01, ad
     unpivoted and the bin number is arithmetic, so the shuffle carries at most
     ``1/acc`` rows per column and task.
     """
-    m = int(1.0 / acc)
+    m = _bins_of(acc)
     ends = df.agg(*[e.cast("double").alias(f"{c}__{n}") for c in cols for n, e in (("lo", F.min(c)), ("hi", F.max(c)))]).first()
     cols = [c for c in cols if ends[f"{c}__lo"] is not None]  # a column without values has no bins
     spark = df.sparkSession

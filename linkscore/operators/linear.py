@@ -155,18 +155,18 @@ def adaboost_stumps(df: DataFrame, y: str, xs: Sequence[str], rounds: int, steps
     found: list[dict] = []
     weight = F.lit(1.0)
     for _ in range(rounds):
-        # "lt": at or below the threshold means -1
+        # "below": at or below the threshold means -1
         said = [F.when(_value(c) <= v, -1.0).otherwise(1.0) for c, v in cuts]
         r = df.agg(F.sum(weight).alias("all"), *[F.sum(F.when(s != t, weight).otherwise(0.0)).alias(f"e{i}") for i, s in enumerate(said)]).first()
         best = None
         for i, (c, v) in enumerate(cuts):
-            lt = r[f"e{i}"] / r["all"]
-            for side, err in (("lt", lt), ("gt", 1.0 - lt)):
+            wrong = r[f"e{i}"] / r["all"]
+            for side, err in (("below", wrong), ("above", 1.0 - wrong)):
                 if best is None or err < best["error"]:
                     best = {"column": c, "value": v, "side": side, "error": err, "at": i}
         alpha = 0.5 * math.log((1.0 - best["error"]) / max(best["error"], 1e-16))
         best["alpha"] = alpha
-        sign = said[best["at"]] * (1.0 if best["side"] == "lt" else -1.0)
+        sign = said[best["at"]] * (1.0 if best["side"] == "below" else -1.0)
         weight = weight * F.exp(-F.lit(alpha) * t * sign)
         found.append(best)
         if best["error"] < 1e-12:
@@ -178,7 +178,7 @@ def stump_score(stumps: Sequence[dict]) -> Column:
     total = F.lit(0.0)
     for s in stumps:
         low = F.when(_value(s["column"]) <= s["value"], -1.0).otherwise(1.0)
-        total = total + F.lit(s["alpha"] if s["side"] == "lt" else -s["alpha"]) * low
+        total = total + F.lit(s["alpha"] if s["side"] == "below" else -s["alpha"]) * low
     return total
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.ordered import number_rows, percentiles
+from linkscore.runtime import stored
 
 MAX_LEVELS = 10_000  # dummy columns or edge lists that may become expressions
 
@@ -48,13 +49,14 @@ def fill_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Missing values become the most frequent value, the smallest one on a tie."""
-    new = {}
-    for c in cols:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        best = counts.agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(c).alias("v")))).scalar()
-        new[c] = F.coalesce(F.col(c), best["v"])
-    return df.withColumns(new)
+    """Missing values become the most frequent value, the smallest one on a tie; all columns in one scan."""
+    one = lambda i, c: F.struct(*[F.when(F.lit(i == j), F.col(o)).alias(f"v{j}") for j, o in enumerate(cols)], F.lit(i).alias("nth"))
+    long = df.select(F.explode(F.array(*[one(i, c) for i, c in enumerate(cols)])).alias("e")).select("e.*")
+    values = [f"v{j}" for j in range(len(cols))]
+    counts = long.where(F.coalesce(*[F.col(v).cast("string") for v in values]).isNotNull()).groupBy("nth", *values).agg(F.count(F.lit(1)).alias("n"))
+    best = [F.min(F.when(F.col("nth") == j, F.struct((-F.col("n")).alias("n"), F.col(v).alias("v")))).alias(v) for j, v in enumerate(values)]
+    mode = counts.agg(F.struct(*best)).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), mode[v]["v"]) for c, v in zip(cols, values)})
 
 
 def fill_group_median(df: DataFrame, col: str, by: str) -> DataFrame:
@@ -129,10 +131,17 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 
 def string_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """0-based code by falling frequency, ties alphabetical, for several columns."""
-    for c in cols:
-        df = _encode(df, c, [F.col("_n").desc(), F.col("_v")], f"{c}_index")
-    return df
+    """0-based code by falling frequency, ties alphabetical, for several columns; their values are counted in one scan."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("nth"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)]))
+    counts = df.select(pairs.alias("p")).where("p.value IS NOT NULL").groupBy("p.nth", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    codes = number_rows(counts, [F.col("nth"), F.col("n").desc(), F.col("value")], "code")
+    first = codes.groupBy("nth").agg(F.min("code").alias("first"))  # a row per column
+    codes = stored(codes.join(first, "nth").select("nth", "value", (F.col("code") - F.col("first")).alias("code")), "codes")
+    out = df
+    for i, c in enumerate(cols):
+        own = codes.where(F.col("nth") == i).select(F.col("value").alias("_v"), F.col("code").alias(f"{c}_index"))
+        out = out.join(own, F.col(c).cast("string") == F.col("_v"), "left").drop("_v")
+    return out
 
 
 def one_hot(df: DataFrame, index: str, size: int, out: str = "onehot") -> DataFrame:
@@ -141,18 +150,48 @@ def one_hot(df: DataFrame, index: str, size: int, out: str = "onehot") -> DataFr
 
 
 def dummies(df: DataFrame, cols: Sequence[str], drop: Mapping[str, str] | None = None) -> DataFrame:
-    """0/1 column ``<col>_<value>`` per value; optionally without a base level."""
+    """0/1 column ``<col>_<value>`` per value; optionally without a base level.
+
+    For values that are too many to be columns, see :func:`dummy_vectors`.
+    """
     out = {}
     for c in cols:
         values = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
         if len(values) > MAX_LEVELS:
-            raise ValueError(f"column {c!r} has more than {MAX_LEVELS} values")
+            raise ValueError(f"column {c!r} has more than {MAX_LEVELS} values: use dummy_vectors")
         for v in sorted(values):
             if (drop or {}).get(c) != v:
                 out[f"{c}_{v}"] = F.coalesce((F.col(c) == v).cast("int"), F.lit(0))
     return df.select("*", *[e.alias(n) for n, e in out.items()]).drop(*cols)
 
 
+def dummy_codes(df: DataFrame, cols: Sequence[str], drop: Mapping[str, str] | None = None) -> DataFrame:
+    """(column, value, code): 0-based places of all values, column by column and by value; base levels have none."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("nth"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)]))
+    levels = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct()
+    for c, base in (drop or {}).items():
+        levels = levels.where((F.col("column") != c) | (F.col("value") != base))
+    return number_rows(levels, [F.col("nth"), F.col("value")], "code").select("column", "value", (F.col("code") - 1).alias("code"))
+
+
+def dummy_vectors(df: DataFrame, cols: Sequence[str], drop: Mapping[str, str] | None = None, out: str = "dummies") -> tuple[DataFrame, DataFrame]:
+    """Add ``out``, a sparse vector ``(size, indices, values)`` of 0/1, in place of ``cols``; and the code table.
+
+    Levels are rows of the code table and never columns, so there may be any number
+    of them. A missing value or a base level has no place. Each column is joined to
+    its codes, which the adaptive planner broadcasts or splits by size.
+    """
+    codes = stored(dummy_codes(df, cols, drop), "codes")
+    size = codes.count()
+    coded = df
+    for i, c in enumerate(cols):
+        own = codes.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").cast("int").alias(f"_code{i}"))
+        coded = coded.join(own, F.col(c).cast("string") == F.col("_value"), "left").drop("_value")
+    indices = F.array_compact(F.array(*[f"_code{i}" for i in range(len(cols))]))  # ascending, as columns come in order
+    vector = F.struct(F.lit(size).cast("int").alias("size"), indices.alias("indices"), F.transform(indices, lambda _: F.lit(1.0)).alias("values"))
+    return coded.withColumn(out, vector).select(*[c for c in df.columns if c not in cols], out), codes
+
+
 # --- scaling -------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkscore.runtime import stored
 from linkscore.skew import salted_join
 
 
@@ -59,7 +60,7 @@ def nb_predict(occurrences: DataFrame, model: DataFrame, priors: DataFrame, key:
     A frequent word's rows are spread over several tasks.
     """
     p = priors.select(F.struct("prior0", "prior1")).scalar()
-    sets = occurrences.select(key, "word").distinct()
+    sets = stored(occurrences.select(key, "word").distinct(), "sets")  # read for the hot words and for the join
     sums = salted_join(sets, model, ["word"], F.col(key)).groupBy(key).agg(F.sum("lp0").alias("s0"), F.sum("lp1").alias("s1"))
     scored = sums.select(key, (F.col("s0") + p["prior0"]).alias("s0"), (F.col("s1") + p["prior1"]).alias("s1"))
     return scored.withColumn("predicted", (F.col("s1") > F.col("s0")).cast("int"))

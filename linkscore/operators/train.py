@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
@@ -223,23 +224,82 @@ def logit(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(Logit(df, y, xs).params(), PARAMS)
 
 
+NEWTON_ROUNDS = 50
+
+
+def fit_side_by_side(df: DataFrame, y: str, models: Sequence[Sequence[str]]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Coefficients (constant first), information matrix and deviance of many logistic models of one table.
+
+    All models take their Newton steps together: a pass sums the gradient, the
+    information and the likelihood of each, one row per model and task, and as many
+    passes as the slowest model needs serve all. Rows must not hold missing values.
+    """
+    names = sorted({c for m in models for c in m})
+    places = [[0, *[names.index(c) + 1 for c in m]] for m in models]
+    data = df.select(F.col(y).cast("double").alias("_y"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(names)])
+
+    def sums(coefs: list[np.ndarray]):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = [np.zeros(len(at) * (len(at) + 1) + 1) for at in places]
+            for batch in batches:
+                t = batch["_y"].to_numpy()
+                x = np.column_stack([np.ones(batch.num_rows), *[c.to_numpy() for c in batch.columns[1:]]])
+                for own, at, coef in zip(total, places, coefs):
+                    z = x[:, at]
+                    eta = z @ coef
+                    p = 1 / (1 + np.exp(-np.clip(eta, -700, 700)))
+                    information = (z * (p * (1 - p))[:, None]).T @ z
+                    likelihood = (t * eta - np.logaddexp(0, eta)).sum()
+                    own += np.concatenate([z.T @ (t - p), information.ravel(), [likelihood]])
+            model = np.repeat(np.arange(len(total)), [len(v) for v in total])
+            at = np.concatenate([np.arange(len(v)) for v in total])
+            yield pa.RecordBatch.from_arrays([pa.array(model), pa.array(at), pa.array(np.concatenate(total))], names=["model", "i", "v"])
+
+        return data.mapInArrow(work, "model long, i long, v double").groupBy("model", "i").agg(F.sum("v").alias("v"))
+
+    coefs = [np.zeros(len(at)) for at in places]
+    before = [math.inf] * len(models)
+    for _ in range(NEWTON_ROUNDS):
+        found = sums(coefs).toArrow().sort_by([("model", "ascending"), ("i", "ascending")])
+        model, value = found["model"].to_numpy(), found["v"].to_numpy()
+        deviance, information = [], []
+        for m, at in enumerate(places):
+            own, k = value[model == m], len(at)
+            information.append(own[k : k + k * k].reshape(k, k))
+            deviance.append(-2 * float(own[-1]))
+            if abs(deviance[m] - before[m]) > 1e-10 * (abs(deviance[m]) + 0.1):
+                coefs[m] = coefs[m] + np.linalg.lstsq(information[m], own[:k], rcond=None)[0]
+        if all(abs(d - b) <= 1e-10 * (abs(d) + 0.1) for d, b in zip(deviance, before)):
+            break
+        before = deviance
+    return [*zip(coefs, information, deviance)]
+
+
 def stepwise(df: DataFrame, y: str, xs: Sequence[str], direction: str = "forward", sls: float = 0.05) -> list[str]:
-    """Forward by pseudo R², or backward dropping the largest p above ``sls``."""
+    """Forward by pseudo R², or backward dropping the largest p above ``sls``; of equal ones the last by name.
+
+    Forward, the models of all candidates are fitted side by side; backward, the
+    Wald tests of all columns come from the one information matrix of the step.
+    """
     data = df.select(y, *xs).dropna().persist()
     try:
         if direction == "backward":
             left = list(xs)
             while left:
-                name, p = max(((r[0], r[5]) for r in Logit(data, y, left).params()[1:]), key=lambda r: r[1])
+                coef, information, _ = fit_side_by_side(data, y, [left])[0]
+                se = np.sqrt(np.diag(np.linalg.pinv(information)))[1:]
+                p, name = max((_upper_normal(b / s) if s > 0 else 1.0, c) for b, s, c in zip(coef[1:], se, left))
                 if p <= sls:
                     break
                 left.remove(name)
             return left
         chosen: list[str] = []
         best = 0.0
+        null = fit_side_by_side(data, y, [[]])[0][2]
         while len(chosen) < len(xs):
-            tried = [(Logit(data, y, [*chosen, c]).pseudo_r2, c) for c in xs if c not in chosen]
-            score, name = max(tried)
+            open_ = [c for c in xs if c not in chosen]
+            fits = fit_side_by_side(data, y, [[*chosen, c] for c in open_])
+            score, name = max((1 - deviance / null if null else 0.0, c) for (_, _, deviance), c in zip(fits, open_))
             if score <= best:
                 break
             best = score

@@ -32,15 +32,21 @@ def salted_join(
     spread: Column,
     how: str = "inner",
     rows_per_block: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which ``big`` rows of a hot key are split into blocks.
 
     ``spread`` is a column of ``big`` whose hash chooses the block; the rows
     of ``other`` are repeated once per block of their key. Works for inner
-    and left joins (``big`` on the left).
+    and left joins (``big`` on the left). The hot keys come from a pass over
+    ``big`` of its own: give a table that is written, or the list itself (``hot``,
+    as :func:`block_counts` makes it) where it is known.
     """
     keys = list(keys)
-    hot = cut(block_counts(big, keys, rows_per_block))  # few rows, needed on both sides
+    if hot is None:
+        hot = cut(block_counts(big, keys, rows_per_block))  # few rows, needed on both sides
+    if hot.isEmpty():  # nothing to split: the planner's own join
+        return big.join(other, keys, how)
     left = (
         big.join(hot, keys, "left")
         .withColumn(

@@ -1,18 +1,20 @@
 """Keeping the association graph up to date from a stream of application messages.
 
-The store holds two kinds of rows, nodes and relationships, as one folder per
-micro-batch. A batch only ever writes its own folder, so a replay replaces it
-with the same rows, and the cost of a batch does not grow with the store.
-Reading merges the folders (latest values win); :func:`compact` writes that
-merge down so that readers need not repeat it.
+The store holds two kinds of rows, nodes and relationships, in buckets by the hash of
+their key. A batch only ever writes its own folder, a file for each bucket of its
+keys, so a replay replaces it with the same rows. Reading merges a bucket's files
+(latest values win), and a reader of given keys opens the buckets of these alone.
+:func:`compact` writes such merges down. The job does so for some buckets after each
+batch, by turns, so a batch never rewrites the whole store and a bucket has no more
+files than batches between two of its merges.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
@@ -34,7 +36,9 @@ ENTITIES = {
     "companyname": ("Company", "company", "text"),
     "companyaddress": ("CompanyAddress", "companyaddress", "text"),
 }
-COMPACT_EVERY = 100  # micro-batches
+COMPACT_EVERY = 16  # micro-batches between two merges of a bucket
+BUCKETS = 16  # of each kind; a store keeps the number that it began with
+KEYS = {"nodes": ("label", "key"), "rels": ("orderno",)}
 NODE_SCHEMA = "label string, key string, insert_time string, user_id string, batch_id long"
 REL_SCHEMA = "orderno string, rel string, label string, key string, batch_id long"
 
@@ -110,11 +114,17 @@ def graph_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return own.unionByName(others, allowMissingColumns=True), rels
 
 
+def bucket(name: str) -> Column:
+    """Bucket of a row of ``nodes`` or ``rels``."""
+    return F.pmod(F.xxhash64(*KEYS[name]), F.lit(BUCKETS)).cast("int")
+
+
 def upsert_graph(batch: DataFrame, batch_id: int, store: str) -> None:
-    """Write the batch's own version of its nodes and relationships."""
+    """Write the batch's own version of its nodes and relationships, a file for each bucket of theirs."""
     nodes, rels = graph_rows(batch)
     for name, rows in (("nodes", nodes), ("rels", rels)):
-        rows.write.mode("overwrite").parquet(f"{store}/{name}/batch_id={batch_id}")
+        bucketed = rows.withColumn("bucket", bucket(name)).repartition("bucket")
+        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/{name}/batch_id={batch_id}")
 
 
 def notify(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -129,9 +139,9 @@ def notify(batch: DataFrame, batch_id: int, path: str) -> None:
 def handle_batch(store: str, notices: str, bad: str, compact_every: int | None = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` step: split, upsert, notify, keep unreadable messages.
 
-    Every ``compact_every`` batches the store is merged up to the batch before,
-    which can no longer be replayed, so its folders stay few however long the job
-    runs.
+    After a batch the buckets whose turn it is are merged up to the batch before,
+    which can no longer be replayed; every bucket's turn comes once in
+    ``compact_every`` batches.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -141,8 +151,9 @@ def handle_batch(store: str, notices: str, bad: str, compact_every: int | None =
         notify(good, batch_id, notices)
         broken.select("body").write.mode("overwrite").text(f"{bad}/batch_id={batch_id}")
         parsed.unpersist()
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            compact(batch.sparkSession, store, batch_id - 1)
+        due = [b for b in range(BUCKETS) if compact_every and b % compact_every == batch_id % compact_every]
+        if batch_id and due:
+            compact(batch.sparkSession, store, batch_id - 1, due)
 
     return step
 
@@ -170,11 +181,19 @@ def _folders(spark: SparkSession, path: str) -> list:
     return [(int(p.getName().split("=")[1]), p) for p in found if "=" in p.getName()], fs
 
 
-def _newest_base(spark: SparkSession, store: str) -> int:
-    """The last batch that a finished merge holds, -1 without one."""
-    found, fs = _folders(spark, f"{store}/base")
+def files_of(spark: SparkSession, store: str, name: str, buckets: Sequence[int] | None = None) -> tuple[dict, list]:
+    """What a reader of the buckets opens: the newest merge by bucket ``{bucket: (upto, folder)}``, and the batches after it ``(batch, bucket, folder)``."""
+    wanted = set(range(BUCKETS) if buckets is None else buckets)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return max((n for n, p in found if fs.exists(path(p, "rels/_SUCCESS"))), default=-1)
+    base: dict[int, tuple] = {}
+    merges, fs = _folders(spark, f"{store}/base/{name}")
+    for upto, folder in sorted(merges, key=lambda m: m[0]):
+        if fs.exists(path(folder, "_SUCCESS")):
+            base |= {b: (upto, p) for b, p in _folders(spark, folder.toString())[0] if b in wanted}
+    later = []
+    for batch_id, folder in _folders(spark, f"{store}/{name}")[0]:
+        later += [(batch_id, b, p) for b, p in _folders(spark, folder.toString())[0] if b in wanted and batch_id > base.get(b, (-1,))[0]]
+    return base, later
 
 
 def _merge_nodes(rows: DataFrame) -> DataFrame:
@@ -186,45 +205,64 @@ def _merge_rels(rows: DataFrame) -> DataFrame:
     return rows.groupBy("orderno", "rel", "label", "key").agg(F.max("batch_id").alias("batch_id"))
 
 
-def _rows(spark: SparkSession, store: str, name: str, schema: str) -> DataFrame:
-    """The newest merge and the batches after it."""
-    base = _newest_base(spark, store)
-    found, _ = _folders(spark, f"{store}/{name}")
-    plain = schema.removesuffix(", batch_id long")
-    parts = [spark.read.schema(schema).parquet(f"{store}/base/upto={base}/{name}")] if base >= 0 else []
-    after = [p.toString() for n, p in found if n > base]
-    if after:
-        read = spark.read.option("basePath", f"{store}/{name}").schema(f"{plain}, batch_id long")
-        parts.append(read.parquet(*after))
+_KINDS = {"nodes": (NODE_SCHEMA, _merge_nodes), "rels": (REL_SCHEMA, _merge_rels)}
+
+
+def _rows(spark: SparkSession, store: str, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
+    """The newest merges of the buckets and the batches after them."""
+    schema = _KINDS[name][0]
+    base, later = files_of(spark, store, name, buckets)
+    parts = []
+    if base:
+        parts.append(spark.read.schema(schema).parquet(*[p.toString() for _, p in base.values()]))
+    if later:
+        read = spark.read.option("basePath", f"{store}/{name}").schema(f"{schema}, bucket int")
+        parts.append(read.parquet(*[p.toString() for *_, p in later]).drop("bucket"))
     if not parts:
         return spark.createDataFrame([], schema)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def read_nodes(spark: SparkSession, store: str) -> DataFrame:
-    """One row per node, values of the latest batch that set them."""
-    return _merge_nodes(_rows(spark, store, "nodes", NODE_SCHEMA))
+def _read(spark: SparkSession, store: str, name: str, keys: Sequence[tuple] | None) -> DataFrame:
+    merge = _KINDS[name][1]
+    if keys is None:
+        return merge(_rows(spark, store, name))
+    asked = spark.createDataFrame([*keys], ", ".join(f"{c} string" for c in KEYS[name]))
+    buckets = [r[0] for r in asked.select(bucket(name)).distinct().collect()]
+    return merge(_rows(spark, store, name, buckets).join(F.broadcast(asked), [*KEYS[name]], "left_semi"))
 
 
-def read_rels(spark: SparkSession, store: str) -> DataFrame:
-    return _merge_rels(_rows(spark, store, "rels", REL_SCHEMA))
+def read_nodes(spark: SparkSession, store: str, keys: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """One row per node, values of the latest batch that set them; of the given (label, key) alone, if any are given."""
+    return _read(spark, store, "nodes", keys)
 
 
-def compact(spark: SparkSession, store: str, upto: int) -> None:
-    """Merge the state up to a batch into a new base and remove what it replaces.
+def read_rels(spark: SparkSession, store: str, orders: Sequence[str] | None = None) -> DataFrame:
+    """Relationships, each once; those of the given applications alone, if any are given."""
+    return _read(spark, store, "rels", None if orders is None else [(o,) for o in orders])
 
-    Later batches stay as they are. The old folders go only after the new base
-    is complete, so a lost merge is simply repeated.
+
+def compact(spark: SparkSession, store: str, upto: int, buckets: Sequence[int] | None = None) -> None:
+    """Merge buckets (all by default) up to a batch, and remove what the merge replaces.
+
+    Later batches stay as they are. Old files go only after the merge is complete, so
+    a lost one is simply repeated, and one that is complete is not made again.
     """
-    if upto <= _newest_base(spark, store):
-        return
-    nodes = _rows(spark, store, "nodes", NODE_SCHEMA).where(F.col("batch_id") <= upto)
-    rels = _rows(spark, store, "rels", REL_SCHEMA).where(F.col("batch_id") <= upto)
-    base = f"{store}/base/upto={upto}"
-    _merge_nodes(nodes).write.mode("overwrite").parquet(f"{base}/nodes")
-    _merge_rels(rels).write.mode("overwrite").parquet(f"{base}/rels")
-    for name, last in (("nodes", upto), ("rels", upto), ("base", upto - 1)):
-        found, fs = _folders(spark, f"{store}/{name}")
-        for n, path in found:
-            if n <= last:
-                fs.delete(path, True)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    due = list(range(BUCKETS)) if buckets is None else list(buckets)
+    for name, (_, merge) in _KINDS.items():
+        target = f"{store}/base/{name}/upto={upto}"
+        merges, fs = _folders(spark, f"{store}/base/{name}")
+        if not any(n == upto and fs.exists(path(p, "_SUCCESS")) for n, p in merges):
+            rows = merge(_rows(spark, store, name, due).where(F.col("batch_id") <= upto))
+            rows.withColumn("bucket", bucket(name)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        for root, last in ((f"{store}/{name}", upto), (f"{store}/base/{name}", upto - 1)):
+            for n, folder in _folders(spark, root)[0]:
+                if n > last:
+                    continue
+                own = _folders(spark, folder.toString())[0]
+                for b, p in own:
+                    if b in due:
+                        fs.delete(p, True)
+                if all(b in due for b, _ in own):
+                    fs.delete(folder, True)

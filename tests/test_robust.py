@@ -1,5 +1,7 @@
 """Ordinary and awkward data: constants, one class, gaps, late rows, long chains, hot entities."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -245,20 +247,35 @@ def _message(i, when=None):
 
 
 def test_stream_store_stays_small(spark, tmp_path):
-    """Merges inside the job bound the folders; a replayed batch and a missing time change nothing."""
+    """Merges inside the job, some buckets after each batch, bound the files; a replayed batch and a missing time change nothing."""
     src, store = f"{tmp_path}/src", f"{tmp_path}/store"
     for part in range(7):
         rows = [(10 * part + j, _message(10 * part + j, None if j else "2024-01-01 00:00:00")) for j in range(4)]
         spark.createDataFrame(rows, "msg_id long, body string").coalesce(1).write.mode("append").parquet(src)
     messages = R.read_applications(spark, path=src, per_trigger=1)
     R.run(messages, store, f"{tmp_path}/n", f"{tmp_path}/b", f"{tmp_path}/c", interval=None, compact_every=2).awaitTermination()
-    assert len([p for p in (tmp_path / "store" / "rels").iterdir() if "=" in p.name]) <= 2
-    assert len([p for p in (tmp_path / "store" / "base").iterdir() if "=" in p.name]) == 1
+    for name in ("nodes", "rels"):
+        base, later = R.files_of(spark, store, name)
+        counts = Counter(b for _, b, _ in later)
+        assert base and max(counts.values()) <= 2  # a bucket's batches since its last merge
+        assert len([p for p in (tmp_path / "store" / "base" / name).iterdir() if "=" in p.name]) <= 2
+        assert len([p for p in (tmp_path / "store" / name).iterdir() if "=" in p.name]) <= 3
+    own = R.read_rels(spark, store, ["31", "32"])
+    assert sorted(map(str, own.collect())) == sorted(map(str, R.read_rels(spark, store).where("orderno IN ('31', '32')").collect()))
+    assert len({p.split("bucket=")[1].split("/")[0] for p in own.inputFiles()}) <= 2
+    (one,) = R.read_nodes(spark, store, [("ApplyInfo", "10")]).collect()
+    assert (one.key, one.insert_time) == ("10", "2024-01-01 00:00:00")
     before = sorted(map(str, R.read_nodes(spark, store).collect()))
     assert R.read_rels(spark, store).select("orderno").distinct().count() == 28
     assert R.read_nodes(spark, store).where("label = 'ApplyInfo' AND insert_time IS NOT NULL").count() == 7
     R.handle_batch(store, f"{tmp_path}/n", f"{tmp_path}/b", None)(spark.read.parquet(src).where("msg_id < 4"), 0)
     assert sorted(map(str, R.read_nodes(spark, store).collect())) == before
+    rels = sorted(map(str, R.read_rels(spark, store).drop("batch_id").collect()))
+    R.compact(spark, store, 6)
+    R.compact(spark, store, 6)  # repeated
+    assert not R.files_of(spark, store, "rels")[1]
+    assert sorted(map(str, R.read_rels(spark, store).drop("batch_id").collect())) == rels
+    assert sorted(map(str, R.read_nodes(spark, store).collect())) == before
 
 
 def test_lost_offsets_end_the_query_by_default(monkeypatch):
