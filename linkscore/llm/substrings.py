@@ -11,7 +11,9 @@ the first document of every window.
 
 The corpus is its own reference here, so the automata are not broadcast: a shard
 holds only runs whose minimisers belong to it, and the runs to be matched come
-to it. A minimiser with very many runs is split further, by whole windows.
+to it. A minimiser with very many runs is split further, by whole windows: equal
+windows are merged with their first document on the way, so a passage that many
+documents share between different neighbours comes to an automaton once.
 """
 
 from __future__ import annotations
@@ -190,8 +192,9 @@ def _run_rows(window: int, seed: int):
                 # a text of one word over and over has the same run many times
                 _, once = np.unique(mix(runs.doc.astype(np.uint64)) ^ runs.key, return_index=True)
                 if len(once):
-                    doc = table["rank"].to_numpy()[runs.doc[once]]
-                    yield _batch({"seed": runs.seed[once].view(np.int64), "run": runs.key[once].view(np.int64), "rank": doc})
+                    doc = runs.doc[once]
+                    names = {c: table[c].to_numpy()[doc] for c in ("rank", "print")}
+                    yield _batch({"seed": runs.seed[once].view(np.int64), "run": runs.key[once].view(np.int64), **names})
 
     return work
 
@@ -263,13 +266,17 @@ def _match(window: int):
     return work
 
 
+def _name(rank: np.ndarray, print_: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """One number for a document and a run."""
+    return mix(mix(rank) ^ print_ ^ run)
+
+
 def _keep(window: int, seed: int):
     """Arrow function for a block: what is left of each text."""
 
     def work(rows: pa.Table, masks: pa.Table) -> pa.Table:
         powers = new_powers()
-        key = np.stack([masks["rank"].to_numpy(), masks["run"].to_numpy()], 1).view(np.uint64) if len(masks) else np.zeros((0, 2), np.uint64)
-        name = mix(mix(key[:, 0]) ^ key[:, 1])  # (document, run)
+        name = _name(*(masks[c].to_numpy().view(np.uint64) for c in ("rank", "print", "run")))
         order = np.argsort(name)
         name, mask = name[order], masks["mask"].to_numpy()[order]
         ids, n_words, n_removed, texts = [], [], [], []
@@ -278,7 +285,7 @@ def _keep(window: int, seed: int):
             runs = Runs(words, window, seed)
             gone = np.zeros(len(words.hash) + 1, np.int64)
             if len(name) and len(runs.start):
-                own = mix(mix(table["rank"].to_numpy().view(np.uint64)[runs.doc]) ^ runs.key)
+                own = _name(*(table[c].to_numpy().view(np.uint64)[runs.doc] for c in ("rank", "print")), runs.key)
                 at = np.minimum(np.searchsorted(name, own), len(name) - 1)
                 bits = np.where(name[at] == own, mask[at], 0)
                 for j in range(window - seed + 1):
@@ -319,13 +326,20 @@ def remove_repeated(
     also start in a document with a smaller ``doc_id``, judged on the input.
     Words are compared unchanged (by 64-bit hashes). A null text has no words; a
     row without id comes after all others; rows with the same id do not see each
-    other. Other columns are left out, no rows give no rows.
+    other. Texts of any length are read whole. Other columns are left out, no rows
+    give no rows.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _rank(F.col("doc_id")).alias("rank"), F.col("text").cast("string").alias("text"))
-    text = own.select("rank", "text")
+    missing = F.col("doc_id").isNull()
+    own = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        _rank(F.col("doc_id")).alias("rank"),
+        F.when(missing, F.xxhash64("text")).otherwise(0).alias("print"),  # rows without id need not share a block
+        F.col("text").cast("string").alias("text"),
+    )
+    text = own.select("rank", "print", "text")
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-int(size) // block_bytes))
-    block = lambda c: F.pmod(F.xxhash64(c), F.lit(n_blocks)).cast("int").alias("block")
+    block = F.pmod(F.xxhash64("rank", "print"), F.lit(n_blocks)).cast("int").alias("block")
 
     seeds = stored(
         text.mapInArrow(_seed_rows(window, seed), "seed long, low long, high long")
@@ -335,46 +349,52 @@ def remove_repeated(
         .select("seed", "low"),
         "seeds",
     )
-    runs = stored(text.mapInArrow(_run_rows(window, seed), "seed long, run long, rank long").join(seeds, "seed"), "runs")
-    by_run = stored(runs.groupBy("seed", "run").agg(F.min("rank").alias("first")), "by-run")
+    runs = stored(text.mapInArrow(_run_rows(window, seed), "seed long, run long, rank long, print long").join(seeds, "seed"), "runs")
+    by_run = runs.groupBy("seed", "run").agg(F.min(F.struct("rank", "print")).alias("f"))
+    by_run = stored(by_run.select("seed", "run", F.col("f.rank").alias("first"), F.col("f.print").alias("print")), "by-run")
     many = stored(
         by_run.groupBy("seed").agg(F.count(F.lit(1)).alias("runs")).where("runs > 1"), "many"
     )
     several = stored(by_run.join(many, "seed"), "several")
     total = several.count()
-    found = (
-        own.select("rank", "text", block("rank"))
-        .groupBy("block")
-        .cogroup(several.select("run", block("first")).groupBy("block"))
-        .applyInArrow(_run_words(window, seed), "run long, seed long, words binary")
-    )
+    asked = several.select("run", F.col("first").alias("rank"), "print").select("run", block)
+    found = own.select("rank", "text", block).groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_run_words(window, seed), "run long, seed long, words binary")
     shards = max(1, -(-total // shard_runs))
     parts = F.when(F.col("runs") <= shard_runs, F.lit(1)).otherwise(F.ceil(F.col("runs") * (window - seed) / shard_runs))
-    firsts = stored(
-        found.select("run", "words")
-        .join(several, "run")
-        .select("seed", "run", "first", "words", parts.cast("long").alias("parts"), F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard"))
-        .mapInArrow(_dealt(window), "shard long, part long, run long, at long, first long, words binary")
-        .groupBy("shard", "part")
-        .applyInArrow(_match(window), "run long, at long, firsts array<long>"),
-        "firsts",
+    worded = found.select("run", "words").join(several, "run").select(
+        "seed", "run", "first", "words", parts.cast("long").alias("parts"), F.pmod(F.xxhash64("seed"), F.lit(shards)).alias("shard")
     )
+    crowded = not many.where(F.col("runs") > shard_runs).isEmpty()
+    if crowded:
+        worded = stored(worded, "worded")
+    dealt = worded.mapInArrow(_dealt(window), "shard long, part long, run long, at long, first long, words binary")
+    told = "run long, at long, firsts array<long>"
+    firsts = dealt.where("part = 0").groupBy("shard", "part").applyInArrow(_match(window), told)
+    if crowded:
+        place = ["shard", "part", "words"]
+        windows = stored(dealt.where("part > 0"), "windows")
+        merged = windows.groupBy(*place).agg(F.min("first").alias("first")).withColumns({"run": F.monotonically_increasing_id(), "at": F.lit(0).cast("long")})
+        merged = stored(merged, "merged")
+        judged = merged.groupBy("shard", "part").applyInArrow(_match(window), told).select(F.col("run").alias("nth"), "firsts")
+        by_window = merged.select(*place, F.col("run").alias("nth")).join(judged, "nth")
+        firsts = firsts.unionByName(windows.select("run", "at", *place).join(by_window, place).select("run", "at", "firsts"))
+    firsts = stored(firsts, "firsts")
     every = (1 << (window - seed + 1)) - 1
     single = (
-        runs.join(many, "seed", "left_anti").where("rank > low").select("rank", "run", F.lit(every).cast("long").alias("mask"))
+        runs.join(many, "seed", "left_anti").where("rank > low").select("rank", "print", "run", F.lit(every).cast("long").alias("mask"))
     )
     bit = F.transform("firsts", lambda x, i: F.when(x < F.col("rank"), F.expr("shiftleft(1L, CAST(at AS INT))") * F.pow(F.lit(2), i).cast("long")).otherwise(F.lit(0).cast("long")))
     searched = (
-        runs.select("rank", "run")
+        runs.select("rank", "print", "run")
         .join(firsts, "run")
-        .select("rank", "run", F.aggregate(bit, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)).alias("mask"))
+        .select("rank", "print", "run", F.aggregate(bit, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)).alias("mask"))
         .where("mask <> 0")
-        .groupBy("rank", "run")
+        .groupBy("rank", "print", "run")
         .agg(F.bit_or("mask").alias("mask"))
     )
-    masks = single.unionByName(searched).select("rank", "run", "mask", block("rank"))
+    masks = single.unionByName(searched).select("rank", "print", "run", "mask", block)
     return (
-        own.select("doc_id", "rank", "text", block("rank"))
+        own.select("doc_id", "rank", "print", "text", block)
         .groupBy("block")
         .cogroup(masks.groupBy("block"))
         .applyInArrow(_keep(window, seed), "doc_id long, n_words long, n_removed long, text string")
