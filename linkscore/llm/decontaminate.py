@@ -226,15 +226,17 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def index_shards(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> list[Index]:
-    """The inverted index in shards; statistics over all items, computed by Spark.
+def index_shards(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> Iterator[tuple[Index, bool]]:
+    """The inverted index, shard by shard, and whether more follow; statistics over all items, computed by Spark.
 
-    Items without id, text or words are left out; repeated rows count once.
+    Items without id, text or words are left out; repeated rows count once. The next
+    shard is built when it is asked for, so the driver holds one at a time if what
+    was made with the last one has been written by then.
     """
     clean = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     items = stored(clean.mapInArrow(_item_words, "item_id long, words array<long>, split long").where("size(words) > 0"), "items")
     if items.isEmpty():
-        return []
+        return
     length = F.size("words")
     n, average, total = items.agg(F.count(F.lit(1)), F.avg(length), F.sum(F.size(F.array_distinct("words")))).first()
     terms = items.select("item_id", "words", length.alias("len"), F.explode("words").alias("term")).groupBy("item_id", "words", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -257,19 +259,20 @@ def index_shards(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) ->
     )
     rows = stored(rows, "index")
     count = max(1, -(-int(total) // shard_postings))
-    return [build(rows.where(F.col("shard") == s).collect()) for s in range(count)]  # each about shard_postings large
+    for s in range(count):
+        yield build(rows.where(F.col("shard") == s).collect()), s + 1 < count  # each about shard_postings large
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every row and item found in it.
 
-    Null and empty texts hold nothing. Rows are independent: repeated ids give
+    Null and empty texts hold nothing; texts of any length are searched whole. Rows are independent: repeated ids give
     repeated rows, other columns are left out. No documents or no items give no
     rows.
     """
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     found = docs.sparkSession.createDataFrame([], schema)
-    for index in index_shards(benchmark):
+    for index, more in index_shards(benchmark):
 
         def work(batches: Iterator[pa.RecordBatch], own: Index = index) -> Iterator[pa.RecordBatch]:
             powers = new_powers()
@@ -284,13 +287,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                             names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
                         )
 
-        found = found.unionByName(docs.select("doc_id", "text").mapInArrow(work, schema))
+        hits = docs.select("doc_id", "text").mapInArrow(work, schema)
+        found = found.unionByName(stored(hits, "hits") if more else hits)
     return found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; rules as in :func:`contaminated`."""
-    for index in index_shards(benchmark):
+    for index, more in index_shards(benchmark):
 
         def work(batches: Iterator[pa.RecordBatch], own: Index = index) -> Iterator[pa.RecordBatch]:
             powers = new_powers()
@@ -301,4 +305,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = THRE
                     yield from table.filter(pa.array(clean)).to_batches()
 
         docs = docs.mapInArrow(work, docs.schema)
+        docs = stored(docs, "clean") if more else docs
     return docs
