@@ -116,7 +116,9 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], min_margin: flo
 
     ``score`` is the relative lead over the second smallest size, 0 to 1.
     ``lang_pred`` is ``und`` with score 0, rejected, if the text is null or has no
-    letter, or if there is nothing to compare with. Only ``text`` is read.
+    letter, or if there is nothing to compare with. Only ``text`` is read, whole
+    whatever its length, in frames. Rows are independent, repeated ones get equal
+    answers; no rows give no rows.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     dictionaries = dict(dictionaries)

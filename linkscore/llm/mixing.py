@@ -128,7 +128,8 @@ def mix(
     blocks: one block per source and, at the limit of twice the size, one per
     shard. No row is taken more than twice over. Null text has size 0; a null
     source is a source; rows of equal ``doc_id`` and size are interchangeable, so
-    reruns give the same rows. Other columns are left out. No rows give no rows.
+    reruns give the same rows. Texts of any length count whole. Other columns are
+    left out, also those named like the result's. No rows give no rows.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key))

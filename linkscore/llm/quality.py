@@ -210,8 +210,9 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, the base counts, ``quality`` (calibrated probability) and ``kept``, row by row.
 
-    Null and empty texts fail the base rules and are not kept. Rows are
-    independent: repeated ids stay, other columns are left out.
+    Null and empty texts fail the base rules and are not kept; texts of any length
+    count whole. Rows are independent: repeated ids stay, other columns are left
+    out, no rows give no rows.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,5 +233,5 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """Fit on ``labels`` and score all of ``docs``."""
+    """Fit on ``labels`` and score all of ``docs``; rules as in :func:`score`."""
     return score(docs, fit(docs, labels, max_rows), threshold)

@@ -113,8 +113,9 @@ def written(spans: list[Span]) -> str:
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_spans, spans`` of every row.
 
-    A null text is an empty one and has no spans. Rows are independent: repeated
-    ids stay, other columns are left out, no rows give no rows.
+    A null text is an empty one and has no spans; texts of any length are read
+    whole. Rows are independent: repeated ids stay, other columns are left out, no
+    rows give no rows.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

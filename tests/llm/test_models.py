@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -61,6 +62,25 @@ def test_language_on_held_out_rows(corpus):
     assert out.where("score < 0 OR score > 1").count() == 0
 
 
+def test_language_by_hand(corpus):
+    """Sizes, languages and scores as plain compression with the same dictionaries gives them."""
+    dictionaries = language.learn(corpus)
+    rows = language.identify(corpus.limit(60), dictionaries).collect()
+    packers = {
+        lang: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT), level=language.LEVEL, write_content_size=False, write_dict_id=False)
+        for lang, raw in sorted(dictionaries.items())
+    }
+    for r in rows:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        raw = language.plain(r.text).encode()
+        sizes = sorted((sum(len(p.compress(raw[i : i + language.FRAME_BYTES])) for i in range(0, len(raw), language.FRAME_BYTES)), lang) for lang, p in packers.items())
+        lead = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        assert (r.lang_pred, r.rejected) == (sizes[0][1], lead < language.MIN_MARGIN)
+        assert r.score == pytest.approx(lead)
+
+
 def test_language_edges(small, none):
     out = language.identify(small, language.learn(small))
     assert out.columns == [*small.columns, "lang_pred", "score", "rejected"]
@@ -102,7 +122,7 @@ ITEMS = [
 ]
 
 
-def test_contaminated(spark, small, none):
+def test_contaminated(spark, small, none, monkeypatch):
     words = " ".join(f"w{i}" for i in range(300))
     texts = [
         (10, f"{words} {ITEMS[0][1]} {words}"),
@@ -124,8 +144,12 @@ def test_contaminated(spark, small, none):
     clean = decontaminate.decontaminate(docs, bench)
     assert clean.columns == docs.columns
     assert {r.doc_id for r in clean.collect()} == {12, 15, 16, 17}
-    shards = decontaminate.index_shards(bench, shard_postings=5)
-    assert len(shards) > 1 and sorted(x for s in shards for x in s.ids) == [1, 2, 5]
+    shards, more = zip(*decontaminate.index_shards(bench, shard_postings=5))
+    assert len(shards) > 1 and list(more) == [True] * (len(shards) - 1) + [False]
+    assert sorted(x for s in shards for x in s.ids) == [1, 2, 5]
+    monkeypatch.setattr(decontaminate.index_shards, "__defaults__", (5,))  # several shards, one after the other
+    assert Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()) == got
+    assert {r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()} == {12, 15, 16, 17}
     assert decontaminate.contaminated(none, bench).count() == 0
     assert decontaminate.contaminated(docs, bench.where("item_id > 99")).count() == 0
     assert decontaminate.decontaminate(docs, bench.where("item_id > 99")).count() == len(texts)
