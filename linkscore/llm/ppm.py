@@ -359,10 +359,12 @@ def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 def _block_lookup(model: pa.Table, is_gram: bool, kind: type) -> Lookup:
     own = model.filter(model["is_gram"] if is_gram else pc.invert(model["is_gram"]))
+    # keys first, so that their parts are gone when the values come
     keys = np.concatenate([np.zeros(0, np.int64), *[unpack_keys(x) for x in own["keys"].to_pylist()]])
-    values = np.concatenate([np.zeros(0, kind), *[unpack(x, kind) for x in own["vals"].to_pylist()]])
     at = np.argsort(keys)
-    return Lookup(keys[at], values[at])
+    keys = keys[at]
+    values = np.concatenate([np.zeros(0, kind), *[unpack(x, kind) for x in own["vals"].to_pylist()]])
+    return Lookup(keys, values[at])
 
 
 def _score_block(order: int):
