@@ -1,5 +1,6 @@
 """Every registered query against its checking SQL on the smallest tables."""
 
+import math
 import os
 
 import pytest
@@ -18,8 +19,12 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    if name not in ORACLES:  # fitted models, loops and searches: that they run and give rows
-        assert QUERIES[name](spark, SF).count() > 0
+    if name not in ORACLES:  # fitted models, loops and searches: that every column is computed, and sane
+        rows = [r.asDict() for r in QUERIES[name](spark, SF).collect()]
+        assert rows
+        for column, least, most in (("score", None, None), ("p", 0, 1), ("auc", 0, 1), ("rmse", 0, None), ("prediction", None, None), ("rank", 0, None)):
+            values = [r[column] for r in rows if isinstance(r.get(column), (int, float))]
+            assert all(math.isfinite(v) and (least is None or v >= least) and (most is None or v <= most) for v in values), column
         return
     ok, note = check(spark, con, name, QUERIES[name], ORACLES[name], SF)
     assert ok, note
