@@ -138,15 +138,15 @@ def ridge_sql() -> str:
         + ", ".join(f"t{i} AS b{i}_g" for i in three) + " FROM w, bt",
         **solve("fin", 3, ["g"]),
     }
-    rows = [f"SELECT '{c}' AS \"column\", round(x{i}_g / v{i}, 2) AS coef FROM fin_x, st" for i, c in enumerate(RIDGE)]
-    rows.append("SELECT 'const', round(my - " + " - ".join(f"x{i}_g / v{i} * m{i}" for i in three) + ", 2) FROM fin_x, st")
+    rows = [f"SELECT '{c}' AS \"column\", round(x{i}_g / v{i}, 2) + 0.0 AS coef FROM fin_x, st" for i, c in enumerate(RIDGE)]
+    rows.append("SELECT 'const', round(my - " + " - ".join(f"x{i}_g / v{i} * m{i}" for i in three) + ", 2) + 0.0 FROM fin_x, st")
     return sql([], steps, " UNION ALL ".join(rows), once=("rw", "f", "w", "sy", "er"))
 
 
 @query("m13_ridge_path", ridge_sql())
 def _(t):
     lines = t("lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    return rounded(L.ridge_path(lines, "l_extendedprice", RIDGE, "key")[0], 2, "coef")
+    return rounded(L.ridge_path(lines, "l_extendedprice", RIDGE, "key")[0], 2, "coef").withColumn("coef", F.col("coef") + 0.0)
 
 
 POINTS = [5.0, 15.0, 25.0, 35.0, 45.0]
