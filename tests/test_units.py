@@ -252,7 +252,10 @@ def test_tree_bins_find_the_step(spark):
 
 
 def test_sweep_is_every_cell_of_the_whole_grid(spark):
-    """Cells read from the largest fit are those of fits of their own; the registered grid is the reference's."""
+    """The registered grid is the reference's; cells are near those of MLlib, which draws other samples and other bins.
+
+    That they equal fits of their own is tested with the booster itself (test_models).
+    """
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import GBTRegressor
 
@@ -266,7 +269,7 @@ def test_sweep_is_every_cell_of_the_whole_grid(spark):
     a, b = TR.split(TR.with_features(df, ["x", "z"], "y"), "id")
     for (n, depth), rmse in got.items():
         model = GBTRegressor(maxIter=n, maxDepth=depth, subsamplingRate=0.8, minInstancesPerNode=50, seed=11).fit(a.persist())
-        assert RegressionEvaluator().evaluate(model.transform(b)) == pytest.approx(rmse)
+        assert RegressionEvaluator().evaluate(model.transform(b)) == pytest.approx(rmse, rel=0.05)
 
 
 def test_bisecting_separates_blobs(spark):
