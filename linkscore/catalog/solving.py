@@ -30,23 +30,26 @@ def products(xs: Sequence[str], weight: str = "1.0") -> str:
     return ", ".join(f"sum({weight} * ({a}) * ({b})) AS a{i}_{j}" for i, a in enumerate(xs) for j, b in enumerate(xs))
 
 
-def newton(rows: str, xs: Sequence[str], y: str, rounds: int) -> dict[str, str]:
-    """Steps of a logistic regression with a constant; ``beta<rounds>`` has ``c0..``, ``info`` the information there and a unit matrix."""
+def newton(rows: str, xs: Sequence[str], y: str, rounds: int, tag: str = "") -> dict[str, str]:
+    """Steps of a logistic regression with a constant; ``beta<rounds>`` has ``c0..``, ``info`` the information there and a unit matrix.
+
+    ``tag`` goes before the names of all steps, so that several models can stand side by side.
+    """
     all_ = ["1.0", *xs]
     n = len(all_)
-    steps = {"beta0": "SELECT " + ", ".join(f"0.0::DOUBLE AS c{i}" for i in range(n))}
+    steps = {f"{tag}beta0": "SELECT " + ", ".join(f"0.0::DOUBLE AS c{i}" for i in range(n))}
     for r in range(1, rounds + 1):
         eta = " + ".join(f"c{i} * ({x})" for i, x in enumerate(all_))
-        steps[f"p{r}"] = f"SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM {rows}, beta{r - 1}"
+        steps[f"{tag}p{r}"] = f"SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM {rows}, {tag}beta{r - 1}"
         sides = ", ".join(f"sum(({x}) * ({y} - p)) AS b{i}_g" for i, x in enumerate(all_))
-        steps[f"s{r}"] = f"SELECT {products(all_, 'p * (1 - p)')}, {sides}, {', '.join(f'min(c{i}) AS c{i}' for i in range(n))} FROM p{r}"
-        steps |= solve(f"s{r}", n, ["g"], [f"c{i}" for i in range(n)])
-        steps[f"beta{r}"] = "SELECT " + ", ".join(f"c{i} + x{i}_g AS c{i}" for i in range(n)) + f" FROM s{r}_x"
+        steps[f"{tag}s{r}"] = f"SELECT {products(all_, 'p * (1 - p)')}, {sides}, {', '.join(f'min(c{i}) AS c{i}' for i in range(n))} FROM {tag}p{r}"
+        steps |= solve(f"{tag}s{r}", n, ["g"], [f"c{i}" for i in range(n)])
+        steps[f"{tag}beta{r}"] = "SELECT " + ", ".join(f"c{i} + x{i}_g AS c{i}" for i in range(n)) + f" FROM {tag}s{r}_x"
     eta = " + ".join(f"c{i} * ({x})" for i, x in enumerate(all_))
     unit = ", ".join(f"{float(i == j)} AS b{i}_{j}" for i in range(n) for j in range(n))
-    steps["fitted"] = f"SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM {rows}, beta{rounds}"
-    steps["info"] = f"SELECT {products(all_, 'p * (1 - p)')}, {unit} FROM fitted"
-    return steps | solve("info", n, [str(j) for j in range(n)])
+    steps[f"{tag}fitted"] = f"SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM {rows}, {tag}beta{rounds}"
+    steps[f"{tag}info"] = f"SELECT {products(all_, 'p * (1 - p)')}, {unit} FROM {tag}fitted"
+    return steps | solve(f"{tag}info", n, [str(j) for j in range(n)])
 
 
 def upper_normal(z: str) -> str:

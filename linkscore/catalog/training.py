@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -39,6 +41,20 @@ def _(t):
     return a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
 
 
+#: price and balance in units that keep the elimination well conditioned; the fitted probabilities do not depend on them
+PLAIN = {"d": "SELECT id, y, day, price / 100000 AS a, balance / 1000 AS b, CAST(substr(priority, 1, 1) AS INT) AS c FROM credit"}
+
+
+def newton_once(rounds: int, tag: str = "") -> list[str]:
+    return [f"{tag}fitted", *[f"{tag}s{r}" for r in range(1, rounds + 1)], *[f"{tag}beta{r}" for r in range(rounds + 1)]]
+
+
+@query("m02_logistic", sql(["credit"], {**PLAIN, **newton("d", ["a", "b", "c"], "y", 9)}, "SELECT id, day, round(p, 4) AS score FROM fitted", once=["d", *newton_once(9)]))
+def _(t):
+    df = credit(t)
+    return rounded(T.score_batch(df, T.train(df, "logistic", XS, "y", tol=1e-13), "id", "day", XS), 4, "score")
+
+
 def _trained(kind, **settings):
     def run(t):
         df = credit(t)
@@ -49,7 +65,6 @@ def _trained(kind, **settings):
 
 
 for _name, _kind, _settings in (
-    ("m02_logistic", "logistic", {}),
     ("m03_tree_classify", "tree_classify", {}),
     ("m03_tree_regress", "tree_regress", {}),
     ("m04_forest_classify", "forest_classify", {}),
@@ -60,10 +75,23 @@ for _name, _kind, _settings in (
     query(_name)(_trained(_kind, **_settings))
 
 
-@query("m06_naive_bayes")
+def bayes_sql() -> str:
+    """Smoothed shares of each column in the sums of a class, and the posterior of class 1."""
+    xs = {"price": "price", "balance": "balance + 2000", "rank": "CAST(substr(priority, 1, 1) AS INT)"}
+    theta = [f"ln(max(CASE WHEN y = {k} THEN {c} END) + 1) - ln(max(CASE WHEN y = {k} THEN price + balance + rank END) + {len(xs)}) AS t{k}_{c}" for k in (0, 1) for c in xs]
+    steps = {
+        "d": "SELECT id, y, day, " + ", ".join(f"{e} AS {c}" for c, e in xs.items()) + " FROM credit",
+        "s": "SELECT y, count(*) AS n, " + ", ".join(f"sum({c}) AS {c}" for c in xs) + " FROM d GROUP BY y",
+        "w": f"SELECT ln(max(CASE WHEN y = 1 THEN n END) + 1) - ln(max(CASE WHEN y = 0 THEN n END) + 1) AS prior, {', '.join(theta)} FROM s",
+    }
+    margin = " + ".join(f"{c} * (t1_{c} - t0_{c})" for c in xs)
+    return sql(["credit"], steps, f"SELECT id, day, round(1 / (1 + exp(greatest(-700, least(700, -(prior + {margin}))))), 5) + 0.0 AS score FROM d, w", once=("w",))
+
+
+@query("m06_naive_bayes", bayes_sql())
 def _(t):
     df = credit(t).withColumn("balance", F.col("balance") + 2000)
-    return T.score_batch(df, T.train(df, "nb", XS, "y"), "id", "day", XS)
+    return rounded(T.score_batch(df, T.train(df, "nb", XS, "y"), "id", "day", XS), 5, "score").withColumn("score", F.col("score") + 0.0)
 
 
 TREES, DEPTHS = range(5, 151), range(4, 21)  # fixed values: the grid of the training job
@@ -74,10 +102,25 @@ def _(t):
     return T.sweep_gbt(credit(t), XS, "y", "id", TREES, DEPTHS)
 
 
-@query("m08_train_balanced")
+def balanced_sql() -> str:
+    """The sample of both classes, the model of its training share, and pairs in right order in the rest."""
+    steps = {
+        "v": "SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5(concat(CAST(id AS STRING), '|11')), id) AS r FROM credit",
+        "k": "SELECT least(sum(y), sum(1 - y)) AS k FROM credit",
+        "e": """SELECT id, y, price / 100000 AS a, balance / 1000 AS b, CAST(substr(priority, 1, 1) AS INT) AS c,
+          CAST(CAST('0x' || substr(md5(concat(CAST(id AS STRING), '|12')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.7 AS fit FROM v, k WHERE r <= k""",
+        "d": "SELECT * FROM e WHERE fit",
+        **newton("d", ["a", "b", "c"], "y", 9),
+        "g": "SELECT c1 * a + c2 * b + c3 * c AS score, sum(y) AS pos, sum(1 - y) AS neg FROM e, beta9 WHERE NOT fit GROUP BY 1",
+        "o": "SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g",
+    }
+    return sql(["credit"], steps, "SELECT 'auc' AS figure, round(sum(pos * (below + neg / 2)) / sum(pos) / sum(neg), 5) AS value FROM o", once=["e", "d", *newton_once(9)])
+
+
+@query("m08_train_balanced", balanced_sql())
 def _(t):
     _model, auc = T.train_balanced(credit(t), XS, "y", "id")
-    return T.report(t.spark, {"auc": auc})
+    return rounded(T.report(t.spark, {"auc": auc}), 5, "value")
 
 
 @query("m09_score_batch")
@@ -251,10 +294,38 @@ def _(t):
     return T.linear_cv(t("lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lasso", [0.1, 100.0])
 
 
-@query("t13_pca_project")
+def pca_sql(rounds: int = 60) -> str:
+    """Two directions by power iteration on the covariance, the second kept orthogonal to the first."""
+    xs = {"x": "l_quantity", "y": "l_extendedprice", "z": "l_discount"}
+
+    def times(v: str) -> str:
+        return ", ".join(" + ".join(f"covar_{min(a, b)}{max(a, b)} * {v}{b}" for b in xs) + f" AS n{a}" for a in xs)
+
+    def steps(name: str, inner: str) -> str:
+        size = "sqrt(nx * nx + ny * ny + nz * nz)"
+        return f"SELECT 0 AS step, 1.0::DOUBLE AS vx, 1.0::DOUBLE AS vy, 1.0::DOUBLE AS vz UNION ALL SELECT step + 1, nx / {size}, ny / {size}, nz / {size} FROM ({inner}) WHERE step < {rounds}"
+
+    def signed(name: str) -> str:
+        return f"SELECT vx * s AS vx, vy * s AS vy, vz * s AS vz FROM (SELECT *, sign(CASE greatest(abs(vx), abs(vy), abs(vz)) WHEN abs(vx) THEN vx WHEN abs(vy) THEN vy ELSE vz END) AS s FROM {name} WHERE step = {rounds})"
+
+    turned = f"SELECT step, {times('v')} FROM second, m"
+    flat = ", ".join(f"n{a} - (nx * f.vx + ny * f.vy + nz * f.vz) * f.v{a} AS n{a}" for a in xs)
+    parts = {
+        "m": "SELECT " + ", ".join(f"avg({c}) AS mean_{a}" for a, c in xs.items()) + ", "
+        + ", ".join(f"covar_samp({xs[a]}, {xs[b]}) AS covar_{a}{b}" for a in xs for b in xs if a <= b) + " FROM lineitem",
+        "first": steps("first", f"SELECT step, {times('v')} FROM first, m"),
+        "f": signed("first"),
+        "second": steps("second", f"SELECT step, {flat} FROM ({turned}), f"),
+        "g": signed("second"),
+    }
+    score = lambda v: " + ".join(f"({c} - mean_{a}) * {v}.v{a}" for a, c in xs.items())
+    return sql([], parts, f"SELECT l_orderkey, l_linenumber, round({score('f')}, 4) + 0.0 AS pc1, round({score('g')}, 4) + 0.0 AS pc2 FROM lineitem, m, f, g", once=("m", "f", "g"))
+
+
+@query("t13_pca_project", pca_sql())
 def _(t):
     out, _variances = L.pca_project(t("lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], 2)
-    return out.select("l_orderkey", "l_linenumber", "pc1", "pc2")
+    return out.select("l_orderkey", "l_linenumber", *[(F.round(c, 4) + 0.0).alias(c) for c in ("pc1", "pc2")])
 
 
 WX = ["price_k", "balance_k", "rank"]
@@ -316,7 +387,26 @@ def _(t):
     return rounded(T.Logit(df, "y", WX).residuals(df).select("id", "p", "response", "pearson", "deviance"), 5, "p", "response", "pearson", "deviance")
 
 
-@query("w18_stepwise")
+def stepwise_sql(rounds: int = 9) -> str:
+    """Deviances of the models of all subsets of the columns, and the way from one to the next."""
+    subsets = [s for k in range(1, len(WX) + 1) for s in combinations(range(len(WX)), k)]
+    tags = {s: "m" + "".join(map(str, s)) + "_" for s in subsets}
+    steps = {"d": LOGIT["d"]}
+    for s in subsets:
+        steps |= newton("d", [WX[i] for i in s], "y", rounds, tags[s])
+    dev = "-2 * sum(CASE WHEN y = 1 THEN ln(p) ELSE ln(1 - p) END)"
+    rows = [f"SELECT [{', '.join(repr(WX[i]) for i in s)}] AS members, {dev} AS deviance FROM {tags[s]}fitted" for s in subsets]
+    rows.append("SELECT []::VARCHAR[], -2 * (sum(y) * ln(avg(y)) + sum(1 - y) * ln(1 - avg(y))) FROM d")
+    steps["dv"] = " UNION ALL ".join(rows)
+    steps["way"] = """SELECT 0 AS step, ''::VARCHAR AS "column", members, deviance FROM dv WHERE len(members) = 0
+      UNION ALL SELECT * FROM (SELECT w.step + 1, list_filter(dv.members, lambda c: NOT list_contains(w.members, c))[1] AS added, dv.members, dv.deviance
+        FROM way w JOIN dv ON len(dv.members) = w.step + 1 AND list_has_all(dv.members, w.members) AND dv.deviance < w.deviance
+        ORDER BY dv.deviance, added DESC LIMIT 1)"""
+    once = ["d", "dv", *[n for s in subsets for n in newton_once(rounds, tags[s])]]
+    return sql(["credit"], steps, 'SELECT CAST(step AS INT) AS step, "column" FROM way WHERE step > 0', once=once)
+
+
+@query("w18_stepwise", stepwise_sql())
 def _(t):
     chosen = T.stepwise(_logit_rows(t), "y", WX, "forward")
     return t.spark.createDataFrame([(i + 1, c) for i, c in enumerate(chosen)], "step int, column string")

@@ -185,7 +185,8 @@ def stump_score(stumps: Sequence[dict]) -> Column:
 def pca_project(df: DataFrame, cols: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
     """Scores ``pc1..n`` with reconstructed columns ``<col>_back``, and the variances.
 
-    The covariance is one aggregation; the small eigen problem is solved once.
+    The covariance is one aggregation; the small eigen problem is solved once. The
+    largest entry of a direction is positive, so that runs agree on its sign.
     """
     means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
     centred = [_value(c) - means[c] for c in cols]
@@ -193,6 +194,7 @@ def pca_project(df: DataFrame, cols: Sequence[str], n: int) -> tuple[DataFrame,
     values, vectors = np.linalg.eigh(g / (rows - 1))
     order = np.argsort(values)[::-1][:n]
     v = vectors[:, order]
+    v = v * np.sign(np.take_along_axis(v, np.abs(v).argmax(axis=0)[None, :], axis=0))
     scores = [_dot(centred, v[:, j]) for j in range(n)]
     out = df.select("*", *[s.alias(f"pc{j + 1}") for j, s in enumerate(scores)])
     back = [(F.lit(means[c]) + _dot([F.col(f"pc{j + 1}") for j in range(n)], v[i])).alias(f"{c}_back") for i, c in enumerate(cols)]
