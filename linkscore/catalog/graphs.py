@@ -298,36 +298,72 @@ def call_graph(t):
     return t("calls").select("src", "dst", F.col("weight").cast("double").alias("weight"))
 
 
-#: half passes, downward and upward in turn, with the moves and idle passes so far
-LEVEL = {
-    "e": "SELECT src, dst, CAST(weight AS DOUBLE) AS w FROM calls UNION ALL SELECT dst, src, weight FROM calls",
-    "total": "SELECT sum(w) AS total FROM e",
-    "s": """SELECT 0 AS half, src AS id, src AS c, sum(w) AS node, 0::BIGINT AS went, 0::BIGINT AS last, 0 AS idle, false AS done FROM e GROUP BY src
-      UNION ALL SELECT half, id, c, node, went,
+def level_sql(k: int) -> dict:
+    """A level on vertices ``v<k>`` and edges ``e<k>`` (both ways): half passes, downward and upward in turn, with the moves and idle passes so far.
+
+    ``z<k>`` is the state after it, ``go<k>`` its quality and whether another level follows.
+    """
+    gained = f"k_in + CASE WHEN a.near = x.c THEN x.internal ELSE 0 END - (x.node + x.internal) * (sigma - CASE WHEN a.near = x.c THEN x.node + x.internal ELSE 0 END) / total"
+    around = "SELECT dst AS id, y.c AS near, sum(w) AS k_in FROM e{0} JOIN {1} y ON y.id = e{0}.src GROUP BY dst, y.c"
+    sums = "SELECT c, sum(node + internal) AS sigma FROM {0} GROUP BY c"
+    own = "a.internal + sum(CASE WHEN x.near = a.c THEN k_in ELSE 0 END)"
+    before = f"(SELECT q FROM go{k - 1})" if k else "-1"
+    return {
+        f"total{k}": f"SELECT sum(node + internal) AS total FROM v{k}",
+        f"s{k}": f"""SELECT 0 AS half, id, id AS c, node, internal, 0::BIGINT AS went, 0::BIGINT AS last, 0 AS idle, false AS done FROM v{k}
+      UNION ALL SELECT half, id, c, node, internal, went,
         CASE WHEN half % 2 = 0 THEN before + went ELSE last END,
         CASE WHEN half % 2 = 0 AND last - before - went <= 1 THEN idle + 1 ELSE idle END,
         half % 2 = 0 AND (before + went = 0 OR idle + CAST(last - before - went <= 1 AS INT) > 1)
-      FROM (SELECT half, id, CASE WHEN goes THEN near ELSE c END AS c, node, before, last, idle, CAST(sum(CAST(goes AS INT)) OVER () AS BIGINT) AS went
-        FROM (SELECT v.half + 1 AS half, v.id, v.c, v.node, v.went AS before, v.last, v.idle, b.near,
+      FROM (SELECT half, id, CASE WHEN goes THEN near ELSE c END AS c, node, internal, before, last, idle, CAST(sum(CAST(goes AS INT)) OVER () AS BIGINT) AS went
+        FROM (SELECT v.half + 1 AS half, v.id, v.c, v.node, v.internal, v.went AS before, v.last, v.idle, b.near,
             coalesce(CASE WHEN v.half % 2 = 0 THEN b.near < v.c ELSE b.near > v.c END, false) AS goes
-          FROM s v LEFT JOIN (
-            SELECT id, max({'gain': gain, 'near': near}).near AS near FROM (
-              SELECT a.id, a.near, k_in - x.node * (sigma - CASE WHEN a.near = x.c THEN x.node ELSE 0 END) / total AS gain
-              FROM (SELECT dst AS id, y.c AS near, sum(w) AS k_in FROM e JOIN s y ON y.id = e.src GROUP BY dst, y.c) a
-              JOIN s x ON x.id = a.id JOIN (SELECT c, sum(node) AS sigma FROM s GROUP BY c) z ON z.c = a.near, total)
+          FROM s{k} v LEFT JOIN (
+            SELECT id, max({{'gain': gain, 'near': near}}).near AS near FROM (
+              SELECT a.id, a.near, {gained} AS gain FROM ({around.format(k, f"s{k}")}) a
+              JOIN s{k} x ON x.id = a.id JOIN ({sums.format(f"s{k}")}) z ON z.c = a.near, total{k})
             WHERE gain > 0 GROUP BY id) b ON b.id = v.id
           WHERE NOT v.done))""",
-}
+        f"z{k}": f"SELECT * FROM s{k} WHERE half = (SELECT max(half) FROM s{k})",
+        f"q{k}": f"""SELECT {own} AS k_in, max(sigma) AS sigma, max(a.node + a.internal) AS k_i FROM z{k} a JOIN ({around.format(k, f"z{k}")}) x ON x.id = a.id
+          JOIN ({sums.format(f"z{k}")}) y ON y.c = a.c GROUP BY a.id, a.internal""",
+        f"go{k}": f"""SELECT coalesce(sum(greatest(k_in / total - sigma * k_i / total / total, 0)), 0) AS q,
+          (SELECT max(half) FROM z{k}) > 4 AND coalesce(sum(greatest(k_in / total - sigma * k_i / total / total, 0)), 0) > {before} + 0.001 AS further FROM q{k}, total{k}""",
+        f"b{k}": f"""SELECT least(x.c, y.c) AS src, greatest(x.c, y.c) AS dst, sum(w) AS w FROM e{k} JOIN z{k} x ON x.id = src JOIN z{k} y ON y.id = dst
+          WHERE (SELECT further FROM go{k}) GROUP BY 1, 2""",
+        f"e{k + 1}": f"SELECT src, dst, w / 2 AS w FROM b{k} WHERE src <> dst UNION ALL SELECT dst, src, w / 2 FROM b{k} WHERE src <> dst",
+        f"v{k + 1}": f"""SELECT a.c AS id, a.internal + coalesce(w, 0) AS internal, coalesce(node, 0) AS node FROM (SELECT c, sum(internal) AS internal FROM z{k} GROUP BY c) a
+          LEFT JOIN b{k} b ON b.src = a.c AND b.dst = a.c LEFT JOIN (SELECT src, sum(w) AS node FROM e{k + 1} GROUP BY src) d ON d.src = a.c
+          WHERE EXISTS (FROM e{k + 1})""",
+    }
+
+
+def louvain_sql(levels: int) -> dict:
+    """Levels one after the other, each empty where the one before was the last; ``m`` has the communities of the input's vertices."""
+    steps = {
+        "e0": "SELECT src, dst, CAST(weight AS DOUBLE) AS w FROM calls UNION ALL SELECT dst, src, weight FROM calls",
+        "v0": "SELECT src AS id, 0.0::DOUBLE AS internal, sum(w) AS node FROM e0 GROUP BY src",
+    }
+    member = "SELECT id, c FROM z0"
+    for k in range(levels):
+        steps |= level_sql(k)
+        if k:
+            member = f"SELECT m.id, coalesce(z{k}.c, m.c) AS c FROM ({member}) m LEFT JOIN z{k} ON z{k}.id = m.c"
+    return {**steps, "m": member}
 
 
-@query("g19_louvain_level", sql(["calls"], LEVEL, "SELECT id, c AS community FROM s WHERE half = (SELECT max(half) FROM s)", once=("calls", "e", "total")))
+LEVELS = louvain_sql(6)
+LEVELS_ONCE = ["calls", *[n for n in LEVELS if n != "m" and n[0] != "s"]]
+
+
+@query("g19_louvain_level", sql(["calls"], louvain_sql(1), "SELECT id, c AS community FROM z0", once=LEVELS_ONCE))
 def _(t):
     edges = cut(call_graph(t))
     _q, state, _passes = L.louvain_level(L.initial_state(edges), edges)
     return state.select("id", "community")
 
 
-@query("g20_louvain")
+@query("g20_louvain", sql(["calls"], LEVELS, "SELECT id, c AS community FROM m", once=LEVELS_ONCE))
 def _(t):
     return L.louvain(call_graph(t))[0]
 
@@ -357,7 +393,18 @@ def _(t):
     )
 
 
-@query("g21_louvain_levels")
+@query(
+    "g21_louvain_levels",
+    sql(
+        ["calls"],
+        LEVELS,
+        " UNION ALL ".join(
+            f"SELECT CAST({k} AS INT) AS level, count(*) AS vertices, count(DISTINCT c) AS communities, (SELECT sum(w) / 2 FROM e{k}) AS weight, (SELECT round(q, 8) FROM go{k}) AS q FROM z{k} HAVING count(*) > 0"
+            for k in range(6)
+        ),
+        once=LEVELS_ONCE,
+    ),
+)
 def _(t):
     """What a run keeps of each level: vertices, edges between them and quality."""
     folder = scratch_path(t.spark, "louvain")
@@ -371,7 +418,7 @@ def _(t):
             F.lit(level).alias("level"), "vertices", "communities"
         ).join(links.agg(F.sum("weight").alias("weight")).withColumn("level", F.lit(level)), "level")
         sizes = one if sizes is None else sizes.unionByName(one)
-    return sizes.join(quality, "level")
+    return rounded(sizes.join(quality, "level"), 8, "q")
 
 
 @query("g22_power_clusters")
