@@ -239,7 +239,34 @@ def _(t):
     )
 
 
-@query("t09_bisecting_kmeans")
+def bisecting_sql(rounds: int = 60) -> str:
+    """Halves of all points, then of each half, by two-means from the corners; the half that saves more is split for good."""
+    km = lambda p: f"acos(least(1, greatest(-1, sin(radians(lat)) * sin(radians({p}lat)) + cos(radians(lat)) * cos(radians({p}lat)) * cos(radians({p}lon - lon))))) * 6371.0"
+    right = f"({km('b')} < {km('a')})"
+
+    def halves(n: int) -> dict:
+        """Centres of the two halves of each part of ``pt<n>``, and the parts' errors before and after."""
+        side = lambda which, c: f"coalesce(avg(CASE WHEN {'NOT ' * (which == 'a')}{right} THEN {c} END), max({which}{c}))"
+        return {
+            f"l{n}": f"""SELECT 0 AS step, part, min(lat) AS alat, min(lon) AS alon, max(lat) AS blat, max(lon) AS blon FROM pt{n} GROUP BY part
+              UNION ALL SELECT step + 1, part, {side('a', 'lat')}, {side('a', 'lon')}, {side('b', 'lat')}, {side('b', 'lon')}
+              FROM l{n} JOIN pt{n} USING (part) WHERE step < {rounds} GROUP BY step, part""",
+            f"c{n}": f"SELECT * FROM l{n} JOIN (SELECT part, avg(lat) AS mlat, avg(lon) AS mlon FROM pt{n} GROUP BY part) USING (part) WHERE step = {rounds}",
+            f"h{n}": f"SELECT *, {right} AS far, {km('m')} AS before, least({km('a')}, {km('b')}) AS after FROM pt{n} JOIN c{n} USING (part)",
+        }
+
+    steps = {
+        "pt0": "SELECT c_custkey, c_nationkey * 3.0::DOUBLE - 40 AS lat, c_acctbal / 100 AS lon, 0 AS part FROM customer",
+        **halves(0),
+        "pt1": "SELECT c_custkey, lat, lon, CAST(far AS INT) AS part FROM h0",
+        **halves(1),
+        "best": "SELECT part FROM h1 GROUP BY part ORDER BY sum(before * before) - sum(after * after) DESC, part LIMIT 1",
+    }
+    final = "SELECT c_custkey, lat, lon, CAST(CASE WHEN far AND part = (SELECT part FROM best) THEN 2 ELSE part END AS INT) AS cluster FROM h1"
+    return sql([], steps, final, once=("pt0", "pt1", "h0", "h1"))
+
+
+@query("t09_bisecting_kmeans", bisecting_sql())
 def _(t):
     cols = ["lat", "lon"]
     pts = t("customer").select("c_custkey", (F.col("c_nationkey") * 3.0 - 40).alias("lat"), (F.col("c_acctbal") / 100).alias("lon"))

@@ -193,12 +193,33 @@ def _(t):
     return out.select("l_orderkey", "l_linenumber", *[(F.round(F.col("a")[i], 8) + 0.0).alias(f"e{i + 1}") for i in range(9)])
 
 
-@query("i18_pca")
+def pca_sql(k: int, squarings: int = 13) -> str:
+    """Directions of the covariance matrix by repeated squaring, each taken out before the next."""
+    steps = {
+        "x": "SELECT vec_id, unnest(generate_series(1, len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings",
+        "cv1": "SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS v FROM x a JOIN x b USING (vec_id) GROUP BY a.i, b.i",
+    }
+    for n in range(1, k + 1):
+        before = f"cv{n}"
+        for s in range(squarings):
+            steps[f"sq{n}_{s}"] = f"SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {before} a JOIN {before} b ON a.j = b.i GROUP BY a.i, b.j"
+            steps[f"p{n}_{s}"] = f"SELECT i, j, v / (SELECT sum(v) FROM sq{n}_{s} WHERE i = j) AS v FROM sq{n}_{s}"
+            before = f"p{n}_{s}"
+        steps[f"e{n}"] = f"SELECT i, v / sqrt(sum(v * v) OVER ()) AS v FROM {before} WHERE j = (SELECT arg_max(i, v) FROM {before} WHERE i = j)"
+        steps[f"l{n}"] = f"SELECT sum(c.v * a.v * b.v) AS l FROM cv{n} c JOIN e{n} a ON a.i = c.i JOIN e{n} b ON b.i = c.j"
+        steps[f"cv{n + 1}"] = f"SELECT c.i, c.j, c.v - l * a.v * b.v AS v FROM cv{n} c JOIN e{n} a ON a.i = c.i JOIN e{n} b ON b.i = c.j, l{n}"
+    found = ", ".join(f"round(sum(x.v * e{n}.v), 6) + 0.0 AS pc{n}" for n in range(1, k + 1))
+    joins = " ".join(f"JOIN e{n} ON e{n}.i = x.i" for n in range(1, k + 1))
+    return sql([], steps, f"SELECT vec_id, {found} FROM x {joins} GROUP BY vec_id", once=list(steps))
+
+
+@query("i18_pca", pca_sql(3))
 def _(t):
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     v = t("embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    return I.pca(v, "features").select("vec_id", vector_to_array("pca").alias("pca"))
+    out = I.pca(v, "features").select("vec_id", vector_to_array("pca").alias("pca"))
+    return out.select("vec_id", *[(F.round(F.col("pca")[i], 6) + 0.0).alias(f"pc{i + 1}") for i in range(3)])
 
 
 @query(

@@ -221,37 +221,75 @@ def _(t):
     return _each(t, B.binning_merit, WHOLE_MERITS)
 
 
-@query("w10_optimal_bins")
-def _(t):
-    return B.optimal_bins(t("credit"), ["price", "balance"], "y")
-
-
-def _reduced(steps: int) -> dict:
-    """Greedy cuts one after the other: best cut of each group, then the one best for the whole partition."""
+def _greedy(steps: int, tag: str = "") -> dict:
+    """Greedy cuts of ``r<tag>`` one after the other: best cut of each group, then the one best for the whole partition."""
     part = "CASE WHEN {0} > 0 AND {1} > 0 THEN ({0} / {2} - {1} / {3}) * ln(({0} * {3}) / ({1} * {2})) END"
-    out = {
-        "cat": "SELECT nation AS value, CAST(sum(1 - y) AS DOUBLE) AS n0, CAST(sum(y) AS DOUBLE) AS n1 FROM credit GROUP BY nation",
-        "r": """SELECT *, row_number() OVER w AS k, sum(n0) OVER w AS c0, sum(n1) OVER w AS c1 FROM cat
-          WINDOW w AS (ORDER BY n1 / (n0 + n1), value ROWS UNBOUNDED PRECEDING)""",
-        "b0": "SELECT 0 AS k, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1 UNION ALL SELECT max(k), max(c0), max(c1) FROM r",
-    }
-    for s in range(steps):
+    rows = f"r{tag}"
+    out = {f"b{tag}0": f"SELECT 0 AS k, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1 UNION ALL SELECT max(k), max(c0), max(c1) FROM {rows}"}
+    for n in range(steps):
+        s = f"{tag}{n}"
         out[f"g{s}"] = f"SELECT k AS lo, c0 AS l0, c1 AS l1, lead(k) OVER w AS hi, lead(c0) OVER w AS h0, lead(c1) OVER w AS h1 FROM b{s} WINDOW w AS (ORDER BY k)"
         out[f"m{s}"] = (
             f"SELECT lo, k, c0, c1, {part.format('(c0 - l0)', '(c1 - l1)', '(h0 - l0)', '(h1 - l1)')} + "
-            f"{part.format('(h0 - c0)', '(h1 - c1)', '(h0 - l0)', '(h1 - l1)')} AS merit FROM r JOIN g{s} ON k > lo AND k < hi"
+            f"{part.format('(h0 - c0)', '(h1 - c1)', '(h0 - l0)', '(h1 - l1)')} AS merit FROM {rows} JOIN g{s} ON k > lo AND k < hi"
         )
         out[f"p{s}"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lo ORDER BY merit DESC, k) AS nth FROM m{s} WHERE merit > 0) WHERE nth = 1"
         out[f"u{s}"] = f"SELECT p.k AS cand, b.k, b.c0, b.c1 FROM p{s} p, b{s} b UNION ALL SELECT k, k, c0, c1 FROM p{s}"
         out[f"d{s}"] = f"SELECT cand, c0 - lag(c0) OVER w AS d0, c1 - lag(c1) OVER w AS d1, max(c0) OVER (PARTITION BY cand) AS a0, max(c1) OVER (PARTITION BY cand) AS a1 FROM u{s} WINDOW w AS (PARTITION BY cand ORDER BY k)"
         out[f"v{s}"] = f"SELECT cand, sum({part.format('d0', 'd1', 'a0', 'a1')}) AS merit FROM d{s} WHERE d0 IS NOT NULL GROUP BY cand"
-        out[f"b{s + 1}"] = f"SELECT * FROM b{s} UNION ALL SELECT k, c0, c1 FROM r WHERE k = (SELECT cand FROM v{s} ORDER BY merit DESC, cand LIMIT 1)"
+        out[f"b{tag}{n + 1}"] = f"SELECT * FROM b{s} UNION ALL SELECT k, c0, c1 FROM {rows} WHERE k = (SELECT cand FROM v{s} ORDER BY merit DESC, cand LIMIT 1)"
     return out
 
 
+def optimal_steps(cols: list[str]) -> dict:
+    """A hundred bins, those without a class joined, cut greedily: ``o_<col>`` has the narrow bins of each new one."""
+    steps = {k: v.replace("/ 1000)", "/ 100)").replace("999)", "99)").replace("range(1, 1001)", "range(1, 101)") for k, v in NARROW.items()}
+    steps["joined"] = steps["joined"].replace("max(bin) AS last", "min(bin) AS first, max(bin) AS last")
+    steps["closed"] = steps["closed"].replace("AS bin, n0", "AS bin, first, last, n0")
+    for c in cols:
+        w = "ORDER BY bin ROWS UNBOUNDED PRECEDING"
+        steps[f"r_{c}_"] = f"""SELECT bin AS k, first, last, n0, n1, CAST(sum(n0) OVER ({w}) AS DOUBLE) AS c0, CAST(sum(n1) OVER ({w}) AS DOUBLE) AS c1
+          FROM (SELECT bin, min(first) AS first, max(last) AS last, sum(n0) AS n0, sum(n1) AS n1 FROM closed WHERE var = '{c}' GROUP BY bin)"""
+        steps |= _greedy(4, f"_{c}_")
+        steps[f"o_{c}"] = f"""SELECT newbin, min(first) AS first, max(last) AS last, sum(n0) AS n0, sum(n1) AS n1
+          FROM (SELECT *, (SELECT count(*) FROM b_{c}_4 b WHERE b.k < r.k) AS newbin FROM r_{c}_ r) GROUP BY newbin"""
+    return steps
+
+
+def optimal_once(cols: list[str]) -> list[str]:
+    return ["closed", *[n for c in cols for n in (f"o_{c}", f"r_{c}_", *[f"b_{c}_{s}" for s in range(5)])]]
+
+
+def optimal_sql(cols: list[str]) -> str:
+    """Borders follow from the first and last narrow bin."""
+    rows = [
+        f"""SELECT '{c}' AS var, newbin, lo + (first - 1) * (hi - lo) / 100 - CASE WHEN first = 1 THEN 0.0001 ELSE 0 END AS lower,
+          lo + last * (hi - lo) / 100 + CASE WHEN last = 100 THEN 0.0001 ELSE 0 END AS upper, n0, n1 FROM o_{c}, (SELECT min({c}) AS lo, max({c}) AS hi FROM credit)"""
+        for c in cols
+    ]
+    final = f"""SELECT var, CAST(newbin AS INT) AS newbin, round(lower, 5) AS lower, round(upper, 5) AS upper, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1,
+      CAST(n0 + n1 AS BIGINT) AS total FROM ({' UNION ALL '.join(rows)})"""
+    return sql(["credit"], optimal_steps(cols), final, once=optimal_once(cols))
+
+
+@query("w10_optimal_bins", optimal_sql(["price", "balance"]))
+def _(t):
+    return rounded(B.optimal_bins(t("credit"), ["price", "balance"], "y"), 5, "lower", "upper")
+
+
+def category_steps(col: str, tag: str = "") -> dict:
+    """Categories ordered by rate in ``r<tag>``, cut greedily; ``b<tag>4`` has the borders."""
+    return {
+        f"cat{tag}": f"SELECT {col} AS value, CAST(sum(1 - y) AS DOUBLE) AS n0, CAST(sum(y) AS DOUBLE) AS n1 FROM credit GROUP BY {col}",
+        f"r{tag}": f"""SELECT *, row_number() OVER w AS k, sum(n0) OVER w AS c0, sum(n1) OVER w AS c1 FROM cat{tag}
+          WINDOW w AS (ORDER BY n1 / (n0 + n1), value ROWS UNBOUNDED PRECEDING)""",
+        **_greedy(4, tag),
+    }
+
+
 @query(
     "w11_reduce_categories",
-    sql(["credit"], _reduced(4), "SELECT value, CAST((SELECT count(*) FROM b4 WHERE b4.k < r.k) AS INT) AS grp, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1 FROM r",
+    sql(["credit"], category_steps("nation"), "SELECT value, CAST((SELECT count(*) FROM b4 WHERE b4.k < r.k) AS INT) AS grp, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1 FROM r",
         once=("r", *[f"b{s}" for s in range(5)])),
 )
 def _(t):

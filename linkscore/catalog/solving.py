@@ -52,6 +52,36 @@ def newton(rows: str, xs: Sequence[str], y: str, rounds: int, tag: str = "") ->
     return steps | solve(f"{tag}info", n, [str(j) for j in range(n)])
 
 
+def newton_subsets(rows: str, xs: Sequence[str], y: str, rounds: int) -> dict[str, str]:
+    """Logistic regressions on every subset of the columns at once: ``fit`` has ``m`` (bit i for column i), coefficients ``c0..`` and their variances ``v0..``.
+
+    A column outside a subset counts as 0 with a unit row in the information, so its coefficient stays 0.
+    """
+    n = len(xs) + 1
+    z = ["1.0", *[f"u{i} * ({x})" for i, x in enumerate(xs, 1)]]
+    eta = " + ".join(f"c{i} * ({x})" for i, x in enumerate(z))
+    weighted = ", ".join(
+        f"sum(p * (1 - p) * ({a}) * ({b}))" + (f" + max(1 - u{i})" if i == j and i else "") + f" AS a{i}_{j}" for i, a in enumerate(z) for j, b in enumerate(z)
+    )
+    coefs = ", ".join(f"max(c{i}) AS c{i}" for i in range(n))
+    steps = {
+        "mk": "SELECT m, " + ", ".join(f"((m >> {i}) & 1)::DOUBLE AS u{i + 1}" for i in range(n - 1)) + f" FROM range(1, {2 ** (n - 1)}) r(m)",
+        "beta0": "SELECT m, " + ", ".join(f"0.0::DOUBLE AS c{i}" for i in range(n)) + " FROM mk",
+    }
+    for r in range(1, rounds + 1):
+        sides = ", ".join(f"sum(({x}) * ({y} - p)) AS b{i}_g" for i, x in enumerate(z))
+        steps[f"p{r}"] = f"SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM beta{r - 1} JOIN mk USING (m), {rows}"
+        steps[f"s{r}"] = f"SELECT m, {weighted}, {sides}, {coefs} FROM p{r} GROUP BY m"
+        steps |= solve(f"s{r}", n, ["g"], ["m", *[f"c{i}" for i in range(n)]])
+        steps[f"beta{r}"] = "SELECT m, " + ", ".join(f"c{i} + x{i}_g AS c{i}" for i in range(n)) + f" FROM s{r}_x"
+    unit = ", ".join(f"{float(i == j)} AS b{i}_{j}" for i in range(n) for j in range(n))
+    steps["p"] = f"SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM beta{rounds} JOIN mk USING (m), {rows}"
+    steps["info"] = f"SELECT m, {weighted}, {unit}, {coefs} FROM p GROUP BY m"
+    steps |= solve("info", n, [str(j) for j in range(n)], ["m", *[f"c{i}" for i in range(n)]])
+    steps["fit"] = "SELECT m, " + ", ".join(f"c{i}, x{i}_{i} AS v{i}" for i in range(n)) + " FROM info_x"
+    return steps
+
+
 def upper_normal(z: str) -> str:
     """Both tails of the normal distribution beyond ``z``, by Simpson's rule over 2,000 steps."""
     weight = "CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"

@@ -12,7 +12,8 @@ from linkscore.catalog.aggregates import rounded
 from linkscore.catalog.association import BASE, STEPS, WIDE_STEPS, _one
 from linkscore.catalog.association import sql as hop_sql
 from linkscore.catalog.registry import query, sql
-from linkscore.catalog.solving import newton, products, solve, upper_normal
+from linkscore.catalog.scorecard import ALPHA, BETA, category_steps, optimal_once, optimal_steps
+from linkscore.catalog.solving import newton, newton_subsets, products, solve, upper_normal
 from linkscore.operators import evaluate as E
 from linkscore.operators import features as X
 from linkscore.operators import linear as L
@@ -131,6 +132,15 @@ def _(t):
     return T.score_batch(df, folder, "id", "day", XS)
 
 
+@query("m09_score_saved", sql(["credit"], {**PLAIN, **newton("d", ["a", "b", "c"], "y", 9)}, "SELECT id, day, round(p, 4) AS score FROM fitted", once=["d", *newton_once(9)]))
+def _(t):
+    """A saved model with a formula that SQL can repeat, read back by its folder."""
+    df = credit(t)
+    folder = scratch_path(t.spark, "model")
+    T.train(df, "logistic", XS, "y", tol=1e-13).write().save(folder)
+    return rounded(T.score_batch(df, folder, "id", "day", XS), 4, "score")
+
+
 @query("m10_train_and_score_all")
 def _(t):
     return T.train_and_score_all(credit(t), XS, "y", "id")
@@ -289,9 +299,47 @@ def _(t):
     return _weights(t, L.logistic_ascent(cut(_sided(t)), "y", ["a", "b", "c"], 0.5, 5, mean=True), 6)
 
 
-@query("m19_linear_cv")
+ALPHAS = [0.1, 100.0]
+
+
+def lasso_sql(sweeps: int = 12) -> str:
+    """Moments by fold, coordinate descent on the standardised moments of the other folds, the error in the fold from its moments."""
+    k = range(len(RIDGE))
+    pairs = [(i, j) for i in k for j in k if i <= j]
+    names = {"n": "1", "sy": "l_extendedprice", "yy": "l_extendedprice * l_extendedprice"}
+    names |= {f"s{i}": RIDGE[i] for i in k} | {f"t{i}": f"{RIDGE[i]} * l_extendedprice" for i in k} | {f"g{i}{j}": f"{RIDGE[i]} * {RIDGE[j]}" for i, j in pairs}
+    keep = ", ".join(names)
+    rest = {m: f"(w.{m} - f.{m})" for m in names}
+    spread = lambda two, a, b: f"({rest[two]} / {rest['n']} - {rest[a]} / {rest['n']} * {rest[b]} / {rest['n']})"
+    sd = {i: f"sqrt({spread(f'g{i}{i}', f's{i}', f's{i}')})" for i in k}
+    sdy = f"sqrt({spread('yy', 'sy', 'sy')})"
+    columns = [f"f.{m} AS {m}" for m in names] + [f"{sd[i]} AS d{i}" for i in k] + [f"{sdy} AS dy", f"{rest['sy']} / {rest['n']} AS my"]
+    columns += [f"{rest[f's{i}']} / {rest['n']} AS m{i}" for i in k]
+    columns += [f"{spread(f'g{i}{j}', f's{i}', f's{j}')} / {sd[i]} / {sd[j]} AS r{i}{j}" for i, j in pairs if i < j]
+    columns += [f"{spread(f't{i}', f's{i}', 'sy')} / {sd[i]} / {sdy} AS c{i}" for i in k] + [f"0.0::DOUBLE AS w{i}" for i in k]
+    steps = {
+        "f": "SELECT CAST('0x' || substr(md5(concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '|11')), 1, 8) AS BIGINT) % 3 AS fold, "
+        + ", ".join(f"CAST(sum({e}) AS DOUBLE) AS {m}" for m, e in names.items()) + " FROM lineitem GROUP BY 1",
+        "w": "SELECT " + ", ".join(f"sum({m}) AS {m}" for m in names) + " FROM f",
+        "al": f"SELECT unnest({ALPHAS})::DOUBLE AS alpha",
+        "x0": f"SELECT alpha, fold, {', '.join(columns)} FROM f, w, al",
+    }
+    at = 0
+    for _ in range(sweeps):
+        for i in k:
+            pull = f"(c{i} - " + " - ".join(f"r{min(i, j)}{max(i, j)} * w{j}" for j in k if j != i) + ")"
+            steps[f"x{at + 1}"] = f"SELECT * REPLACE (sign({pull}) * greatest(abs({pull}) - alpha / dy, 0) AS w{i}) FROM x{at}"
+            at += 1
+    steps["cf"] = f"SELECT alpha, {keep}, " + ", ".join(f"w{i} * dy / d{i} AS b{i}" for i in k) + ", my - " + " - ".join(f"w{i} * dy / d{i} * m{i}" for i in k) + f" AS b FROM x{at}"
+    square = "yy + b * b * n - 2 * b * sy + " + " + ".join(f"2 * b * b{i} * s{i} - 2 * b{i} * t{i}" for i in k)
+    square += " + " + " + ".join(f"{1 if i == j else 2} * b{i} * b{j} * g{i}{j}" for i, j in pairs)
+    return sql([], steps, f"SELECT alpha, round(avg(sqrt(({square}) / n)), 2) AS rmse FROM cf GROUP BY alpha", once=("f", "w", "x0"))
+
+
+@query("m19_linear_cv", lasso_sql())
 def _(t):
-    return T.linear_cv(t("lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "lasso", [0.1, 100.0])
+    lines = t("lineitem").withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return rounded(T.linear_cv(lines, RIDGE, "l_extendedprice", "lasso", ALPHAS, key="key"), 2, "rmse")
 
 
 def pca_sql(rounds: int = 60) -> str:
@@ -412,9 +460,46 @@ def _(t):
     return t.spark.createDataFrame([(i + 1, c) for i, c in enumerate(chosen)], "step int, column string")
 
 
-@query("w19_build_scorecard")
+MEASURES, CATEGORIES = ["price", "balance"], ["priority", "nation"]
+
+
+def build_sql(rounds: int = 9) -> str:
+    """Bins, groups and weights of evidence; models of all subsets of the columns; the way down from all of them; points."""
+    cols = [*MEASURES, *CATEGORIES]
+    steps = optimal_steps(MEASURES)
+    once = optimal_once(MEASURES)
+    for c in CATEGORIES:
+        steps |= category_steps(c, f"_{c}_")
+        once += [f"r_{c}_", *[f"b_{c}_{s}" for s in range(5)]]
+    place = [f"(SELECT newbin FROM o_{c}, (SELECT min({c}) AS lo, max({c}) AS hi FROM credit) WHERE least(floor((d.{c} - lo) / ((hi - lo) / 100)), 99) + 1 BETWEEN first AND last) AS {c}" for c in MEASURES]
+    place += [f"(SELECT count(*) FROM b_{c}_4 b JOIN r_{c}_ r ON b.k < r.k WHERE r.value = d.{c}) AS {c}" for c in CATEGORIES]
+    steps["laid"] = f"SELECT id, y, {', '.join(place)} FROM credit d"
+    steps["long"] = " UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS value, y AS e, 1 - y AS n FROM laid" for c in cols)
+    part = lambda v, total: f"(CASE WHEN sum({v}) = 0 THEN 1e-7 ELSE sum({v}) / (SELECT sum({total}) FROM laid) END)"
+    steps["maps"] = f"SELECT col, value, ln({part('e', 'y')} / {part('n', '1 - y')}) AS woe FROM long GROUP BY col, value"
+    steps["d"] = "SELECT y, " + ", ".join(f"m{i}.woe AS w{i}" for i in range(len(cols))) + " FROM laid " + " ".join(
+        f"JOIN maps m{i} ON m{i}.col = '{c}' AND m{i}.value = laid.{c}" for i, c in enumerate(cols)
+    ) + " WHERE CAST(CAST('0x' || substr(md5(concat(CAST(id AS STRING), '|11')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 < 0.7"
+    steps |= newton_subsets("d", [f"w{i}" for i in range(len(cols))], "y", rounds)
+    # materialised steps keep expressions flat
+    once += ["laid", "maps", "d", "fit", "info", *[f"{n}{r}" for n in ("s", "beta") for r in range(1, rounds + 1)]]
+    once += [f"{n}_{i}" for n in ("info", *[f"s{r}" for r in range(1, rounds + 1)]) for i in (1, 3)]
+    steps["wz"] = " UNION ALL ".join(
+        f"SELECT m, {i} AS nth, '{c}' AS col, c{i + 1} AS coef, abs(c{i + 1}) / sqrt(v{i + 1}) AS z FROM fit WHERE (m >> {i}) & 1 = 1" for i, c in enumerate(cols)
+    )
+    every = 2 ** len(cols) - 1
+    steps["way"] = f"""SELECT 0 AS step, {every}::BIGINT AS m UNION ALL SELECT step + 1, w.m - (1 << q.weak) FROM way w JOIN (
+        SELECT m, arg_min(nth, {{'z': z, 'later': -ord(col)}}) AS weak, min(z) AS z FROM wz GROUP BY m) q ON q.m = w.m WHERE z < 1.959963984540054"""
+    steps["best"] = f"SELECT CASE WHEN m = 0 THEN {every} ELSE m END AS m FROM way ORDER BY step DESC LIMIT 1"
+    steps["chosen"] = "SELECT col, coef FROM wz JOIN best USING (m) UNION ALL SELECT 'const', c0 FROM fit JOIN best USING (m)"
+    final = f"""SELECT 'basePoints' AS "column", '-' AS value, CAST(round_even({ALPHA!r}::DOUBLE - {BETA!r}::DOUBLE * coef, 0) AS BIGINT) AS points FROM chosen WHERE col = 'const'
+      UNION ALL SELECT concat(col, '_BIN'), CAST(CAST(value AS BIGINT) AS VARCHAR), CAST(round_even(-{BETA!r}::DOUBLE * woe * coef, 0) AS BIGINT) FROM maps JOIN chosen USING (col)"""
+    return sql(["credit"], steps, final, once=once)
+
+
+@query("w19_build_scorecard", build_sql())
 def _(t):
-    return build_scorecard(t("credit"), "id", "y", ["price", "balance"], ["priority", "nation"]).card
+    return build_scorecard(t("credit"), "id", "y", MEASURES, CATEGORIES).card
 
 
 @query("e09_compare_models")

@@ -247,9 +247,14 @@ def poly_expand(df: DataFrame, col: str, degree: int = 3, out: str = "poly") ->
 
 
 def pca(df: DataFrame, col: str, k: int = 3, out: str = "pca") -> DataFrame:
-    from pyspark.ml.feature import PCA
-
-    return PCA(k=k, inputCol=col, outputCol=out).fit(df).transform(df)
+    """Projections on the first ``k`` directions; the largest entry of a direction is positive, so that runs agree on its sign."""
+    from pyspark.ml.feature import PCA, ElementwiseProduct
+    from pyspark.ml.linalg import Vectors
+
+    model = PCA(k=k, inputCol=col, outputCol="_turned").fit(df)
+    signs = [1.0 if max(d, key=abs) > 0 else -1.0 for d in model.pc.toArray().T]
+    fixed = ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol="_turned", outputCol=out)
+    return fixed.transform(model.transform(df)).drop("_turned")
 
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from linkscore.operators.aggregates import undersample
 from linkscore.operators.boosting import sweep
-from linkscore.operators.evaluate import auc_rank
+from linkscore.operators.evaluate import assign_folds, auc_rank
 from linkscore.operators.prepare import uniform
 
 # Tree settings of the training jobs.
@@ -111,13 +111,19 @@ def sweep_gbt(df: DataFrame, xs: Sequence[str], y: str, key: str, trees: Sequenc
     return sweep(df, xs, y, key, uniform(F.col(key), 11) < 0.6, trees, depths)
 
 
-def linear_cv(df: DataFrame, xs: Sequence[str], y: str, kind: str, alphas: Sequence[float], folds: int = 3) -> DataFrame:
-    """(alpha, rmse) of ridge, lasso or elastic net by cross-validation, best first."""
+def linear_cv(df: DataFrame, xs: Sequence[str], y: str, kind: str, alphas: Sequence[float], folds: int = 3, key: str | None = None) -> DataFrame:
+    """(alpha, rmse) of ridge, lasso or elastic net by cross-validation, best first.
+
+    Folds follow a hash of ``key``, the same whatever the partitioning; without a
+    key they are drawn.
+    """
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     lr = R.LinearRegression(elasticNetParam={"ridge": 0.0, "lasso": 1.0, "elastic": 0.5}[kind])
     grid = ParamGridBuilder().addGrid(lr.regParam, list(alphas)).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(), numFolds=folds, seed=11, parallelism=2)
+    if key is not None:
+        df, cv = assign_folds(df, key, folds), cv.setFoldCol("fold")
     fitted = cv.fit(with_features(df, xs, y))
     rows = sorted(zip(map(float, alphas), map(float, fitted.avgMetrics)), key=lambda r: r[1])
     return df.sparkSession.createDataFrame(rows, "alpha double, rmse double")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from linkscore.operators import boosting, similarity
+from linkscore.operators import aggregates, boosting, linear, prepare, similarity, train
 
 
 @pytest.fixture(scope="module")
@@ -139,3 +139,41 @@ def test_recommendations_in_tiles(spark, monkeypatch, ratings):
     for name, value in (("BLOCK_USERS", 9), ("TILE_ITEMS", 5), ("TILE_LINKS", 90)):
         monkeypatch.setattr(similarity, name, value)
     assert sorted(map(key, similarity.recommend(df, 3).collect())) == want
+
+
+def test_balanced_training_keeps_both_classes_for_the_test(spark):
+    """With one positive in twenty, the sample's smallest draws must not all go to the fit."""
+    rng = np.random.default_rng(5)
+    y = (np.arange(4000) % 20 == 0).astype(int)
+    x = rng.normal(size=4000) + y
+    df = spark.createDataFrame([(i, float(a), int(t)) for i, (a, t) in enumerate(zip(x, y))], "id long, x double, y int")
+    model, auc = train.train_balanced(df, ["x"], "y", "id")
+    assert 0.6 < auc < 0.95
+    taken = aggregates.undersample(df, "y", "id")
+    held = train.scores(model, train.split(taken, "id", 0.7, 12)[1], ["x"]).select("score", "y").toPandas()
+    pos, neg = held.score[held.y == 1].to_numpy(), held.score[held.y == 0].to_numpy()
+    wins = (pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2
+    assert auc == pytest.approx(wins / len(pos) / len(neg), abs=1e-12)
+
+
+def test_folds_by_key_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, float(a), float(2 * a + e)) for i, (a, e) in enumerate(rng.normal(size=(600, 2)))]
+    df = spark.createDataFrame(rows, "id long, x double, t double")
+    once = [tuple(r) for r in train.linear_cv(df, ["x"], "t", "ridge", [0.01, 1.0], key="id").collect()]
+    again = [tuple(r) for r in train.linear_cv(df.repartition(7, "x"), ["x"], "t", "ridge", [0.01, 1.0], key="id").collect()]
+    assert [a for a, _ in once] == [0.01, 1.0] == [a for a, _ in again]
+    assert [e for _, e in once] == pytest.approx([e for _, e in again], abs=1e-9)
+
+
+def test_directions_have_a_sign(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 3)) * [3.0, 2.0, 1.0] @ np.linalg.qr(rng.normal(size=(3, 3)))[0]
+    want = np.linalg.eigh(np.cov(x.T))[1][:, ::-1]
+    want = want * np.sign(want[np.abs(want).argmax(axis=0), range(3)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    scores = np.array(linear.pca_project(df, ["a", "b", "c"], 2)[0].select("pc1", "pc2").collect())
+    assert np.allclose(scores, (x - x.mean(axis=0)) @ want[:, :2], atol=1e-9)
+    vectors = prepare.assemble(df, ["a", "b", "c"], "v")
+    found = np.array([r["pca"].toArray() for r in prepare.pca(vectors, "v", 2).select("pca").collect()])
+    assert np.allclose(found, x @ want[:, :2], atol=1e-9)
