@@ -4,7 +4,7 @@ The store holds two kinds of rows, nodes and relationships, in buckets by the ha
 their key. A batch only ever writes its own folder, a file for each bucket of its
 keys, so a replay replaces it with the same rows. Reading merges a bucket's files
 (latest values win), and a reader of given keys opens the buckets of these alone.
-:func:`compact` writes such merges down. The job does so for some buckets after each
+:func:`compact` writes such merges down. The job does so for some buckets with each
 batch, by turns, so a batch never rewrites the whole store and a bucket has no more
 files than batches between two of its merges.
 """
@@ -13,7 +13,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
@@ -119,12 +122,22 @@ def bucket(name: str) -> Column:
     return F.pmod(F.xxhash64(*KEYS[name]), F.lit(BUCKETS)).cast("int")
 
 
+def side_by_side(*writes: Callable[[], None]) -> None:
+    """Run independent writes of a batch at the same time; the first failure fails the batch, once all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(w)) for w in writes]:
+            done.result()
+
+
+def _write_bucketed(rows: DataFrame, name: str, path: str) -> None:
+    bucketed = rows.withColumn("bucket", bucket(name)).repartition("bucket")
+    bucketed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
 def upsert_graph(batch: DataFrame, batch_id: int, store: str) -> None:
     """Write the batch's own version of its nodes and relationships, a file for each bucket of theirs."""
-    nodes, rels = graph_rows(batch)
-    for name, rows in (("nodes", nodes), ("rels", rels)):
-        bucketed = rows.withColumn("bucket", bucket(name)).repartition("bucket")
-        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/{name}/batch_id={batch_id}")
+    kinds = zip(("nodes", "rels"), graph_rows(batch))
+    side_by_side(*[partial(_write_bucketed, rows, name, f"{store}/{name}/batch_id={batch_id}") for name, rows in kinds])
 
 
 def notify(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -139,21 +152,27 @@ def notify(batch: DataFrame, batch_id: int, path: str) -> None:
 def handle_batch(store: str, notices: str, bad: str, compact_every: int | None = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` step: split, upsert, notify, keep unreadable messages.
 
-    After a batch the buckets whose turn it is are merged up to the batch before,
+    With a batch the buckets whose turn it is are merged up to the batch before,
     which can no longer be replayed; every bucket's turn comes once in
-    ``compact_every`` batches.
+    ``compact_every`` batches. The parts of a step write to folders of their own, at
+    the same time.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_stream(only_applications(batch)).persist()
         good, broken = split_bad(parsed)
-        upsert_graph(good, batch_id, store)
-        notify(good, batch_id, notices)
-        broken.select("body").write.mode("overwrite").text(f"{bad}/batch_id={batch_id}")
-        parsed.unpersist()
         due = [b for b in range(BUCKETS) if compact_every and b % compact_every == batch_id % compact_every]
-        if batch_id and due:
-            compact(batch.sparkSession, store, batch_id - 1, due)
+        keep = partial(broken.select("body").write.mode("overwrite").text, f"{bad}/batch_id={batch_id}")
+        try:
+            # the merge ends with the batch before, so it does not meet what this one writes
+            side_by_side(
+                partial(upsert_graph, good, batch_id, store),
+                partial(notify, good, batch_id, notices),
+                keep,
+                *[partial(compact, batch.sparkSession, store, batch_id - 1, due) for _ in (due if batch_id else [])[:1]],
+            )
+        finally:
+            parsed.unpersist()
 
     return step
 
@@ -208,10 +227,11 @@ def _merge_rels(rows: DataFrame) -> DataFrame:
 _KINDS = {"nodes": (NODE_SCHEMA, _merge_nodes), "rels": (REL_SCHEMA, _merge_rels)}
 
 
-def _rows(spark: SparkSession, store: str, name: str, buckets: Sequence[int] | None = None) -> DataFrame:
-    """The newest merges of the buckets and the batches after them."""
+def _rows(spark: SparkSession, store: str, name: str, buckets: Sequence[int] | None = None, upto: int | None = None) -> DataFrame:
+    """The newest merges of the buckets and the batches after them, up to a batch if one is given; files beyond are not opened."""
     schema = _KINDS[name][0]
     base, later = files_of(spark, store, name, buckets)
+    later = [f for f in later if upto is None or f[0] <= upto]
     parts = []
     if base:
         parts.append(spark.read.schema(schema).parquet(*[p.toString() for _, p in base.values()]))
@@ -254,7 +274,7 @@ def compact(spark: SparkSession, store: str, upto: int, buckets: Sequence[int] |
         target = f"{store}/base/{name}/upto={upto}"
         merges, fs = _folders(spark, f"{store}/base/{name}")
         if not any(n == upto and fs.exists(path(p, "_SUCCESS")) for n, p in merges):
-            rows = merge(_rows(spark, store, name, due).where(F.col("batch_id") <= upto))
+            rows = merge(_rows(spark, store, name, due, upto).where(F.col("batch_id") <= upto))
             rows.withColumn("bucket", bucket(name)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
         for root, last in ((f"{store}/{name}", upto), (f"{store}/base/{name}", upto - 1)):
             for n, folder in _folders(spark, root)[0]:
