@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.ordered import running_sums
-from linkscore.runtime import stored
+from linkscore.runtime import discard, stored
 
 MAX_CELLS = 32_768  # different rows of bins that one task grows a chain over, at most about 80 MB
 STRIDE = 10  # trees after which shared passes write the rows' predictions anew
@@ -339,7 +339,8 @@ def _shared(rows: DataFrame, width: int, trees: list[int], depths: list[int], se
             scores = state.where("test").mapInArrow(_errors(settings, width, chains, t + 1 - len(grown), grown, wanted), "trees long, chain long, score double, y double")
             errors = _measured(scores, binary)
             found = errors if found is None else found.unionByName(errors)
-            state = stored(state.mapInArrow(_advanced(width, chains, grown), state.schema), "scores")
+            old, state = state, stored(state.mapInArrow(_advanced(width, chains, grown), state.schema), "scores")
+            discard(old)  # measured already; the binned table of the first stride stays
             grown = []
     depth = F.get(F.lit(depths), F.col("chain").cast("int")).alias("depth")
     return found.select(F.col("trees").cast("int").alias("trees"), depth, "rmse", "auc", F.lit(None).cast("double").alias("cpu_seconds"))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkscore.runtime import cut, shuffle_width, stored
+from linkscore.runtime import cut, discard, shuffle_width, stored
 from linkscore.skew import block_counts, salted_join
 
 ROWS_PER_BLOCK = 500_000
@@ -340,7 +340,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
     """
     steps = blocked(both_ways(edges))
     ids = vertices_of(steps.edges) if vertices is None else vertices.select("id").distinct()
-    state = stored_round(ids.withColumn("component", F.col("id")))
+    state = held = stored_round(ids.withColumn("component", F.col("id")))
     while True:
         around = steps.send(state.select(F.col("id").alias("src"), F.col("component").alias("_m")))
         least = around.groupBy(F.col("dst").alias("id")).agg(F.min("_m").alias("_m"))
@@ -358,6 +358,9 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
             )
         )
         state = after.drop("_c")
+        for old in (near, held):
+            discard(old)
+        held = after
         if after.where("_c").isEmpty():
             break
     return state

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkscore.runtime import stored
+from linkscore.runtime import discard, stored
 from linkscore.skew import blocked_pairs
 
 KINDS = ("euclid", "pearson", "cosine")
@@ -234,7 +234,8 @@ def right_vectors(ratings: DataFrame, rank: int) -> DataFrame:
             return new.select("item_id", F.slice("x", 1, min(rank, k)).alias("v"))
         before = first
         sent = _image(ratings, new, "r", k).withColumnRenamed("image", "mr")
-        state = stored(new.join(sent, "item_id"), "vectors")
+        old, state = state, stored(new.join(sent, "item_id"), "vectors")
+        discard(old)
     raise RuntimeError(f"singular values did not settle in {MOST_ROUNDS} rounds")
 
 

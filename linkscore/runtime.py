@@ -6,11 +6,13 @@ import atexit
 import logging
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 _OWN: set[str] = set()
+_PLACES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()  # folder of each stored table
 
 
 def local_session(app: str = "linkscore", cpus: str = "8") -> SparkSession:
@@ -87,7 +89,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a :func:`stored` table that no later step reads, as that of an earlier round; other frames stay."""
+    path = _PLACES.pop(df, None)
+    if path is not None:
+        _remove(df.sparkSession, path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,6 +1,7 @@
 """Ordinary and awkward data: constants, one class, gaps, late rows, long chains, hot entities."""
 
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -19,6 +20,7 @@ from linkscore.operators import mining as M
 from linkscore.operators import prepare as P
 from linkscore.operators import similarity as S
 from linkscore.plans.daily import Folders, daily_run
+from linkscore.runtime import shared_folder
 from linkscore.sources import files
 from linkscore.streaming import applications as R
 
@@ -296,3 +298,25 @@ def test_lost_offsets_end_the_query_by_default(monkeypatch):
         with pytest.raises(StopIteration):
             R.read_applications(Session(), "kafka", clamp_to_earliest=clamp, subscribe="x")
         assert seen["failOnDataLoss"] == want
+
+
+def test_loops_leave_no_earlier_rounds(spark):
+    """Of a long loop's written rounds, only what the result reads stays on the shared folder."""
+    def folders(prefix):
+        root = Path(shared_folder(spark)) / f"linkscore-{spark.sparkContext.applicationId}"
+        return {p.name for p in root.glob(f"{prefix}-*")} if root.exists() else set()
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "src long, dst long")
+    before = folders("round")
+    found = G.connected_components(chain)
+    assert len(folders("round") - before) == 1
+    assert {r.component for r in found.collect()} == {0}
+
+    cliques = [(a, b, 1.0) for k in range(4) for a in range(5 * k, 5 * k + 5) for b in range(a + 1, 5 * k + 5)]
+    edges = spark.createDataFrame([*cliques, (4, 5, 1.0), (9, 10, 1.0), (14, 15, 1.0)], "src long, dst long, weight double")
+    before = folders("louvain")
+    member, qualities = LV.louvain(edges)
+    # a level keeps its state, the summed edges, the vertices after it and the assignment
+    assert len(folders("louvain") - before) <= 4 * len(qualities) + 3
+    groups = {r.id: r.community for r in member.collect()}
+    assert len(groups) == 20 and all(len({groups[v] for v in range(5 * k, 5 * k + 5)}) == 1 for k in range(4))
